@@ -11,23 +11,26 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def exact_sum(amount: Column, scale: int = 2) -> Column:
-    """SUM of ``amount`` kept to ``scale`` decimals; NULLs are ignored.
+def units_of(amount: Column, scale: int = 2) -> Column:
+    """SUM of ``amount`` in whole units of its last decimal; NULLs are ignored.
 
     Cents fit a BIGINT up to 9e16 currency units per group. Finer units are
     added as DECIMAL, which holds ten more digits.
     """
     units = F.rint(amount * F.lit(float(10**scale))).cast("bigint")
-    if scale > 2:
-        units = units.cast("decimal(20,0)")
-    return _to_amount(F.sum(units), scale)
+    return F.sum(units.cast("decimal(20,0)") if scale > 2 else units)
 
 
-def _to_amount(total: Column, scale: int) -> Column:
+def to_amount(total: Column, scale: int = 2) -> Column:
     """Whole units back to an amount; the division itself is exact decimal."""
     return (total.cast("decimal(30,0)") / F.lit(10**scale)).cast("double")
 
 
+def exact_sum(amount: Column, scale: int = 2) -> Column:
+    """SUM of ``amount`` kept to ``scale`` decimals; NULLs are ignored."""
+    return to_amount(units_of(amount, scale), scale)
+
+
 def exact_avg(amount: Column, scale: int = 2) -> Column:
     """Mean of the non-NULL amounts from the exact sum; NULL for an empty group."""
     return F.try_divide(exact_sum(amount, scale), F.count(amount))

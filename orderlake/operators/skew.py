@@ -46,11 +46,14 @@ def flag_repeated(
         .limit(max_hot_keys)
         .select(*keys, F.lit(True).alias("_hot"))
     )
-    lookup = repeated.select(*keys, F.lit(-1).alias("_spread"), F.lit(True).alias("_repeated"))
+    # Always -1, but not a literal: the optimizer would fold a literal into a plain
+    # condition and leave it out of the partitioning.
+    same_place = F.least(F.col("_n"), F.lit(-1)).alias("_spread")
+    lookup = repeated.select(*keys, same_place, F.lit(True).alias("_repeated"))
 
     settled = reduce(or_, [F.col(k).isNull() for k in keys], F.col("_hot").isNotNull())
     spread = df.join(F.broadcast(hot), keys, "left").withColumn(
-        "_spread", F.when(settled, F.spark_partition_id()).otherwise(F.lit(-1))
+        "_spread", F.when(settled, F.spark_partition_id().cast("bigint")).otherwise(F.lit(-1))
     )
     return spread.join(lookup, [*keys, "_spread"], "left").select(
         *[F.col(f"`{c}`") for c in df.columns],

@@ -7,10 +7,10 @@ summed up inside the map tasks first.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderlake.functions.money import exact_avg, exact_sum
+from orderlake.functions.money import exact_avg, exact_sum, to_amount, units_of
 from orderlake.operators import scd
 
 # Fixed value: order states that count as revenue.
@@ -84,10 +84,10 @@ def product_performance(
 ) -> DataFrame:
     """Seventeen measures per product and category.
 
-    What depends on the order alone is gathered into one row per order; those
-    aggregates and joins share one partitioning by order. The item table is then
-    joined to it once, and summed up per product *before* the product names are
-    looked up, so the product join touches one row per product.
+    What depends on the order alone is gathered into one row per order, which the
+    item table is joined to once. Measures are then summed up in three steps
+    (see ``_per_product``) and only the result, one row per product, is joined to
+    the median and to the product names.
     """
     heads = flag_first(
         orders.select(
@@ -113,25 +113,14 @@ def product_performance(
     sold = items.select(
         "order_id", "product_id", "seller_id", "price", "freight_value", "shipping_limit_date"
     ).join(order_rows, "order_id")
-
-    price = F.col("price")
-    share = F.coalesce(allocate(F.col("_paid"), price, F.col("_total")), F.lit(0.0))
-    per_product = sold.groupBy("product_id").agg(
-        F.count(F.lit(1)).alias("units_sold"),
-        F.count_distinct("order_id").alias("orders_count"),
-        F.count_distinct("seller_id").alias("sellers_count"),
-        exact_sum(price).alias("gmv_item_price"),
-        exact_sum(F.col("freight_value")).alias("total_freight_value"),
-        exact_avg(price).alias("avg_item_price"),
-        F.percentile_approx(price, 0.5).alias("median_item_price"),
-        exact_sum(share, scale=6).alias("allocated_revenue_paid_value"),
-        exact_avg(F.col("_score"), scale=6).alias("avg_review_score"),
-        count_if(F.col("order_status") == "delivered").alias("delivered_units"),
-        count_if(F.col("_delivered") <= F.col("shipping_limit_date")).alias("on_time_delivered_units"),
-        count_if(F.col("_is_first")).alias("units_from_new_customers"),
-        count_if(~F.col("_is_first")).alias("units_from_returning_customers"),
-        F.min("order_purchase_ts").alias("first_seen_purchase_ts"),
-        F.max("order_purchase_ts").alias("last_seen_purchase_ts"),
+    measures = _per_product(sold)
+    # The median has a bulky aggregation state, so it runs on its own over three
+    # columns instead of widening every other aggregate.
+    medians = (
+        items.select("order_id", "product_id", "price")
+        .join(orders.select("order_id"), "order_id")
+        .groupBy(F.col("product_id").alias("_product"))
+        .agg(F.percentile_approx("price", 0.5).alias("median_item_price"))
     )
     english = translation.select(
         "product_category_name", F.col("product_category_name_english").alias("_english")
@@ -144,7 +133,95 @@ def product_performance(
             "product_id", F.coalesce("_english", "product_category_name").alias("product_category")
         )
     )
-    measures = [c for c in per_product.columns if c != "product_id"]
-    return per_product.join(named, "product_id", "left").select(
-        "product_id", "product_category", *measures
+    return (
+        measures.join(medians, F.col("product_id").eqNullSafe(F.col("_product")), "left")
+        .join(named, "product_id", "left")
+        .select(
+            "product_id",
+            "product_category",
+            "units_sold",
+            "orders_count",
+            "sellers_count",
+            "gmv_item_price",
+            "total_freight_value",
+            "avg_item_price",
+            "median_item_price",
+            "allocated_revenue_paid_value",
+            "avg_review_score",
+            "delivered_units",
+            "on_time_delivered_units",
+            "units_from_new_customers",
+            "units_from_returning_customers",
+            "first_seen_purchase_ts",
+            "last_seen_purchase_ts",
+        )
+    )
+
+
+def _per_product(sold: DataFrame) -> DataFrame:
+    """All measures of a product except the median.
+
+    Two exact distinct counts in one aggregate would copy every row once per
+    count and shuffle the copies. Here the grain is lowered stepwise instead:
+
+    1. product, order and seller: the rows are already together by order, so this
+       needs no shuffle. One seller per product and order is marked, so that the
+       order is counted once.
+    2. product and seller, summed up in the map tasks before the shuffle.
+    3. product: sellers are counted as rows.
+    """
+    price = F.col("price")
+    share = F.coalesce(allocate(F.col("_paid"), price, F.col("_total")), F.lit(0.0))
+    lines = sold.groupBy("product_id", "order_id", "seller_id").agg(
+        F.count(F.lit(1)).alias("units"),
+        F.count("price").alias("priced"),
+        units_of(price).alias("price"),
+        units_of(F.col("freight_value")).alias("freight"),
+        units_of(share, 6).alias("share"),
+        units_of(F.col("_score"), 6).alias("score"),
+        F.count("_score").alias("scored"),
+        count_if(F.col("order_status") == "delivered").alias("delivered"),
+        count_if(F.col("_delivered") <= F.col("shipping_limit_date")).alias("on_time"),
+        count_if(F.col("_is_first")).alias("fresh"),
+        F.min("order_purchase_ts").alias("first_seen"),
+        F.max("order_purchase_ts").alias("last_seen"),
+    )
+    one_seller = F.min("seller_id").over(Window.partitionBy("product_id", "order_id"))
+    counted = lines.withColumn("orders", F.col("seller_id").eqNullSafe(one_seller).cast("int"))
+    additive = [
+        "units",
+        "priced",
+        "price",
+        "freight",
+        "share",
+        "score",
+        "scored",
+        "delivered",
+        "on_time",
+        "fresh",
+        "orders",
+    ]
+    span = [F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen")]
+    per_seller = counted.groupBy("product_id", "seller_id").agg(
+        *[F.sum(c).alias(c) for c in additive], *span
+    )
+    totals = per_seller.groupBy("product_id").agg(
+        *[F.sum(c).alias(c) for c in additive], *span, F.count("seller_id").alias("sellers")
+    )
+    return totals.select(
+        "product_id",
+        F.col("units").alias("units_sold"),
+        F.col("orders").alias("orders_count"),
+        F.col("sellers").alias("sellers_count"),
+        to_amount(F.col("price")).alias("gmv_item_price"),
+        to_amount(F.col("freight")).alias("total_freight_value"),
+        F.try_divide(to_amount(F.col("price")), F.col("priced")).alias("avg_item_price"),
+        to_amount(F.col("share"), 6).alias("allocated_revenue_paid_value"),
+        F.try_divide(to_amount(F.col("score"), 6), F.col("scored")).alias("avg_review_score"),
+        F.col("delivered").alias("delivered_units"),
+        F.col("on_time").alias("on_time_delivered_units"),
+        F.col("fresh").alias("units_from_new_customers"),
+        (F.col("units") - F.col("fresh")).alias("units_from_returning_customers"),
+        F.col("first_seen").alias("first_seen_purchase_ts"),
+        F.col("last_seen").alias("last_seen_purchase_ts"),
     )
