@@ -83,8 +83,8 @@ def lines_by_header(lines: DataFrame) -> list[DataFrame]:
     the files have none. Columns are text; combine the frames with
     ``union_layouts``.
     """
-    first_line = F.min_by("value", F.monotonically_increasing_id())
-    headers = lines.where("_start = 0").groupBy("_file").agg(first_line.alias("_header"))
+    numbered = lines.withColumn("_line", F.monotonically_increasing_id()).where("_start = 0")
+    headers = numbered.groupBy("_file").agg(F.min_by("value", "_line").alias("_header"))
     layouts = [r["_header"] for r in headers.select("_header").distinct().limit(MAX_LAYOUTS + 1).collect()]
     if len(layouts) > MAX_LAYOUTS:
         raise ValueError(f"more than {MAX_LAYOUTS} different headers; do the files have one?")
