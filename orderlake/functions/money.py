@@ -14,11 +14,17 @@ from pyspark.sql import functions as F
 def units_of(amount: Column, scale: int = 2) -> Column:
     """SUM of ``amount`` in whole units of its last decimal; NULLs are ignored.
 
-    Cents fit a BIGINT up to 9e16 currency units per group. Finer units are
-    added as DECIMAL, which holds ten more digits.
+    A BIGINT holds cents up to 9e16 currency units per group. For finer scales of
+    large amounts use ``parts_of``.
     """
-    units = F.rint(amount * F.lit(float(10**scale))).cast("bigint")
-    return F.sum(units.cast("decimal(20,0)") if scale > 2 else units)
+    return F.sum(F.rint(amount * F.lit(float(10**scale))).cast("bigint"))
+
+
+def parts_of(amount: Column, scale: int = 6) -> tuple[Column, Column]:
+    """SUM of ``amount`` as two BIGINTs that cannot overflow: whole currency units,
+    and the rest in units of the last decimal."""
+    whole = F.floor(amount)
+    return F.sum(whole), units_of(amount - whole, scale)
 
 
 def to_amount(total: Column, scale: int = 2) -> Column:
@@ -26,6 +32,10 @@ def to_amount(total: Column, scale: int = 2) -> Column:
     return (total.cast("decimal(30,0)") / F.lit(10**scale)).cast("double")
 
 
+def from_parts(whole: Column, rest: Column, scale: int = 6) -> Column:
+    return to_amount(whole.cast("decimal(20,0)") * F.lit(10**scale) + rest, scale)
+
+
 def exact_sum(amount: Column, scale: int = 2) -> Column:
     """SUM of ``amount`` kept to ``scale`` decimals; NULLs are ignored."""
     return to_amount(units_of(amount, scale), scale)

@@ -47,7 +47,7 @@ class Rule:
 
     @staticmethod
     def in_list(column: str, allowed: Sequence[str], level: str = "error", name: str | None = None) -> Rule:
-        listed = ", ".join("'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for v in allowed)
+        listed = ", ".join(_quoted(v) for v in allowed)
         return Rule(
             name or f"{column}_valid",
             level,
@@ -97,10 +97,10 @@ def apply(df: DataFrame, rules: Sequence[Rule], hot_rows: int = HOT_ROWS) -> Dat
     stage are replaced."""
     checked = df.drop(ERRORS, WARNINGS)
     columns = checked.columns
-    outcomes: list[tuple[Rule, Column]] = []
+    outcomes: list[tuple[Rule, str]] = []
     for position, rule in enumerate(rules):
         if rule.predicate is not None:
-            outcomes.append((rule, F.coalesce(F.expr(rule.predicate), F.lit(False))))
+            outcomes.append((rule, f"coalesce({rule.predicate}, false)"))
             continue
         flag = f"_repeated_{position}"
         if rule.deduplicated:
@@ -109,7 +109,7 @@ def apply(df: DataFrame, rules: Sequence[Rule], hot_rows: int = HOT_ROWS) -> Dat
             checked = checked.withColumn(flag, complete & (copies > 1))
         else:
             checked = flag_repeated(checked, rule.columns, flag, hot_rows)
-        outcomes.append((rule, F.col(flag)))
+        outcomes.append((rule, flag))
     return checked.select(
         *[F.col(f"`{c}`") for c in columns],
         _failures([o for o in outcomes if o[0].level == "error"]).alias(ERRORS),
@@ -117,23 +117,25 @@ def apply(df: DataFrame, rules: Sequence[Rule], hot_rows: int = HOT_ROWS) -> Dat
     )
 
 
-def _failures(outcomes: Sequence[tuple[Rule, Column]]) -> Column:
+def _failures(outcomes: Sequence[tuple[Rule, str]]) -> Column:
     """Array of the failed rules; arrays are only built for rows that fail."""
     if not outcomes:
-        return F.lit(None).cast(FAILURES)
-    entries = [
-        F.when(
-            failed,
-            F.struct(
-                F.lit(rule.name).alias("name"),
-                F.lit(rule.message).alias("message"),
-                F.array(*[F.lit(c) for c in rule.columns]).cast("array<string>").alias("columns"),
-            ),
-        )
-        for rule, failed in outcomes
-    ]
-    any_failed = reduce(or_, [failed for _, failed in outcomes])
-    return F.when(any_failed, F.array_compact(F.array(*entries)).cast(FAILURES))
+        return F.expr(f"CAST(NULL AS {FAILURES})")
+    entries = ", ".join(f"CASE WHEN {failed} THEN {_entry(rule)} END" for rule, failed in outcomes)
+    any_failed = " OR ".join(failed for _, failed in outcomes)
+    return F.expr(f"CASE WHEN {any_failed} THEN CAST(array_compact(array({entries})) AS {FAILURES}) END")
+
+
+def _entry(rule: Rule) -> str:
+    columns = ", ".join(_quoted(c) for c in rule.columns)
+    return (
+        f"named_struct('name', {_quoted(rule.name)}, 'message', {_quoted(rule.message)}, "
+        f"'columns', CAST(array({columns}) AS array<string>))"
+    )
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def split(df: DataFrame) -> tuple[DataFrame, DataFrame]:

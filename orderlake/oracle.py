@@ -489,8 +489,9 @@ select product_id, coalesce(english, original) product_category,
        {_MONEY.format("price")} gmv_item_price, {_MONEY.format("freight_value")} total_freight_value,
        {_MONEY.format("price")} / count(price) avg_item_price,
        quantile_disc(price, 0.5) median_item_price,
-       cast(sum(cast(round_even(coalesce(share, 0.0) * 1000000.0, 0) as hugeint)) as double) / 1000000.0
-         allocated_revenue_paid_value,
+       cast(sum(cast(floor(coalesce(share, 0.0)) as hugeint)) * 1000000
+         + sum(cast(round_even((coalesce(share, 0.0) - floor(coalesce(share, 0.0))) * 1000000.0, 0) as hugeint))
+         as double) / 1000000.0 allocated_revenue_paid_value,
        cast(sum(cast(round_even(score * 1000000.0, 0) as bigint)) as double) / 1000000.0 / count(score)
          avg_review_score,
        cast(count(*) filter (order_status = 'delivered') as bigint) delivered_units,

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderlake.functions.money import exact_avg, exact_sum, to_amount, units_of
+from orderlake.functions.money import exact_avg, exact_sum, from_parts, parts_of, to_amount, units_of
 from orderlake.operators import scd
 
 # Fixed value: order states that count as revenue.
@@ -172,12 +172,14 @@ def _per_product(sold: DataFrame) -> DataFrame:
     """
     price = F.col("price")
     share = F.coalesce(allocate(F.col("_paid"), price, F.col("_total")), F.lit(0.0))
+    share_whole, share_rest = parts_of(share)
     lines = sold.groupBy("product_id", "order_id", "seller_id").agg(
         F.count(F.lit(1)).alias("units"),
         F.count("price").alias("priced"),
         units_of(price).alias("price"),
         units_of(F.col("freight_value")).alias("freight"),
-        units_of(share, 6).alias("share"),
+        share_whole.alias("share_whole"),
+        share_rest.alias("share_rest"),
         units_of(F.col("_score"), 6).alias("score"),
         F.count("_score").alias("scored"),
         count_if(F.col("order_status") == "delivered").alias("delivered"),
@@ -193,7 +195,8 @@ def _per_product(sold: DataFrame) -> DataFrame:
         "priced",
         "price",
         "freight",
-        "share",
+        "share_whole",
+        "share_rest",
         "score",
         "scored",
         "delivered",
@@ -216,7 +219,7 @@ def _per_product(sold: DataFrame) -> DataFrame:
         to_amount(F.col("price")).alias("gmv_item_price"),
         to_amount(F.col("freight")).alias("total_freight_value"),
         F.try_divide(to_amount(F.col("price")), F.col("priced")).alias("avg_item_price"),
-        to_amount(F.col("share"), 6).alias("allocated_revenue_paid_value"),
+        from_parts(F.col("share_whole"), F.col("share_rest")).alias("allocated_revenue_paid_value"),
         F.try_divide(to_amount(F.col("score"), 6), F.col("scored")).alias("avg_review_score"),
         F.col("delivered").alias("delivered_units"),
         F.col("on_time").alias("on_time_delivered_units"),

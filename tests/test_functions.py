@@ -2,6 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from orderlake.functions.money import from_parts, parts_of
 from orderlake.functions import date_key, exact_avg, exact_sum, record_hash, surrogate_key
 from tests.helpers import rows, ts
 
@@ -44,6 +45,8 @@ def test_sum_of_nothing_is_null(spark):
     assert tuple(df.agg(exact_sum(F.col("v")), exact_avg(F.col("v"))).first()) == (None, None)
 
 
-def test_fine_sums_outgrow_bigint(spark):
-    df = spark.createDataFrame([(9e12,)] * 4, "v double")
-    assert df.agg(exact_sum(F.col("v"), scale=6)).first()[0] == 3.6e13
+def test_fine_sums_in_two_parts_outgrow_bigint(spark):
+    df = spark.createDataFrame([(9e12 + 0.25,)] * 4 + [(-0.5,), (None,)], "v double")
+    whole, rest = parts_of(F.col("v"))
+    parts = df.agg(whole.alias("whole"), rest.alias("rest"))
+    assert parts.select(from_parts(F.col("whole"), F.col("rest"))).first()[0] == 3.6e13 + 0.5
