@@ -34,6 +34,7 @@ class Rule:
     columns: tuple[str, ...] = ()
     predicate: str | None = None
     deduplicated: bool = False
+    implied: bool = False
 
     def __post_init__(self) -> None:
         if self.level not in ("error", "warn"):
@@ -74,13 +75,19 @@ class Rule:
 
     @staticmethod
     def unique(
-        columns: Sequence[str], level: str = "error", name: str | None = None, deduplicated: bool = False
+        columns: Sequence[str],
+        level: str = "error",
+        name: str | None = None,
+        deduplicated: bool = False,
+        implied: bool = False,
     ) -> Rule:
         """Every row of a repeated key fails; a key with a NULL part passes.
 
         ``deduplicated=True`` promises that the rows come out of a one-row-per-key
         step over some of these columns. Key groups are then tiny and already
         co-located, so the count reuses that shuffle instead of adding one.
+        ``implied=True`` says that an earlier gate already refused every repeated
+        key, so that the rule holds and is not counted again.
         """
         label = "_".join(columns)
         return Rule(
@@ -89,12 +96,16 @@ class Rule:
             f"{', '.join(columns)} is not unique",
             tuple(columns),
             deduplicated=deduplicated,
+            implied=implied,
         )
 
 
-def apply(df: DataFrame, rules: Sequence[Rule], hot_rows: int = HOT_ROWS) -> DataFrame:
+def apply(
+    df: DataFrame, rules: Sequence[Rule], hot_rows: int = HOT_ROWS, among: DataFrame | None = None
+) -> DataFrame:
     """``df`` with ``_errors`` and ``_warnings``; result columns of an earlier
-    stage are replaced."""
+    stage are replaced. Uniqueness is judged within ``among`` when ``df`` is a part
+    of that dataset."""
     checked = df.drop(ERRORS, WARNINGS)
     columns = checked.columns
     outcomes: list[tuple[Rule, str]] = []
@@ -102,13 +113,15 @@ def apply(df: DataFrame, rules: Sequence[Rule], hot_rows: int = HOT_ROWS) -> Dat
         if rule.predicate is not None:
             outcomes.append((rule, f"coalesce({rule.predicate}, false)"))
             continue
+        if rule.implied:
+            continue
         flag = f"_repeated_{position}"
         if rule.deduplicated:
             complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in rule.columns])
             copies = F.count(F.lit(1)).over(Window.partitionBy(*rule.columns))
             checked = checked.withColumn(flag, complete & (copies > 1))
         else:
-            checked = flag_repeated(checked, rule.columns, flag, hot_rows)
+            checked = flag_repeated(checked, rule.columns, flag, hot_rows, among=among)
         outcomes.append((rule, flag))
     return checked.select(
         *[F.col(f"`{c}`") for c in columns],

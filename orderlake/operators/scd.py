@@ -53,12 +53,20 @@ def versions(
         order = [F.asc(FROM), *[F.asc(c) for c in (tie_breakers or attributes)]]
         ended = kept.withColumn(TO, F.lead(FROM).over(Window.partitionBy(key).orderBy(*order)))
     else:
-        ended = _neighbour(kept.select(key, *attributes, FROM), key, FROM, TO, 1, slice_by)
+        rows = kept.select(key, *attributes, FROM)
+        # Slice edges are minima, so they need no collapse of equal starts first.
+        ended = _neighbour(rows, key, FROM, TO, 1, slice_by, edges_of=started)
     return ended.select(key, *attributes, FROM, TO, F.col(TO).isNull().alias(ACTIVE))
 
 
 def _neighbour(
-    df: DataFrame, key: str, value: str, out: str, step: int, slice_by: str | None
+    df: DataFrame,
+    key: str,
+    value: str,
+    out: str,
+    step: int,
+    slice_by: str | None,
+    edges_of: DataFrame | None = None,
 ) -> DataFrame:
     """``value`` of the key's next (step 1) or previous (step -1) version as ``out``.
 
@@ -70,9 +78,11 @@ def _neighbour(
     look = F.lead if step > 0 else F.lag
     if not slice_by:
         return df.withColumn(out, look(value).over(Window.partitionBy(key).orderBy(FROM)))
-    sliced = df.withColumn("_slice", F.date_trunc(slice_by, FROM))
+    in_slice = F.date_trunc(slice_by, FROM)
+    sliced = df.withColumn("_slice", in_slice)
     near_edge = F.min_by if step > 0 else F.max_by
-    edges = sliced.groupBy(key, "_slice").agg(near_edge(value, FROM).alias("_edge"))
+    source = df if edges_of is None else edges_of
+    edges = source.groupBy(key, in_slice.alias("_slice")).agg(near_edge(value, FROM).alias("_edge"))
     across = edges.select(
         key, "_slice", look("_edge").over(Window.partitionBy(key).orderBy("_slice")).alias("_across")
     )

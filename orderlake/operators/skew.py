@@ -22,9 +22,11 @@ def flag_repeated(
     flag: str,
     hot_rows: int = HOT_ROWS,
     max_hot_keys: int = MAX_HOT_KEYS,
+    among: DataFrame | None = None,
 ) -> DataFrame:
     """Add BOOLEAN ``flag``: does the row's key occur more than once?
 
+    Keys are counted in ``df`` itself, or in ``among`` when ``df`` is a part of it.
     A key with a NULL part never counts as repeated. Rows are counted per key
     with a map-side partial aggregate, then the verdict is joined back:
 
@@ -39,7 +41,8 @@ def flag_repeated(
     """
     keys = list(keys)
     complete = reduce(and_, [F.col(k).isNotNull() for k in keys])
-    repeated = df.where(complete).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    counted = (df if among is None else among).where(complete).groupBy(*keys)
+    repeated = counted.agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
     hot = (
         repeated.where(F.col("_n") >= hot_rows)
         .orderBy(F.desc("_n"), *keys)

@@ -30,6 +30,12 @@ class Entity:
     source_rules: Sequence[Rule]
     target_rules: Sequence[Rule]
 
+    @property
+    def deciding_rules(self) -> list[Rule]:
+        """The rules that can refuse a row. Warnings only show in the quarantine,
+        so repeated keys are looked up for its few rows and not for all."""
+        return [rule for rule in self.source_rules if rule.level == "error"]
+
 
 def _flag_rule() -> Rule:
     return Rule.expr(FLAG_RULE, FLAG_MATCHES_END, "Each row must have IsActive and EffectiveTo consistent")
@@ -70,8 +76,9 @@ def transform(batch: DataFrame, entity: Entity, keep_ties: bool = False, null_sk
     equal records, so no separate fingerprint step is needed. ``keep_ties=True``
     removes only equal records, by fingerprint.
     """
-    good, refused = quality.split(pin(quality.apply(batch, entity.source_rules)))
+    good, bad = quality.split(pin(quality.apply(batch, entity.deciding_rules)))
     records = good.drop(quality.ERRORS, quality.WARNINGS)
+    refused = quality.apply(bad, entity.source_rules, among=batch)
     if keep_ties:
         records = dedup.by_hash(records, entity.key, entity.attributes, INGESTED, null_skipping)
     dated = scd.versions(

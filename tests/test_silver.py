@@ -311,3 +311,22 @@ def test_products(spark, open_ended, active):
         ["product_id_not_null"],
         ["product_photos_qty_castable"],
     ]
+
+
+def test_valid_order_lines_are_unique_and_latest_changes_nothing(spark, sf_dir):
+    from orderlake import feeds
+    from orderlake.operators import dedup
+
+    valid = order_items.transform(feeds.order_items_raw(spark, sf_dir)).valid
+    assert valid.count() == valid.select("order_id", "order_item_id").distinct().count()
+    again = dedup.latest(valid, ["order_id", "order_item_id"], "_ingest_time", ["_source_file"])
+    assert rows(again, "order_id", "order_item_id", "price") == rows(valid, "order_id", "order_item_id", "price")
+
+
+def test_repeated_customers_are_only_a_warning_in_the_quarantine(spark):
+    data = [("1", None, "z", "a", "S"), ("1", "u", "z", "a", "S"), ("2", None, "z", "a", "S")]
+    result = people.transform(batch(spark, CUSTOMERS, data), people.CUSTOMERS)
+    got = {r.customer_id: r for r in result.source_invalid.collect()}
+    assert names(got["1"], "_warnings") == ["customer_id_unique"]
+    assert names(got["2"], "_warnings") == []
+    assert rows(result.valid, "customer_id") == [("1",)]
