@@ -14,8 +14,16 @@ from pyspark.sql import functions as F
 LINEAGE = ("_InsertTimeStamp", "_source_file")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+class Tables(dict):
+    """The given tables by name, each opened once."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        super().__init__()
+        self.spark, self.folder = spark, sf_dir.rstrip("/")
+
+    def __missing__(self, name: str) -> DataFrame:
+        self[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self[name]
 
 
 def _text(column: str) -> Column:
@@ -49,7 +57,7 @@ def _with_lineage(df: DataFrame, days: Column, ts: str = LINEAGE[0]) -> DataFram
     return df.withColumns({ts: ingested, LINEAGE[1]: file}).drop("load_no")
 
 
-def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def orders(tables: Tables) -> DataFrame:
     """Orders in silver form."""
     priority = F.col("o_orderpriority")
     status = (
@@ -67,7 +75,7 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         return placed + F.make_dt_interval(days=days.cast("int"))
 
     key = F.col("o_orderkey")
-    return table(spark, sf_dir, "orders").select(
+    return tables["orders"].select(
         _text("o_orderkey").alias("order_id"),
         _text("o_custkey").alias("customer_id"),
         status.alias("order_status"),
@@ -79,11 +87,11 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def orders_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def orders_raw(tables: Tables) -> DataFrame:
     """Orders as delivered: text timestamps, missing ids and times, and a newer
     copy of every tenth order."""
     number = F.col("order_id").cast("bigint")
-    delivered = _deliveries(orders(spark, sf_dir), {1: None, 2: number % 10 == 0})
+    delivered = _deliveries(orders(tables), {1: None, 2: number % 10 == 0})
     raw = delivered.select(
         F.when(number % 97 != 0, F.col("order_id")).alias("order_id"),
         "customer_id",
@@ -98,9 +106,9 @@ def orders_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_lineage(raw, F.col("load_no"))
 
 
-def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_items(tables: Tables) -> DataFrame:
     """Order lines; the line number repeats within an order for about a quarter."""
-    return table(spark, sf_dir, "lineitem").select(
+    return tables["lineitem"].select(
         _text("l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("order_item_id"),
         _text("l_partkey").alias("product_id"),
@@ -111,14 +119,14 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def order_items_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    once = order_items(spark, sf_dir).withColumn("load_no", F.lit(1))
+def order_items_raw(tables: Tables) -> DataFrame:
+    once = order_items(tables).withColumn("load_no", F.lit(1))
     return _with_lineage(once, F.lit(1), "_ingest_time")
 
 
-def order_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_payments(tables: Tables) -> DataFrame:
     """Every order pays once, every fourth twice; one payment type is unknown."""
-    paid = table(spark, sf_dir, "orders").withColumn(
+    paid = tables["orders"].withColumn(
         "payment_sequential", F.explode(F.array(F.lit(1), F.lit(2)))
     )
     kind = F.col("o_orderpriority")
@@ -139,16 +147,16 @@ def order_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def order_payments_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_payments_raw(tables: Tables) -> DataFrame:
     """The first payment of every sixth order is delivered again."""
     again = (F.col("order_id").cast("bigint") % 6 == 0) & (F.col("payment_sequential") == 1)
-    raw = _deliveries(order_payments(spark, sf_dir), {1: None, 2: again})
+    raw = _deliveries(order_payments(tables), {1: None, 2: again})
     return _with_lineage(raw, F.col("load_no"))
 
 
-def order_reviews_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_reviews_raw(tables: Tables) -> DataFrame:
     """Scores 0-6 as text, unreadable dates, missing ids, repeated keys."""
-    raw = _deliveries(table(spark, sf_dir, "documents"), {1: None, 2: _every("doc_id", 29)}).select(
+    raw = _deliveries(tables["documents"], {1: None, 2: _every("doc_id", 29)}).select(
         _blank_every("doc_id", 53).alias("review_id"),
         ((F.col("doc_id") * 7) % 15000).cast("string").alias("order_id"),
         (F.col("doc_id") % 7).cast("string").alias("review_score"),
@@ -163,22 +171,22 @@ def order_reviews_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_lineage(raw, F.lit(1))
 
 
-def _placed(spark: SparkSession, sf_dir: str, name: str, nation_key: str) -> DataFrame:
-    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
-    region = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    people = table(spark, sf_dir, name)
+def _placed(tables: Tables, name: str, nation_key: str) -> DataFrame:
+    nation = tables["nation"].select("n_nationkey", "n_name", "n_regionkey")
+    region = tables["region"].select("r_regionkey", "r_name")
+    people = tables[name]
     return people.join(nation, people[nation_key] == nation["n_nationkey"]).join(
         region, F.col("n_regionkey") == F.col("r_regionkey")
     )
 
 
-def customers_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def customers_raw(tables: Tables) -> DataFrame:
     """Delivery 2 comes a month later for every third customer, with a changed
     city for every second of them; delivery 3 repeats every fifth customer at the
     time of delivery 1, with another city for every tenth."""
     key = "c_custkey"
     placed = _deliveries(
-        _placed(spark, sf_dir, "customer", "c_nationkey"), {1: None, 2: _every(key, 3), 3: _every(key, 5)}
+        _placed(tables, "customer", "c_nationkey"), {1: None, 2: _every(key, 3), 3: _every(key, 5)}
     )
     number = F.col("load_no")
     city = (
@@ -197,10 +205,10 @@ def customers_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_lineage(raw, F.when(number == 2, 31).otherwise(0))
 
 
-def sellers_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sellers_raw(tables: Tables) -> DataFrame:
     """Delivery 2 repeats every second seller a month later."""
     placed = _deliveries(
-        _placed(spark, sf_dir, "supplier", "s_nationkey"), {1: None, 2: _every("s_suppkey", 2)}
+        _placed(tables, "supplier", "s_nationkey"), {1: None, 2: _every("s_suppkey", 2)}
     )
     raw = placed.select(
         _blank_every("s_suppkey", 37).alias("seller_id"),
@@ -212,11 +220,11 @@ def sellers_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_lineage(raw, F.when(F.col("load_no") == 2, 31).otherwise(0))
 
 
-def geolocation_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def geolocation_raw(tables: Tables) -> DataFrame:
     """One reading per customer, so places repeat; every fifth zip code has two
     coordinates; some readings lack a coordinate."""
     nation = F.col("n_nationkey")
-    placed = _placed(spark, sf_dir, "customer", "c_nationkey").withColumn("load_no", F.lit(1))
+    placed = _placed(tables, "customer", "c_nationkey").withColumn("load_no", F.lit(1))
     lat = nation + F.when(nation % 5 == 0, F.col("c_custkey") % 2).otherwise(0)
     raw = placed.select(
         _text("n_nationkey").alias("geolocation_zip_code_prefix"),
@@ -229,11 +237,11 @@ def geolocation_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_lineage(raw, F.lit(1))
 
 
-def products_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def products_raw(tables: Tables) -> DataFrame:
     """Delivery 2 comes a month later for every fourth product with another
     weight; every 13th has no category; every 89th has an unreadable number."""
     key = "p_partkey"
-    parts = _deliveries(table(spark, sf_dir, "part"), {1: None, 2: _every(key, 4)})
+    parts = _deliveries(tables["part"], {1: None, 2: _every(key, 4)})
     size = F.col("p_size")
     weight = size * 100 + F.when(F.col("load_no") == 2, 1).otherwise(0)
     photos = F.when(_every(key, 89), "n/a").otherwise((F.col(key) % 6).cast("string"))
@@ -252,10 +260,10 @@ def products_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_lineage(raw, F.when(F.col("load_no") == 2, 31).otherwise(0))
 
 
-def category_translation_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def category_translation_raw(tables: Tables) -> DataFrame:
     """One row per product, so names repeat; ``promo`` has no English form and the
     second delivery renames ``small``."""
-    parts = _deliveries(table(spark, sf_dir, "part"), {1: None, 2: _every("p_partkey", 2)})
+    parts = _deliveries(tables["part"], {1: None, 2: _every("p_partkey", 2)})
     name = F.lower("p_type")
     changed = (F.col("load_no") == 2) & (name == "small")
     raw = parts.select(
@@ -268,11 +276,11 @@ def category_translation_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_lineage(raw, F.col("load_no"))
 
 
-def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def changes(tables: Tables) -> DataFrame:
     """Change rows with distinct event times. Batch 2 starts at 2024-01-15; every
     third user stays in batch 1, so some keys are never touched by batch 2."""
     late = (F.col("ts") >= F.lit("2024-01-15 00:00:00").cast("timestamp")) & ~_every("user_id", 3)
-    return table(spark, sf_dir, "events").select(
+    return tables["events"].select(
         "user_id",
         "event_type",
         F.col("ts").cast("timestamp").alias("changed_at"),

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
 from orderlake import feeds, session
+from orderlake.feeds import Tables
 from orderlake.functions.keys import record_hash
 from orderlake.operators import dedup, quality, scd
 from orderlake.plans import business, dashboards, gold
@@ -64,8 +65,12 @@ class Lake:
     spark: SparkSession
     sf_dir: str
 
+    @cached_property
+    def tables(self) -> Tables:
+        return Tables(self.spark, self.sf_dir)
+
     def feed(self, name: str) -> DataFrame:
-        return getattr(feeds, name)(self.spark, self.sf_dir)
+        return getattr(feeds, name)(self.tables)
 
     @cached_property
     def orders(self) -> DataFrame:
@@ -156,7 +161,7 @@ def _warnings() -> Column:
 
 @query
 def dq_orders_split(spark, sf_dir):
-    checked = quality.apply(feeds.orders_raw(spark, sf_dir), orders.SOURCE_RULES)
+    checked = quality.apply(feeds.orders_raw(Tables(spark, sf_dir)), orders.SOURCE_RULES)
     return checked.select(
         "order_id",
         "customer_id",
@@ -170,7 +175,7 @@ def dq_orders_split(spark, sf_dir):
 
 @query
 def dq_orders_target(spark, sf_dir):
-    valid = orders.transform(feeds.orders_raw(spark, sf_dir)).valid
+    valid = orders.transform(feeds.orders_raw(Tables(spark, sf_dir))).valid
     return valid.select(
         "order_id", "order_status", "order_approved_ts", "order_delivered_carrier_ts", _warnings()
     )
@@ -178,13 +183,13 @@ def dq_orders_target(spark, sf_dir):
 
 @query
 def dq_items_split(spark, sf_dir):
-    checked = quality.apply(feeds.order_items_raw(spark, sf_dir), order_items.SOURCE_RULES)
+    checked = quality.apply(feeds.order_items_raw(Tables(spark, sf_dir)), order_items.SOURCE_RULES)
     return checked.select("order_id", "order_item_id", "product_id", "seller_id", "price", _errors())
 
 
 @query
 def dq_payments_split(spark, sf_dir):
-    result = order_payments.transform(feeds.order_payments_raw(spark, sf_dir))
+    result = order_payments.transform(feeds.order_payments_raw(Tables(spark, sf_dir)))
     columns = ["order_id", "payment_sequential", "payment_type"]
     return result.valid.select(*columns, _errors()).unionByName(
         result.target_invalid.select(*columns, _errors())
@@ -193,7 +198,7 @@ def dq_payments_split(spark, sf_dir):
 
 @query
 def reject_duplicates(spark, sf_dir):
-    _, repeated = dedup.reject_duplicates(feeds.order_items(spark, sf_dir), ["order_id", "order_item_id"])
+    _, repeated = dedup.reject_duplicates(feeds.order_items(Tables(spark, sf_dir)), ["order_id", "order_item_id"])
     return repeated.groupBy("order_id", "order_item_id").agg(
         F.count(F.lit(1)).alias("rows_of_key"), business.exact_sum(F.col("price")).alias("price")
     )
@@ -206,13 +211,13 @@ def reviews_valid(spark, sf_dir):
 
 @query
 def reviews_quarantine(spark, sf_dir):
-    refused = order_reviews.transform(feeds.order_reviews_raw(spark, sf_dir)).source_invalid
+    refused = order_reviews.transform(feeds.order_reviews_raw(Tables(spark, sf_dir))).source_invalid
     return refused.drop("_source_file", "_InsertTimeStamp")
 
 
 @query
 def customers_quarantine(spark, sf_dir):
-    refused = people.transform(feeds.customers_raw(spark, sf_dir), people.CUSTOMERS).source_invalid
+    refused = people.transform(feeds.customers_raw(Tables(spark, sf_dir)), people.CUSTOMERS).source_invalid
     return refused.select(
         "customer_id", "customer_unique_id", "customer_city", _delivery(), _errors(), _warnings()
     )
@@ -220,13 +225,13 @@ def customers_quarantine(spark, sf_dir):
 
 @query
 def products_quarantine(spark, sf_dir):
-    refused = products.transform(feeds.products_raw(spark, sf_dir)).source_invalid
+    refused = products.transform(feeds.products_raw(Tables(spark, sf_dir))).source_invalid
     return refused.select("product_id", "product_photos_qty", "product_weight_g", _errors(), _warnings())
 
 
 @query
 def payments_quarantine(spark, sf_dir):
-    result = order_payments.transform(feeds.order_payments_raw(spark, sf_dir))
+    result = order_payments.transform(feeds.order_payments_raw(Tables(spark, sf_dir)))
     refused = result.source_invalid.unionByName(result.target_invalid, allowMissingColumns=True)
     return refused.select("order_id", "payment_sequential", "payment_type", "payment_value", _errors())
 
@@ -236,13 +241,13 @@ def payments_quarantine(spark, sf_dir):
 
 @query
 def items_latest(spark, sf_dir):
-    items = feeds.order_items(spark, sf_dir)
+    items = feeds.order_items(Tables(spark, sf_dir))
     return dedup.latest(items, ["order_id", "order_item_id"], "shipping_limit_date")
 
 
 @query
 def geo_exact_dedup(spark, sf_dir):
-    readings = feeds.geolocation_raw(spark, sf_dir)
+    readings = feeds.geolocation_raw(Tables(spark, sf_dir))
     places = dedup.exact(readings, geolocation.COLUMNS, "_InsertTimeStamp").select(geolocation.COLUMNS)
     return places.withColumns({c: F.col(c).try_cast("double") for c in geolocation.TYPES})
 
@@ -251,7 +256,7 @@ def geo_exact_dedup(spark, sf_dir):
 def customers_hash_dedup(spark, sf_dir):
     attributes = list(people.CUSTOMERS.attributes)
     distinct = dedup.by_hash(
-        feeds.customers_raw(spark, sf_dir), "customer_id", attributes, "_InsertTimeStamp", null_skipping=True
+        feeds.customers_raw(Tables(spark, sf_dir)), "customer_id", attributes, "_InsertTimeStamp", null_skipping=True
     )
     return distinct.select(
         "customer_id",
@@ -262,7 +267,7 @@ def customers_hash_dedup(spark, sf_dir):
 
 @query
 def translation_dedup(spark, sf_dir):
-    named = feeds.category_translation_raw(spark, sf_dir).where(
+    named = feeds.category_translation_raw(Tables(spark, sf_dir)).where(
         F.col("product_category_name_english").isNotNull()
     )
     latest = dedup.latest(named, [category_translation.KEY], "_InsertTimeStamp")
@@ -274,19 +279,19 @@ def translation_dedup(spark, sf_dir):
 
 @query
 def silver_orders(spark, sf_dir):
-    valid = orders.transform(feeds.orders_raw(spark, sf_dir)).valid
+    valid = orders.transform(feeds.orders_raw(Tables(spark, sf_dir))).valid
     return valid.drop("_source_file", "_InsertTimeStamp", quality.ERRORS, quality.WARNINGS)
 
 
 @query
 def silver_items(spark, sf_dir):
-    valid = order_items.transform(feeds.order_items_raw(spark, sf_dir)).valid
+    valid = order_items.transform(feeds.order_items_raw(Tables(spark, sf_dir))).valid
     return valid.drop("_source_file", "_ingest_time", quality.ERRORS, quality.WARNINGS)
 
 
 @query
 def silver_payments(spark, sf_dir):
-    valid = order_payments.transform(feeds.order_payments_raw(spark, sf_dir)).valid
+    valid = order_payments.transform(feeds.order_payments_raw(Tables(spark, sf_dir))).valid
     return valid.drop("_source_file", "_InsertTimeStamp", quality.ERRORS, quality.WARNINGS)
 
 
@@ -323,14 +328,14 @@ def _versions(changes: DataFrame) -> DataFrame:
 
 
 def _merged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    changes = feeds.changes(spark, sf_dir)
+    changes = feeds.changes(Tables(spark, sf_dir))
     first, second = (changes.where(F.col("batch_no") == n) for n in (1, 2))
     return scd.apply(_versions(first), _versions(second), "user_id")
 
 
 @query
 def scd2_versions(spark, sf_dir):
-    return _versions(feeds.changes(spark, sf_dir))
+    return _versions(feeds.changes(Tables(spark, sf_dir)))
 
 
 @query
@@ -345,14 +350,14 @@ def scd2_active(spark, sf_dir):
 
 @query
 def scd2_open_ended(spark, sf_dir):
-    changes = dedup.by_hash(feeds.changes(spark, sf_dir), "user_id", ["event_type"], "changed_at")
+    changes = dedup.by_hash(feeds.changes(Tables(spark, sf_dir)), "user_id", ["event_type"], "changed_at")
     dated = scd.versions(changes, "user_id", "changed_at", ["event_type"], open_ended=True)
     return dated.drop(scd.TO)
 
 
 @query
 def scd2_changes_only(spark, sf_dir):
-    changes = feeds.changes(spark, sf_dir)
+    changes = feeds.changes(Tables(spark, sf_dir))
     first, second = (_versions(changes.where(F.col("batch_no") == n)) for n in (1, 2))
     attributes = ["event_type"]
     target = scd.drop_unchanged(first.limit(0), first, "user_id", attributes, SLICE)
@@ -362,7 +367,7 @@ def scd2_changes_only(spark, sf_dir):
 
 @query
 def scd2_rebuild(spark, sf_dir):
-    changes = feeds.changes(spark, sf_dir)
+    changes = feeds.changes(Tables(spark, sf_dir))
     late_first = scd.apply(
         _versions(changes.where("batch_no = 2")), _versions(changes.where("batch_no = 1")), "user_id"
     )
@@ -371,7 +376,7 @@ def scd2_rebuild(spark, sf_dir):
 
 @query
 def scd1_upsert(spark, sf_dir):
-    changes = feeds.changes(spark, sf_dir)
+    changes = feeds.changes(Tables(spark, sf_dir))
     target, source = (
         dedup.latest(changes.where(F.col("batch_no") == n), ["user_id"], "changed_at") for n in (1, 2)
     )
@@ -380,7 +385,7 @@ def scd1_upsert(spark, sf_dir):
 
 @query
 def merge_general(spark, sf_dir):
-    changes = feeds.changes(spark, sf_dir)
+    changes = feeds.changes(Tables(spark, sf_dir))
 
     def state(batch_no: int) -> DataFrame:
         return (
@@ -419,7 +424,7 @@ def merge_general(spark, sf_dir):
 
 @query
 def dim_date(spark, sf_dir):
-    return gold.dim_date(feeds.orders(spark, sf_dir))
+    return gold.dim_date(feeds.orders(Tables(spark, sf_dir)))
 
 
 @query
@@ -590,7 +595,7 @@ class Stage:
 
 def _ingest_orders(spark: SparkSession, sf_dir: str, stage: Stage) -> str:
     """All deliveries of the orders feed as CSV, then through the bronze stream."""
-    delivered = feeds.orders_raw(spark, sf_dir).select(FEED_SCHEMAS["orders"].schema.names)
+    delivered = feeds.orders_raw(Tables(spark, sf_dir)).select(FEED_SCHEMAS["orders"].schema.names)
     delivered.write.option("header", True).csv(stage.path("landing"))
     table = stage.table("bronze_orders")
     bronze.run_bronze(
@@ -613,7 +618,7 @@ def bronze_ingest(spark, sf_dir):
 @query
 def stream_orders_to_silver(spark, sf_dir):
     stage = Stage(spark)
-    source = _bronze_table(spark, feeds.orders_raw(spark, sf_dir), stage, "orders_raw")
+    source = _bronze_table(spark, feeds.orders_raw(Tables(spark, sf_dir)), stage, "orders_raw")
     silver.run_silver(spark, "orders", source, stage.path("silver"), stage.schema).awaitTermination()
     return spark.table(stage.table("orders")).drop(
         "_InsertTimeStamp", "_source_file", "batch_id", "processed_at"
@@ -624,7 +629,7 @@ def stream_orders_to_silver(spark, sf_dir):
 def stream_customers_to_silver(spark, sf_dir):
     """Two deliveries in two runs of the stream: a type 2 merge across batches."""
     stage = Stage(spark)
-    delivered = feeds.customers_raw(spark, sf_dir)
+    delivered = feeds.customers_raw(Tables(spark, sf_dir))
     later = F.col("_source_file") == "load_2"
     for part in (delivered.where(~later), delivered.where(later)):
         source = _bronze_table(spark, part, stage, "customers_raw")

@@ -160,7 +160,7 @@ def test_two_source_rows_for_one_target_row_are_an_error(spark):
 
 def test_event_feed_as_two_batches(spark):
     """Known counts: batch 2 without every third user, at the middle scale."""
-    all_changes = feeds.table(spark, "/root/testdata/sf0.01", "events").select(
+    all_changes = feeds.Tables(spark, "/root/testdata/sf0.01")["events"].select(
         F.col("user_id").alias("k"), F.col("ts").cast("timestamp").alias("t"), F.col("event_type").alias("v")
     )
     cut = F.col("t") < F.lit("2024-01-15").cast("timestamp")

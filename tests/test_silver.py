@@ -317,7 +317,7 @@ def test_valid_order_lines_are_unique_and_latest_changes_nothing(spark, sf_dir):
     from orderlake import feeds
     from orderlake.operators import dedup
 
-    valid = order_items.transform(feeds.order_items_raw(spark, sf_dir)).valid
+    valid = order_items.transform(feeds.order_items_raw(feeds.Tables(spark, sf_dir))).valid
     assert valid.count() == valid.select("order_id", "order_item_id").distinct().count()
     again = dedup.latest(valid, ["order_id", "order_item_id"], "_ingest_time", ["_source_file"])
     assert rows(again, "order_id", "order_item_id", "price") == rows(valid, "order_id", "order_item_id", "price")

@@ -126,7 +126,7 @@ def test_a_replayed_batch_changes_nothing_in_a_versioned_table(spark, stage):
 
 def test_a_replayed_batch_changes_nothing_in_an_append_table(spark, stage, sf_dir):
     feed = silver.FEEDS["orders"]
-    raw = feeds.orders_raw(spark, sf_dir)
+    raw = feeds.orders_raw(feeds.Tables(spark, sf_dir))
     for number in (0, 0, 1, 1):
         silver.process_batch(feed, raw, number, stage.schema)
     table = spark.table(stage.table("orders"))
@@ -194,7 +194,7 @@ RAW = {
 def test_all_layers_end_to_end(spark, stage, sf_dir):
     """Nine feeds into silver, then gold and the business views from the tables."""
     for name, raw in RAW.items():
-        silver.process_batch(silver.FEEDS[name], getattr(feeds, raw)(spark, sf_dir), 0, stage.schema)
+        silver.process_batch(silver.FEEDS[name], getattr(feeds, raw)(feeds.Tables(spark, sf_dir)), 0, stage.schema)
         table = spark.table(stage.table(name))
         assert table.count() > 0
         assert not {"_errors", "_warnings"} & set(table.columns)
@@ -210,8 +210,8 @@ def test_all_layers_end_to_end(spark, stage, sf_dir):
 def test_bucketed_orders_are_not_shuffled_for_their_child_facts(spark, stage, sf_dir):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        sinks.write_table(feeds.orders(spark, sf_dir), stage.table("o"), 4, "order_id")
-        joined = feeds.order_payments(spark, sf_dir).join(spark.table(stage.table("o")), "order_id", "left")
+        sinks.write_table(feeds.orders(feeds.Tables(spark, sf_dir)), stage.table("o"), 4, "order_id")
+        joined = feeds.order_payments(feeds.Tables(spark, sf_dir)).join(spark.table(stage.table("o")), "order_id", "left")
         plan = joined._jdf.queryExecution().executedPlan().toString()
         assert plan.count("Exchange hashpartitioning") == 1
     finally:
