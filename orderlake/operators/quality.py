@@ -107,27 +107,30 @@ def apply(
     stage are replaced. Uniqueness is judged within ``among`` when ``df`` is a part
     of that dataset."""
     checked = df.drop(ERRORS, WARNINGS)
-    columns = checked.columns
     outcomes: list[tuple[Rule, str]] = []
-    for position, rule in enumerate(rules):
+    flags: list[str] = []
+    for rule in rules:
         if rule.predicate is not None:
             outcomes.append((rule, f"coalesce({rule.predicate}, false)"))
             continue
         if rule.implied:
             continue
-        flag = f"_repeated_{position}"
+        flag = f"_repeated_{len(flags)}"
         if rule.deduplicated:
-            complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in rule.columns])
+            complete = F.expr(" AND ".join(f"`{c}` IS NOT NULL" for c in rule.columns))
             copies = F.count(F.lit(1)).over(Window.partitionBy(*rule.columns))
             checked = checked.withColumn(flag, complete & (copies > 1))
         else:
             checked = flag_repeated(checked, rule.columns, flag, hot_rows, among=among)
+        flags.append(flag)
         outcomes.append((rule, flag))
-    return checked.select(
-        *[F.col(f"`{c}`") for c in columns],
-        _failures([o for o in outcomes if o[0].level == "error"]).alias(ERRORS),
-        _failures([o for o in outcomes if o[0].level == "warn"]).alias(WARNINGS),
+    judged = checked.withColumns(
+        {
+            ERRORS: _failures([o for o in outcomes if o[0].level == "error"]),
+            WARNINGS: _failures([o for o in outcomes if o[0].level == "warn"]),
+        }
     )
+    return judged.drop(*flags) if flags else judged
 
 
 def _failures(outcomes: Sequence[tuple[Rule, str]]) -> Column:

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_, or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,26 +37,27 @@ def flag_repeated(
     Rows with a NULL key are spread as well. The spread uses the partition number,
     not a random number, so a task that runs again sends its rows the same way.
     """
-    keys = list(keys)
-    complete = reduce(and_, [F.col(k).isNotNull() for k in keys])
+    complete = " AND ".join(f"`{k}` IS NOT NULL" for k in keys)
     counted = (df if among is None else among).where(complete).groupBy(*keys)
     repeated = counted.agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    hot = (
-        repeated.where(F.col("_n") >= hot_rows)
-        .orderBy(F.desc("_n"), *keys)
-        .limit(max_hot_keys)
-        .select(*keys, F.lit(True).alias("_hot"))
-    )
+    renamed = [f"`{k}` AS _key{i}" for i, k in enumerate(keys)]
+    same_key = " AND ".join(f"`{k}` = _key{i}" for i, k in enumerate(keys))
+    helpers = [f"_key{i}" for i in range(len(keys))]
+
+    hottest = repeated.where(F.col("_n") >= hot_rows).orderBy(F.desc("_n"), *keys).limit(max_hot_keys)
+    hot = hottest.selectExpr(*renamed, "true AS _hot")
     # Always -1, but not a literal: the optimizer would fold a literal into a plain
     # condition and leave it out of the partitioning.
-    same_place = F.least(F.col("_n"), F.lit(-1)).alias("_spread")
-    lookup = repeated.select(*keys, same_place, F.lit(True).alias("_repeated"))
+    lookup = repeated.selectExpr(*renamed, "least(_n, -1L) AS _place", "true AS _repeated")
 
-    settled = reduce(or_, [F.col(k).isNull() for k in keys], F.col("_hot").isNotNull())
-    spread = df.join(F.broadcast(hot), keys, "left").withColumn(
-        "_spread", F.when(settled, F.spark_partition_id().cast("bigint")).otherwise(F.lit(-1))
+    settled = f"_hot OR NOT ({complete})"
+    spread = (
+        df.join(F.broadcast(hot), F.expr(same_key), "left")
+        .withColumn("_spread", F.expr(f"IF({settled}, CAST(spark_partition_id() AS bigint), -1L)"))
+        .drop(*helpers)
     )
-    return spread.join(lookup, [*keys, "_spread"], "left").select(
-        *[F.col(f"`{c}`") for c in df.columns],
-        F.coalesce("_hot", "_repeated", F.lit(False)).alias(flag),
+    return (
+        spread.join(lookup, F.expr(f"{same_key} AND _spread = _place"), "left")
+        .withColumn(flag, F.expr("coalesce(_hot, _repeated, false)"))
+        .drop(*helpers, "_hot", "_spread", "_place", "_repeated")
     )
