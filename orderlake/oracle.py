@@ -310,6 +310,8 @@ from l_payments""",
 select order_id, order_item_id, count(*) rows_of_key,
        cast(sum(cast(price as decimal(18,2))) as double) price
 from a_items group by order_id, order_item_id having count(*) > 1""",
+    "duplicate_keys": """
+select order_id, order_item_id from a_items group by order_id, order_item_id having count(*) > 1""",
     "reviews_valid": "select * from s_reviews",
     "reviews_quarantine": """
 select order_id, review_id,
@@ -337,6 +339,23 @@ from a_customers""",
     "silver_customers": "select * from s_customers",
     "silver_sellers": "select * from s_sellers",
     "silver_products": "select * from s_products",
+    "silver_customers_keep_ties": """
+with kept as (
+  select * from a_customers
+  where customer_id is not null and customer_unique_id is not null
+  qualify row_number() over (
+    partition by customer_id, ingested, customer_unique_id, customer_zip_code_prefix, customer_city, customer_state
+    order by load_no desc) = 1)
+select customer_id, customer_unique_id, customer_zip_code_prefix, customer_city, customer_state,
+       ingested EffectiveFrom,
+       lead(ingested) over (partition by customer_id order by ingested, load_no) EffectiveTo,
+       lead(ingested) over (partition by customer_id order by ingested, load_no) is null IsActive
+from kept""",
+    "silver_products_open_ended": """
+select product_id, product_category_name, product_name_length, product_description_length,
+       product_photos_qty, product_weight_g, product_length_cm, product_height_cm, product_width_cm,
+       ingested EffectiveFrom, true IsActive
+from k_products""",
     "customers_quarantine": f"""
 select customer_id, customer_unique_id, customer_city, load_no,
        {_names(("customer_id_not_null", "customer_id is null"),
@@ -521,6 +540,8 @@ select order_id, customer_id, order_status, order_purchase_timestamp, order_appr
 from a_orders_raw""",
     "stream_orders_to_silver": "select * from s_orders",
     "stream_customers_to_silver": "select * from s_customers",
+    "stream_translation_to_silver": "select * from s_translation",
+    "current_orders": "select * from s_orders",
 }
 
 

@@ -10,14 +10,16 @@ from orderlake.operators import scd
 from orderlake.plans.business import paid_per_order
 
 
-def active_customers_by_day(orders: DataFrame, customers: DataFrame) -> DataFrame:
-    """Distinct buyers per day (not only first-time buyers), in day order."""
+def active_customers_by_day(orders: DataFrame, customers: DataFrame, approx: bool = False) -> DataFrame:
+    """Distinct buyers per day (not only first-time buyers), in day order; exact,
+    or a sketch-based estimate with ``approx=True``."""
+    distinct = F.approx_count_distinct if approx else F.count_distinct
     visits = orders.select(F.to_date("order_purchase_ts").alias("signup_date"), "customer_id").distinct()
     people = scd.active(customers).select("customer_id", "customer_unique_id")
     return (
         visits.join(people, "customer_id")
         .groupBy("signup_date")
-        .agg(F.count_distinct("customer_unique_id").alias("new_customers"))
+        .agg(distinct("customer_unique_id").alias("new_customers"))
         .orderBy("signup_date")
     )
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 
 from orderlake.operators import quality
 from orderlake.operators.quality import Rule
-from orderlake.plans.silver.result import SOURCE_FILE, Pin, Result, cast_rules, casts, unpinned
+from orderlake.plans.silver.result import SOURCE_FILE, Pin, Result, cast_rules, casts, unparsed_rules, unpinned
 
 # This feed names its ingest time differently from the others.
 INGESTED = "_ingest_time"
@@ -46,7 +46,7 @@ TARGET_RULES = [
 
 
 def transform(batch: DataFrame, strict_casts: bool = True, pin: Pin = unpinned) -> Result:
-    checked = pin(quality.apply(batch, [*SOURCE_RULES, *cast_rules(TYPES, strict_casts)]))
+    checked = pin(quality.apply(batch, [*SOURCE_RULES, *cast_rules(TYPES, strict_casts), *unparsed_rules(batch)]))
     good, refused = quality.split(checked)
     cast = good.select("order_id", "product_id", "seller_id", *casts(TYPES), INGESTED, SOURCE_FILE)
     valid, late_refused = quality.split(quality.apply(cast, TARGET_RULES))

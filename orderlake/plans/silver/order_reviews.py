@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from orderlake.operators import quality
 from orderlake.operators.quality import REASON
 from orderlake.plans.silver.result import INGESTED, SOURCE_FILE, Pin, Result, unpinned
+from orderlake.schemas import UNPARSED
 
 KEYS = ["order_id", "review_id"]
 # The score pattern and the timestamp format.
@@ -54,6 +55,8 @@ def transform(batch: DataFrame, pin: Pin = unpinned) -> Result:
         }
     )
     unreadable = F.col("_score").isNull() | F.col("review_creation_ts").isNull()
+    if UNPARSED in batch.columns:
+        unreadable = unreadable | F.col(UNPARSED).isNotNull()
     judged = pin(quality.reason_split(parsed, KEYS, unreadable))
 
     valid = judged.where(F.col(REASON).isNull()).withColumn("review_score", F.col("_score"))

@@ -9,9 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlake.operators.quality import Rule
+from orderlake.schemas import INGESTED, SOURCE_FILE, UNPARSED
 
-INGESTED = "_InsertTimeStamp"
-SOURCE_FILE = "_source_file"
+__all__ = ["INGESTED", "SOURCE_FILE", "Pin", "Result", "cast_rules", "casts", "unparsed_rules", "unpinned"]
 
 
 class Result(NamedTuple):
@@ -36,6 +36,13 @@ def cast_rules(types: Mapping[str, str], strict: bool) -> list[Rule]:
     return [Rule.castable(c, t) for c, t in types.items()] if strict else []
 
 
+def unparsed_rules(batch: DataFrame) -> list[Rule]:
+    """Refuse lines that ingest could not fit into the feed's types."""
+    if UNPARSED not in batch.columns:
+        return []
+    return [Rule.expr("line_parsed", f"{UNPARSED} IS NULL", "the line does not fit the feed's types")]
+
+
 def casts(types: Mapping[str, str], rename: Mapping[str, str] | None = None) -> list[Column]:
     """Tolerant conversions, in order, under their new names."""
     rename = rename or {}

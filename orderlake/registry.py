@@ -204,6 +204,11 @@ def reject_duplicates(spark, sf_dir):
     )
 
 
+@query
+def duplicate_keys(spark, sf_dir):
+    return dedup.duplicate_keys(feeds.order_items(Tables(spark, sf_dir)), ["order_id", "order_item_id"])
+
+
 @query
 def reviews_valid(spark, sf_dir):
     return Lake(spark, sf_dir).reviews.drop("_source_file", "_InsertTimeStamp")
@@ -320,6 +325,18 @@ def silver_products(spark, sf_dir):
     return Lake(spark, sf_dir).products.drop("_InsertTimeStamp")
 
 
+@query
+def silver_customers_keep_ties(spark, sf_dir):
+    raw = feeds.customers_raw(Tables(spark, sf_dir))
+    return people.transform(raw, people.CUSTOMERS, keep_ties=True).valid
+
+
+@query
+def silver_products_open_ended(spark, sf_dir):
+    raw = feeds.products_raw(Tables(spark, sf_dir))
+    return products.transform(raw, open_ended=True).valid.drop("_InsertTimeStamp", scd.TO)
+
+
 # --- slowly changing dimensions -------------------------------------------
 
 
@@ -612,7 +629,7 @@ def bronze_ingest(spark, sf_dir):
         for f in ingested.schema.fields
         if isinstance(f.dataType, TimestampType)
     }
-    return ingested.withColumns(texts).drop("_InsertTimeStamp", "_source_file")
+    return ingested.withColumns(texts).drop("_InsertTimeStamp", "_source_file", "_corrupt_record")
 
 
 @query
@@ -639,6 +656,32 @@ def stream_customers_to_silver(spark, sf_dir):
     return spark.table(stage.table("customers"))
 
 
+@query
+def stream_translation_to_silver(spark, sf_dir):
+    """Two deliveries in two runs of the stream: a type 1 merge across batches."""
+    stage = Stage(spark)
+    delivered = feeds.category_translation_raw(Tables(spark, sf_dir))
+    for file in ("load_1", "load_2"):
+        part = delivered.where(F.col("_source_file") == file)
+        source = _bronze_table(spark, part, stage, "translation_raw")
+        silver.run_silver(
+            spark, "product_category_translation", source, stage.path("silver"), stage.schema
+        ).awaitTermination()
+    return spark.table(stage.table("product_category_translation")).drop("_InsertTimeStamp")
+
+
+@query
+def current_orders(spark, sf_dir):
+    """Two deliveries appended by two batches, then the newest row per order."""
+    stage = Stage(spark)
+    delivered = feeds.orders_raw(Tables(spark, sf_dir))
+    for file in ("load_1", "load_2"):
+        part = delivered.where(F.col("_source_file") == file)
+        source = _bronze_table(spark, part, stage, "orders_raw")
+        silver.run_silver(spark, "orders", source, stage.path("silver"), stage.schema).awaitTermination()
+    return silver.current(spark, "orders", stage.schema).drop("_InsertTimeStamp", "_source_file", "batch_id")
+
+
 def _bronze_table(spark: SparkSession, df: DataFrame, stage: Stage, name: str) -> str:
     table = stage.table(name)
     df.write.mode("append").format("parquet").saveAsTable(table)

@@ -11,6 +11,8 @@ from pyspark.sql.types import StructType
 
 INGESTED = "_InsertTimeStamp"
 SOURCE_FILE = "_source_file"
+# Holds the raw line of a row in a typed feed that did not fit its types.
+UNPARSED = "_corrupt_record"
 
 
 @dataclass(frozen=True)
@@ -26,6 +28,11 @@ class Feed:
     def schema(self) -> StructType:
         return StructType.fromDDL(self.ddl)
 
+    @property
+    def read_schema(self) -> StructType:
+        """With room for lines that do not fit, so that no value gets lost."""
+        return self.schema.add(UNPARSED, "string") if self.typed else self.schema
+
 
 def _text(*columns: str) -> str:
     return ", ".join(f"{c} STRING" for c in columns)

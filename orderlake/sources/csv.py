@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from orderlake.schemas import INGESTED, SOURCE_FILE
+from orderlake.schemas import INGESTED, SOURCE_FILE, UNPARSED
 
 MAX_LAYOUTS = 1000
 
@@ -34,6 +34,7 @@ def csv_stream(
         spark.readStream.schema(resolve_schema(spark, path, schema, infer_types, schema_path))
         .option("header", True)
         .option("enforceSchema", False)
+        .option("columnNameOfCorruptRecord", UNPARSED)
     )
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)

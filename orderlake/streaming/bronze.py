@@ -25,6 +25,9 @@ def run_bronze(
 ) -> StreamingQuery:
     """Ingest what has arrived in ``source`` since the last run.
 
+    A line of a typed feed that does not fit its types is kept whole in an extra
+    column, for which the silver gate refuses the row.
+
     ``schema=None`` takes the schema from the files instead of the feed's own:
     typed feeds infer types, the others stay text. The caller waits on the query.
     """
@@ -32,7 +35,7 @@ def run_bronze(
     stream = csv_stream(
         spark,
         source,
-        schema=feed.schema if schema is USE_FEED_SCHEMA else schema,
+        schema=feed.read_schema if schema is USE_FEED_SCHEMA else schema,
         infer_types=feed.typed,
         schema_path=schema_path,
         files_per_batch=files_per_batch,

@@ -10,7 +10,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from orderlake.operators import quality
+from orderlake.operators import dedup, quality
 from orderlake.plans.silver import (
     category_translation,
     geolocation,
@@ -21,7 +21,7 @@ from orderlake.plans.silver import (
     people,
     products,
 )
-from orderlake.plans.silver.result import Pin, Result
+from orderlake.plans.silver.result import INGESTED, SOURCE_FILE, Pin, Result
 from orderlake.streaming import sinks
 
 # Batches of a later generation sort after all batches of an earlier one.
@@ -40,6 +40,8 @@ class SilverFeed:
     target_quarantine: str | None = None
     batch_column: str = sinks.BATCH
     time_column: str = "processed_at"
+    row_key: tuple[str, ...] = ()
+    ingested: str = INGESTED
 
 
 # Names of the tables and their quarantines.
@@ -52,20 +54,30 @@ FEEDS = {
         "source_invalid",
         "target_invalid",
     ),
-    "geolocation": SilverFeed("geolocation", geolocation.transform),
-    "order_items": SilverFeed("order_items", order_items.transform, target_quarantine="invalid_target"),
-    "order_payments": SilverFeed("order_payments", order_payments.transform),
+    "geolocation": SilverFeed("geolocation", geolocation.transform, row_key=tuple(geolocation.COLUMNS)),
+    "order_items": SilverFeed(
+        "order_items",
+        order_items.transform,
+        target_quarantine="invalid_target",
+        row_key=("order_id", "order_item_id"),
+        ingested=order_items.INGESTED,
+    ),
+    "order_payments": SilverFeed(
+        "order_payments", order_payments.transform, row_key=("order_id", "payment_sequential")
+    ),
     "order_reviews": SilverFeed(
         "order_reviews",
         order_reviews.transform,
         batch_column="dq_batch_id",
         time_column="dq_processed_at",
+        row_key=("order_id", "review_id"),
     ),
     "orders": SilverFeed(
         "orders",
         orders.transform,
         source_quarantine="invalid_source",
         target_quarantine="invalid_target",
+        row_key=("order_id",),
     ),
     "product_category_translation": SilverFeed(
         "product_category_translation",
@@ -119,6 +131,14 @@ def run_silver(
     return writer.start()
 
 
+def current(spark: SparkSession, feed: SilverFeed | str, namespace: str = "silver") -> DataFrame:
+    """Newest row per key over all batches of an append table. Batches are
+    deduplicated one by one, so a key delivered again is in the table again."""
+    feed = FEEDS[feed] if isinstance(feed, str) else feed
+    rows = spark.table(f"{namespace}.{feed.table}").drop(feed.time_column)
+    return dedup.latest(rows, list(feed.row_key), feed.ingested, [feed.batch_column, SOURCE_FILE])
+
+
 def process_batch(feed: SilverFeed, batch: DataFrame, batch_id: int, namespace: str = "silver") -> None:
     """One batch into the table and its quarantines. Safe to run again."""
     if batch.isEmpty():

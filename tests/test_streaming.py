@@ -216,3 +216,28 @@ def test_bucketed_orders_are_not_shuffled_for_their_child_facts(spark, stage, sf
         assert plan.count("Exchange hashpartitioning") == 1
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
+
+
+def test_a_line_that_does_not_fit_is_quarantined_whole(spark, stage):
+    header = "order_id,payment_sequential,payment_type,payment_installments,payment_value\n"
+    stage.drop_file("in", "a.csv", header + "1,1,voucher,1,5.5\n2,1,voucher,1,a lot\n3,1,voucher,1,\n")
+    bronze.run_bronze(
+        spark, "order_payments", stage.path("in"), stage.table("b"), stage.path("ck")
+    ).awaitTermination()
+    silver.run_silver(
+        spark, "order_payments", stage.table("b"), stage.path("sck"), stage.schema
+    ).awaitTermination()
+    assert rows(spark.table(stage.table("order_payments")), "order_id") == [("1",), ("3",)]
+    refused = spark.table(stage.table("order_payments_invalid")).collect()
+    assert [(r.order_id, r._corrupt_record, r._errors[0].name) for r in refused] == [
+        ("2", "2,1,voucher,1,a lot", "line_parsed")
+    ]
+
+
+def test_current_rows_over_batches(spark, stage, sf_dir):
+    raw = feeds.orders_raw(feeds.Tables(spark, sf_dir))
+    for number in (0, 1):
+        silver.process_batch(silver.FEEDS["orders"], raw, number, stage.schema)
+    now = silver.current(spark, "orders", stage.schema)
+    assert now.count() == now.select("order_id").distinct().count()
+    assert now.select("batch_id").distinct().collect() == [(1,)]
