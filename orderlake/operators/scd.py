@@ -33,8 +33,8 @@ def versions(
 
     Rows of one key with the same start collapse to one (the largest by
     ``tie_breakers``, then by all columns); ``keep_ties=True`` keeps them as
-    zero-length versions instead. ``open_ended=True`` skips the end dates:
-    every row becomes an active version.
+    zero-length versions instead, all but the largest, and wants distinct records.
+    ``open_ended=True`` skips the end dates: every row becomes an active version.
 
     ``slice_by`` ("hour", "day", "month", ...) is for event-time starts, where one
     key may hold a large share of all rows: the look-ahead then runs per key *and*
@@ -42,23 +42,32 @@ def versions(
     which is fine when starts are ingest times: after the collapse a key has at
     most one version per ingest batch.
     """
-    if keep_ties and slice_by:
-        raise ValueError("keep_ties orders equal starts inside a key and cannot be sliced")
     started = df.withColumn(FROM, F.col(ts))
     if open_ended:
         ended = started.withColumn(TO, F.lit(None).cast("timestamp"))
         return ended.select(key, *attributes, FROM, TO, F.lit(True).alias(ACTIVE))
-    kept = started if keep_ties else dedup.latest(started, [key, FROM], ts, tie_breakers)
     if keep_ties:
-        order = [F.asc(FROM), *[F.asc(c) for c in (tie_breakers or attributes)]]
-        ended = kept.withColumn(TO, F.lead(FROM).over(Window.partitionBy(key).orderBy(*order)))
+        ended = _end_with_ties(started, key, tie_breakers or attributes, slice_by)
     else:
-        rows = kept.select(key, *attributes, FROM)
+        kept = dedup.latest(started, [key, FROM], ts, tie_breakers).select(key, *attributes, FROM)
         # Slice edges are minima, so they need no collapse of equal starts first.
-        ended = _neighbour(rows, key, FROM, TO, 1, slice_by, edges_of=started)
+        ended = _neighbour(kept, key, FROM, TO, 1, slice_by, edges_of=started)
     return ended.select(key, *attributes, FROM, TO, F.col(TO).isNull().alias(ACTIVE))
 
 
+def _end_with_ties(
+    df: DataFrame, key: str, tie_breakers: Sequence[str], slice_by: str | None
+) -> DataFrame:
+    """Ends when equal starts stay: a row that is not the last of its start ends
+    where it begins, the last one where the key's next start is. Only one row per
+    key and start, made in the map tasks, takes part in the look-ahead."""
+    rank = F.struct(*tie_breakers)
+    starts = df.groupBy(key, FROM).agg(F.max(rank).alias("_last"))
+    followed = _neighbour(starts, key, FROM, "_next", 1, slice_by)
+    joined = df.join(followed, [key, FROM], "left")
+    return joined.withColumn(TO, F.when(rank == F.col("_last"), F.col("_next")).otherwise(F.col(FROM)))
+
+
 def _neighbour(
     df: DataFrame,
     key: str,

@@ -69,7 +69,13 @@ SELLERS = Entity(
 )
 
 
-def transform(batch: DataFrame, entity: Entity, keep_ties: bool = False, null_skipping: bool = False, pin: Pin = unpinned) -> Result:
+def transform(
+    batch: DataFrame,
+    entity: Entity,
+    keep_ties: bool = False,
+    null_skipping: bool = False,
+    pin: Pin = unpinned,
+) -> Result:
     """Versions of one batch and what the two gates refused.
 
     By default equal starts collapse inside ``scd.versions``, which also removes

@@ -33,7 +33,13 @@ TYPES = dict.fromkeys(MEASURES, "int")
 ATTRIBUTES = ["product_category_name", *[RENAMED.get(c, c) for c in MEASURES]]
 
 
-def transform(batch: DataFrame, open_ended: bool = False, null_skipping: bool = False, strict_casts: bool = True, pin: Pin = unpinned) -> Result:
+def transform(
+    batch: DataFrame,
+    open_ended: bool = False,
+    null_skipping: bool = False,
+    strict_casts: bool = True,
+    pin: Pin = unpinned,
+) -> Result:
     """Versions of one batch. ``open_ended=True`` leaves every distinct record of
     the batch active instead of ending it at the product's next one."""
     checked = pin(quality.apply(batch, [*SOURCE_RULES, *cast_rules(TYPES, strict_casts)]))

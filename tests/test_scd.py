@@ -45,6 +45,22 @@ def test_equal_starts_collapse_or_stay_as_empty_versions(spark):
     assert rows(kept, "v", scd.TO) == [("x", T[0]), ("y", T[1]), ("z", None)]
 
 
+@pytest.mark.parametrize("unit", [None, "hour", "day"])
+def test_kept_ties_equal_a_plain_lead(spark, unit):
+    pick = random.Random(11)
+    data = {("hot", T[0], f"{i:03d}") for i in range(120)}
+    data |= {(f"k{pick.randrange(5)}", T[0] + timedelta(hours=pick.randrange(60)), f"{i:03d}") for i in range(150)}
+    got = dated(spark, list(data), keep_ties=True, slice_by=unit)
+    by_key = {}
+    for k, t, v in sorted(data):
+        by_key.setdefault(k, []).append((t, v))
+    expected = set()
+    for k, events in by_key.items():
+        for (t, v), following in zip(events, events[1:] + [(None, None)]):
+            expected.add((k, v, t, following[0], following[0] is None))
+    assert {tuple(r) for r in got.collect()} == expected
+
+
 def test_open_ended_leaves_all_active(spark):
     got = dated(spark, [("a", T[0], "x"), ("a", T[1], "y")], open_ended=True)
     assert rows(got, "v", scd.TO, scd.ACTIVE) == [("x", None, True), ("y", None, True)]
