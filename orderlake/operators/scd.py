@@ -155,16 +155,19 @@ def drop_unchanged(
     it: the key's previous incoming version, or the active row for the first one.
     Ends are recomputed for what is left.
     """
-    stated = incoming.withColumn("_state", record_hash(*attributes))
+    kept = [c for c in incoming.columns if c not in (TO, ACTIVE)]
+    stated = incoming.select(*kept, record_hash(*attributes).alias("_state"))
     known = current.select(key, record_hash(*attributes).alias("_known"))
     compared = _neighbour(stated, key, "_state", "_before", -1, slice_by).join(known, key, "left")
     before = F.coalesce("_before", "_known")
     changed = compared.where(before.isNull() | (F.col("_state") != before))
-    ended = _neighbour(changed.select(key, *attributes, FROM), key, FROM, TO, 1, slice_by)
+    ended = _neighbour(changed.select(kept), key, FROM, TO, 1, slice_by)
     return ended.withColumn(ACTIVE, F.col(TO).isNull()).select(incoming.columns)
 
 
-def rebuild(df: DataFrame, key: str, touched: DataFrame | None = None, slice_by: str | None = None) -> DataFrame:
+def rebuild(
+    df: DataFrame, key: str, touched: DataFrame | None = None, slice_by: str | None = None
+) -> DataFrame:
     """Recompute ends and flags from the starts alone, which repairs history after
     versions arrived late. ``touched`` (distinct keys) limits the work."""
     if touched is None:

@@ -46,7 +46,8 @@ TARGET_RULES = [
 
 
 def transform(batch: DataFrame, strict_casts: bool = True, pin: Pin = unpinned) -> Result:
-    checked = pin(quality.apply(batch, [*SOURCE_RULES, *cast_rules(TYPES, strict_casts), *unparsed_rules(batch)]))
+    rules = [*SOURCE_RULES, *cast_rules(TYPES, strict_casts), *unparsed_rules(batch)]
+    checked = pin(quality.apply(batch, rules))
     good, refused = quality.split(checked)
     cast = good.select("order_id", "product_id", "seller_id", *casts(TYPES), INGESTED, SOURCE_FILE)
     valid, late_refused = quality.split(quality.apply(cast, TARGET_RULES))

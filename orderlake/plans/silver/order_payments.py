@@ -6,7 +6,16 @@ from pyspark.sql import DataFrame
 
 from orderlake.operators import dedup, quality
 from orderlake.operators.quality import Rule
-from orderlake.plans.silver.result import INGESTED, SOURCE_FILE, Pin, Result, cast_rules, casts, unparsed_rules, unpinned
+from orderlake.plans.silver.result import (
+    INGESTED,
+    SOURCE_FILE,
+    Pin,
+    Result,
+    cast_rules,
+    casts,
+    unparsed_rules,
+    unpinned,
+)
 
 # Payment types, rule names and conditions.
 PAYMENT_TYPES = ("credit_card", "boleto", "voucher", "debit_card", "not_defined")
@@ -24,7 +33,8 @@ TARGET_RULES = [
 
 
 def transform(batch: DataFrame, strict_casts: bool = True, pin: Pin = unpinned) -> Result:
-    checked = pin(quality.apply(batch, [*SOURCE_RULES, *cast_rules(TYPES, strict_casts), *unparsed_rules(batch)]))
+    rules = [*SOURCE_RULES, *cast_rules(TYPES, strict_casts), *unparsed_rules(batch)]
+    checked = pin(quality.apply(batch, rules))
     good, refused = quality.split(checked)
     cast = good.select("order_id", "payment_type", *casts(TYPES), INGESTED, SOURCE_FILE)
     newest = dedup.latest(cast, ["order_id", "payment_sequential"], INGESTED, [SOURCE_FILE])

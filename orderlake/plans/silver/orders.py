@@ -6,7 +6,16 @@ from pyspark.sql import DataFrame
 
 from orderlake.operators import dedup, quality
 from orderlake.operators.quality import Rule
-from orderlake.plans.silver.result import INGESTED, SOURCE_FILE, Pin, Result, cast_rules, casts, unparsed_rules, unpinned
+from orderlake.plans.silver.result import (
+    INGESTED,
+    SOURCE_FILE,
+    Pin,
+    Result,
+    cast_rules,
+    casts,
+    unparsed_rules,
+    unpinned,
+)
 
 # Order states, rule names and conditions, column names.
 STATUSES = (
@@ -44,7 +53,8 @@ TARGET_RULES = [
 
 def transform(batch: DataFrame, strict_casts: bool = True, pin: Pin = unpinned) -> Result:
     types = dict.fromkeys(TIMESTAMPS, "timestamp")
-    checked = pin(quality.apply(batch, [*SOURCE_RULES, *cast_rules(types, strict_casts), *unparsed_rules(batch)]))
+    rules = [*SOURCE_RULES, *cast_rules(types, strict_casts), *unparsed_rules(batch)]
+    checked = pin(quality.apply(batch, rules))
     good, refused = quality.split(checked)
     parsed = good.select(
         "order_id", "customer_id", "order_status", *casts(types, TIMESTAMPS), INGESTED, SOURCE_FILE

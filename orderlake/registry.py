@@ -198,7 +198,8 @@ def dq_payments_split(spark, sf_dir):
 
 @query
 def reject_duplicates(spark, sf_dir):
-    _, repeated = dedup.reject_duplicates(feeds.order_items(Tables(spark, sf_dir)), ["order_id", "order_item_id"])
+    items = feeds.order_items(Tables(spark, sf_dir))
+    _, repeated = dedup.reject_duplicates(items, ["order_id", "order_item_id"])
     return repeated.groupBy("order_id", "order_item_id").agg(
         F.count(F.lit(1)).alias("rows_of_key"), business.exact_sum(F.col("price")).alias("price")
     )
@@ -260,9 +261,8 @@ def geo_exact_dedup(spark, sf_dir):
 @query
 def customers_hash_dedup(spark, sf_dir):
     attributes = list(people.CUSTOMERS.attributes)
-    distinct = dedup.by_hash(
-        feeds.customers_raw(Tables(spark, sf_dir)), "customer_id", attributes, "_InsertTimeStamp", null_skipping=True
-    )
+    raw = feeds.customers_raw(Tables(spark, sf_dir))
+    distinct = dedup.by_hash(raw, "customer_id", attributes, "_InsertTimeStamp", null_skipping=True)
     return distinct.select(
         "customer_id",
         F.col("_InsertTimeStamp").alias("ingested"),

@@ -30,7 +30,8 @@ GENERATION_STEP = 1_000_000_000
 
 @dataclass(frozen=True)
 class SilverFeed:
-    """How one feed becomes a table. ``key`` names the merge key of dimensions."""
+    """How one feed becomes a table. ``key`` names the merge key of dimensions;
+    ``changed_only`` keeps rows that change nothing out of their history."""
 
     table: str
     transform: Callable[..., Result]
@@ -41,6 +42,7 @@ class SilverFeed:
     batch_column: str = sinks.BATCH
     time_column: str = "processed_at"
     row_key: tuple[str, ...] = ()
+    changed_only: bool = False
     ingested: str = INGESTED
 
 
@@ -178,4 +180,4 @@ def _write(feed: SilverFeed, result: Result, batch_id: int, table: str) -> None:
     elif feed.mode == "scd1":
         sinks.merge_upsert(result.valid, table, feed.key, batch_id)
     else:
-        sinks.merge_versions(result.valid, table, feed.key, batch_id)
+        sinks.merge_versions(result.valid, table, feed.key, batch_id, feed.changed_only)

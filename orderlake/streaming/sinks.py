@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from orderlake.operators import scd
+from orderlake.schemas import INGESTED
 
 BATCH = "batch_id"
 
@@ -64,8 +65,11 @@ def write_table(
     writer.saveAsTable(table)
 
 
-def merge_versions(incoming: DataFrame, table: str, key: str, batch_id: int) -> None:
-    """Type 2 merge of one batch of versions into ``table``.
+def merge_versions(
+    incoming: DataFrame, table: str, key: str, batch_id: int, changed_only: bool = False
+) -> None:
+    """Type 2 merge of one batch of versions into ``table``; with ``changed_only``
+    a version equal to the one before it is left out.
 
     Closed versions never change: they go to ``<table>_history``, one partition
     per batch. Only the active set is read and rewritten, as ``<table>_v<batch>``.
@@ -75,6 +79,10 @@ def merge_versions(incoming: DataFrame, table: str, key: str, batch_id: int) ->
     spark = incoming.sparkSession
     base = _base_version(spark, table, batch_id)
     current = spark.createDataFrame([], incoming.schema) if base is None else spark.table(f"{table}_v{base}")
+    if changed_only:
+        bookkeeping = {key, scd.FROM, scd.TO, scd.ACTIVE, INGESTED}
+        attributes = [c for c in incoming.columns if c not in bookkeeping]
+        incoming = scd.drop_unchanged(current, incoming, key, attributes)
     closed, live = scd.merge_parts(current, incoming, key)
     append_batch(closed, f"{table}_history", batch_id)
     _write_version(live, table, batch_id)

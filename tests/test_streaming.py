@@ -1,4 +1,5 @@
 import uuid
+from dataclasses import replace
 
 import pytest
 from pyspark.errors import PySparkException
@@ -124,6 +125,19 @@ def test_a_replayed_batch_changes_nothing_in_a_versioned_table(spark, stage):
     assert kept == {"sellers_v1", "sellers_v2"}
 
 
+def test_rows_that_change_nothing_can_be_kept_out_of_history(spark, stage):
+    feed = replace(silver.FEEDS["sellers"], changed_only=True)
+    batches = [
+        sellers(spark, ("1", "a", T1), ("2", "a", T1)),
+        sellers(spark, ("1", "a", T2), ("2", "b", T2)),
+        sellers(spark, ("1", "a", T3)),
+    ]
+    for number, batch in enumerate(batches):
+        silver.process_batch(feed, batch, number, stage.schema)
+    got = rows(spark.table(stage.table("sellers")), "seller_id", "seller_city", "EffectiveFrom", "EffectiveTo")
+    assert got == [("1", "a", T1, None), ("2", "a", T1, T2), ("2", "b", T2, None)]
+
+
 def test_a_replayed_batch_changes_nothing_in_an_append_table(spark, stage, sf_dir):
     feed = silver.FEEDS["orders"]
     raw = feeds.orders_raw(feeds.Tables(spark, sf_dir))
