@@ -57,15 +57,6 @@ def text_key(text: str = "text") -> list[Column]:
     return [F.xxhash64(column).alias("_h1"), F.xxhash64(F.lit(7), column).alias("_h2")]
 
 
-def same(left: DataFrame, right: DataFrame, names: Iterable[str]) -> Column:
-    """Null-safe equality of the named columns of both sides."""
-    condition = None
-    for name in names:
-        one = left[name].eqNullSafe(right[name])
-        condition = one if condition is None else condition & one
-    return condition
-
-
 def unused(df: DataFrame, *names: str) -> list[str]:
     """Column names not yet in the frame, whatever their case."""
     taken, found = {c.lower() for c in df.columns}, []

@@ -8,12 +8,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlake import session
-from orderlake.llm import langid, simhash
+from orderlake.llm import decontaminate, langid, simhash
 from orderlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    session.prepare(spark)
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated",
+    )
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(session.prepare(spark), sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
@@ -29,8 +38,29 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
+        op7_benchmark_decontamination,
         op8_simhash_near_dedup,
         op9_language_id,
     )
 }
-ORACLES: dict[str, str] = {}
+
+_WORDS = """list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w <> '')"""
+
+ORACLES: dict[str, str] = {
+    "op7_benchmark_decontamination": f"""
+with d as (select doc_id, coalesce({_WORDS}, []) w from documents),
+b as (select item_id, {_WORDS} w from benchmark),
+bw as (select distinct item_id, least(10, len(w)) n, array_to_string(w[s : s + least(10, len(w)) - 1], ' ') k
+    from (select item_id, w, unnest(range(1, len(w) - least(10, len(w)) + 2)) s from b where len(w) > 0)),
+sizes as (select distinct n from bw),
+dw as (select doc_id, s, n, array_to_string(w[s : s + n - 1], ' ') k
+    from (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) s from d, sizes where len(w) >= n)),
+hit as (select doc_id, s, n, item_id from dw join bw using (n, k)),
+places as (select doc_id, count(distinct p) n_hit from (select doc_id, unnest(range(s, s + n)) p from hit) group by 1),
+named as (select doc_id, count(distinct item_id) n_items,
+    string_agg(distinct cast(item_id as varchar), ',' order by cast(item_id as varchar)) ids from hit group by 1)
+select doc_id, cast(len(w) as bigint) n_words, coalesce(n_hit, 0) n_hit, coalesce(n_items, 0) n_items,
+    sha256(coalesce(ids, '')) items_sha256, n_hit is not null contaminated
+from d left join places using (doc_id) left join named using (doc_id)""",
+}
