@@ -8,12 +8,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlake import session
-from orderlake.llm import decontaminate, langid, simhash
+from orderlake.llm import decontaminate, langid, pii, simhash
 from orderlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_pii_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.detect(table(session.prepare(spark), sf_dir, "documents"))
+    counts = [F.size(pii.of_kind(F.col("base"), k)).cast("long").alias(f"n_{k}") for k in pii.BASE]
+    return found.select(
+        "doc_id", *counts, F.sha2(pii.digest(F.col("base")), 256).alias("base_sha256"), pii.digest(F.col("spans")).alias("spans")
+    )
+
+
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     session.prepare(spark)
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -38,6 +46,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
+        op2_pii_weak_supervision,
         op7_benchmark_decontamination,
         op8_simhash_near_dedup,
         op9_language_id,
