@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlake import session
-from orderlake.llm import decontaminate, langid, pii, simhash
+from orderlake.llm import byte_bpe, decontaminate, langid, pii, simhash
 from orderlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +23,14 @@ def op2_pii_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(session.prepare(spark), sf_dir, "documents")
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return byte_bpe.encode(docs, path, public_tokenizers.PATTERN).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     session.prepare(spark)
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -47,6 +56,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op2_pii_weak_supervision,
+        op5_byte_bpe,
         op7_benchmark_decontamination,
         op8_simhash_near_dedup,
         op9_language_id,
