@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from orderlake import session
-from orderlake.llm import common, decontaminate, langid, simhash
+from orderlake.llm import byte_bpe, common, decontaminate, langid, pii, simhash
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,10 +28,27 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return decontaminate.clean(docs, common.table(spark, sf_dir, "benchmark"))
 
 
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents with personal data masked."""
+    session.prepare(spark)
+    return pii.redact(docs)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of each document, and its text decoded from them, beside the other columns."""
+    session.prepare(spark)
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    others = [c for c in docs.columns if c != "text"]
+    found = byte_bpe.encode(docs, path, public_tokenizers.PATTERN, others)
+    return found.withColumn("decoded", F.decode("decoded", "UTF-8")).withColumnRenamed("decoded", "text")
+
+
 STAGES = [
     ("language", language),
     ("near_duplicates", near_duplicates),
     ("decontamination", decontamination),
+    ("personal_data", personal_data),
+    ("tokens", tokens),
 ]
 ORACLE_SQL = None
 
