@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlake import session
-from orderlake.llm import byte_bpe, decontaminate, langid, pii, simhash
+from orderlake.llm import byte_bpe, decontaminate, langid, pii, records, simhash
 from orderlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,14 @@ def op2_pii_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_length_delimited_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(session.prepare(spark), sf_dir, "documents")
+    found = records.round_trip(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return found.select(
+        "doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32")
+    )
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(session.prepare(spark), sf_dir, "documents")
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -56,6 +64,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op2_pii_weak_supervision,
+        op3_length_delimited_records,
         op5_byte_bpe,
         op7_benchmark_decontamination,
         op8_simhash_near_dedup,
