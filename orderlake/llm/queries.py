@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlake import session
-from orderlake.llm import byte_bpe, decontaminate, langid, pii, records, simhash
+from orderlake.llm import bloom_lm, byte_bpe, decontaminate, langid, pii, records, simhash
 from orderlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,6 +60,12 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("held_out", langid.held_out()).select("doc_id", "held_out", "lang_pred", "score", "rejected")
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(session.prepare(spark), sf_dir, "documents")
+    found = bloom_lm.score(docs, docs.filter(~bloom_lm.held_out()))
+    return found.withColumn("held_out", bloom_lm.held_out())
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -69,6 +75,7 @@ QUERIES: dict[str, Query] = {
         op7_benchmark_decontamination,
         op8_simhash_near_dedup,
         op9_language_id,
+        op10_lm_scoring,
     )
 }
 
