@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlake import session
-from orderlake.llm import bloom_lm, byte_bpe, decontaminate, langid, pii, records, simhash
+from orderlake.llm import bloom_lm, byte_bpe, decontaminate, langid, pii, records, simhash, syncmers
 from orderlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,11 @@ def op3_length_delimited_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = syncmers.compare(table(session.prepare(spark), sf_dir, "documents"))
+    return found.withColumnRenamed("edited", "edited_sha256")
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(session.prepare(spark), sf_dir, "documents")
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -71,6 +76,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         op2_pii_weak_supervision,
         op3_length_delimited_records,
+        op4_closed_syncmers,
         op5_byte_bpe,
         op7_benchmark_decontamination,
         op8_simhash_near_dedup,
