@@ -16,6 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 from tokenizers import Regex, Tokenizer, models, pre_tokenizers
 
 from orderlake.llm.chunks import PieceEncoder, binaries, expand
@@ -100,7 +101,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, keep: list[str] | Non
     kept = docs.select(*[docs[c] for c in keep or ["doc_id"]])
     (text,) = unused(kept, "_text")
     rows = docs.select(*[docs[c] for c in kept.columns], docs["text"].cast("string").alias(text))
-    schema = kept.schema.add("n_tokens", "long").add("ids", "binary").add("decoded", "binary")
+    schema = StructType(list(kept.schema.fields)).add("n_tokens", "long").add("ids", "binary").add("decoded", "binary")
     if offsets:
         schema = schema.add("char_start", "array<int>").add("char_end", "array<int>")
     with open(ranks_path, "rb") as file:

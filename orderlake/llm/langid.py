@@ -21,6 +21,7 @@ import regex
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from orderlake.llm.common import blocks, ready, unused
 
@@ -110,7 +111,7 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], keep: list[str] |
     kept = docs.select(*[docs[c] for c in keep or ["doc_id"]])
     (text,) = unused(kept, "_text")
     rows = docs.select(*[docs[c] for c in kept.columns], docs["text"].cast("string").alias(text))
-    schema = kept.schema.add("lang_pred", "string").add("score", "double").add("rejected", "boolean")
+    schema = StructType(list(kept.schema.fields)).add("lang_pred", "string").add("score", "double").add("rejected", "boolean")
     shared = spark.sparkContext.broadcast(dictionaries)  # bounded by the sample
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -9,12 +9,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlake import session
-from orderlake.llm import bloom_lm, byte_bpe, decontaminate, langid, pii, records, simhash, syncmers
-from orderlake.llm.common import table
+from orderlake.llm import bloom_lm, byte_bpe, chat, decontaminate, langid, pii, records, simhash, syncmers, url_filter
+from orderlake.llm.common import stage, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+URL_RULES = [
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+]
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    session.prepare(spark)
+    rules = url_filter.build(spark, spark.createDataFrame(URL_RULES, "host string, path string, verdict string"))
+    return url_filter.judge(table(spark, sf_dir, "pages"), rules)
+
+
 def op2_pii_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.detect(table(session.prepare(spark), sf_dir, "documents"))
     counts = [F.size(pii.of_kind(F.col("base"), k)).cast("long").alias(f"n_{k}") for k in pii.BASE]
@@ -44,6 +59,25 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+TEST_TURNS = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    session.prepare(spark)
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    turns = given.union(spark.createDataFrame(TEST_TURNS, given.schema))
+    output = stage(chat.render(turns), "chat")
+    back = output.withColumn("blocks", chat.parsed(F.col("formatted")))
+    listed = F.flatten(F.transform("blocks", lambda b: F.transform(b["texts"], lambda t: F.concat(b["role"], F.lit("\n"), t, F.lit("\n")))))
+    learned = chat.learned_text(F.col("formatted"), F.col("loss_spans"))
+    return back.select("conv_id", "formatted", listed.alias("listed"), learned.alias("learned")).select(
+        "conv_id", F.size("listed").cast("long").alias("n_turns"),
+        F.sha2(F.array_join("listed", ""), 256).alias("turns_sha256"),
+        F.length("learned").cast("long").alias("loss_chars"), F.sha2("learned", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     session.prepare(spark)
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -74,10 +108,12 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
+        op1_url_filter,
         op2_pii_weak_supervision,
         op3_length_delimited_records,
         op4_closed_syncmers,
         op5_byte_bpe,
+        op6_chat_formatting,
         op7_benchmark_decontamination,
         op8_simhash_near_dedup,
         op9_language_id,
@@ -89,6 +125,28 @@ _WORDS = """list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQ
     '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w <> '')"""
 
 ORACLES: dict[str, str] = {
+    "op1_url_filter": """
+with cut as (select page_id, case when strpos(url, '://') > 0 then substr(url, strpos(url, '://') + 3) else '' end rest from pages),
+u as (select page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) path from cut),
+rules(h, p, v) as (values ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+    ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+fits as (select page_id, host, path, h || p r, v from u left join rules
+    on (host = h or ends_with(host, '.' || h)) and starts_with(path, p))
+select page_id, host, path, arg_max(r, length(r)) as rule, coalesce(arg_max(v, length(r)), 'allow') verdict
+from fits group by page_id, host, path""",
+    "op6_chat_formatting": """
+with c as (select conv_id, turn, coalesce(role, '') as r, coalesce(text, '') t from conversations
+    union all values (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+o as (select *, row_number() over w k, lag(r) over w before,
+    replace(replace(replace(t, '&', '&amp;'), '<', '&lt;'), '[', '&#91;') e,
+    replace(replace(replace(replace(r, '&', '&amp;'), '<', '&lt;'), '[', '&#91;'), '|', '&#124;') er
+    from c window w as (partition by conv_id order by turn nulls first, r, t))
+select conv_id, count(*) n_turns, sha256(string_agg(r || chr(10) || t || chr(10), '' order by k)) turns_sha256,
+    cast(coalesce(sum(length(t)) filter (r = 'assistant'), 0) as bigint) loss_chars,
+    sha256(coalesce(string_agg(t, '' order by k) filter (r = 'assistant'), '')) loss_sha256,
+    cast(sum(length(e) + case when before = r then 5 else length(er) + 11 end) as bigint) formatted_chars
+from o group by conv_id""",
     "op7_benchmark_decontamination": f"""
 with d as (select doc_id, coalesce({_WORDS}, []) w from documents),
 b as (select item_id, {_WORDS} w from benchmark),
