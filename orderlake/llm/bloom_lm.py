@@ -45,7 +45,7 @@ BLOCK_BYTES = 128 << 20
 HEAD = 500_000
 _HELD = 3_000_000  # n-grams a counting task gathers before it packs them
 _END = np.uint64(xxhash.xxh64_intdigest(b" "))
-_START = np.uint64(xxhash.xxh64_intdigest(b"  "))
+_STARTS = [np.uint64(xxhash.xxh64_intdigest(b" " * (n + 2))) for n in range(9)]  # contexts at a document's start, by order
 
 
 def held_out(doc_id: str = "doc_id", folds: int = 7, fold: int = 2) -> Column:
@@ -81,23 +81,18 @@ def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def grams(flat: np.ndarray, starts: np.ndarray, order: int) -> list[np.ndarray]:
     """Hashes of the n-grams that end at each token, for n from 1 to ``order``; texts do not reach into each other."""
     found = [flat]
-    for _ in range(order - 1):
-        before = np.empty_like(flat)
-        before[1:] = found[-1][:-1]
-        before[starts[:-1]] = _START
+    for before in _contexts(found, starts, order):
         found.append(mix(before * np.uint64(0x9E3779B97F4A7C15) + flat))
     return found
 
 
-def context_hashes(found: list[np.ndarray], starts: np.ndarray) -> list[np.ndarray]:
-    """For n from 2: the hash of each n-gram without its last token."""
-    out = []
-    for below in found[:-1]:
-        before = np.empty_like(below)
-        before[1:] = below[:-1]
-        before[starts[:-1]] = _START
-        out.append(before)
-    return out
+def _contexts(found: list[np.ndarray], starts: np.ndarray, order: int) -> Iterator[np.ndarray]:
+    """For n from 2: the hash of each n-gram without its last token, from the n-grams of the order below."""
+    for n in range(1, order):
+        before = np.empty_like(found[n - 1])
+        before[1:] = found[n - 1][:-1]
+        before[starts[:-1]] = _STARTS[n]
+        yield before
 
 
 def level(counts: np.ndarray) -> np.ndarray:
@@ -191,8 +186,8 @@ def _train(docs: DataFrame, order: int) -> tuple[DataFrame, DataFrame, int]:
         for block in blocks(batches):
             flat, starts = tokens(block.column("text"))
             # a document's start is a context too
-            begins = np.full(len(starts) - 1 if order > 1 else 0, _START, np.uint64)
-            for hashes in (*grams(flat, starts, order), begins):
+            begins = [np.full(len(starts) - 1, s, np.uint64) for s in _STARTS[1:order]]
+            for hashes in (*grams(flat, starts, order), *begins):
                 held.append(np.unique(hashes, return_counts=True))
                 size += len(held[-1][0])
             if size > _HELD:
@@ -299,7 +294,7 @@ def _scan(docs, shared, head, first, last, order, weight, total, distinct) -> Da
         for block in blocks(batches):
             flat, starts = tokens(block.column("text"))
             found = grams(flat, starts, order)
-            looked = [*found, *context_hashes(found, starts)]
+            looked = [*found, *_contexts(found, starts, order)]
             levels = np.stack([shared.value.levels(h) for h in looked])
             if not first:
                 before = [np.frombuffer(b, np.uint8).reshape(n_rows, -1) for b in block.column("levels").to_pylist()]

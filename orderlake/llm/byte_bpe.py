@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, IntegerType, StructType
 from tokenizers import Regex, Tokenizer, models, pre_tokenizers
 
 from orderlake.llm.chunks import PieceEncoder, binaries, expand
@@ -103,7 +103,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, keep: list[str] | Non
     rows = docs.select(*[docs[c] for c in kept.columns], docs["text"].cast("string").alias(text))
     schema = StructType(list(kept.schema.fields)).add("n_tokens", "long").add("ids", "binary").add("decoded", "binary")
     if offsets:
-        schema = schema.add("char_start", "array<int>").add("char_end", "array<int>")
+        schema = schema.add("char_start", ArrayType(IntegerType())).add("char_end", ArrayType(IntegerType()))
     with open(ranks_path, "rb") as file:
         shared = spark.sparkContext.broadcast(file.read())  # a vocabulary, of fixed size
 
