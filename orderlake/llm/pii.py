@@ -29,7 +29,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.llm.common import stage
+from orderlake.llm.common import stage, unused
 
 BASE = {
     "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
@@ -105,14 +105,16 @@ SPANS = "array<struct<kind:string,start:int,end:int,value:string,before:string>>
 
 
 def candidates(text: Column) -> tuple[Column, Column]:
-    """Base spans and further candidates apart from them, both as arrays."""
+    """Base spans and further candidates of a text, both as arrays."""
     text = F.coalesce(text, F.lit(""))
     base = F.concat(*[_located(text, kind, pattern) for kind, pattern in BASE.items()])
-    free = F.filter(
-        _located(text, "", CANDIDATE),
-        lambda c: ~F.exists(base, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])),
-    )
-    return base, free
+    return base, _located(text, "", CANDIDATE)
+
+
+def apart(base: Column, extra: Column) -> Column:
+    """The candidates that overlap no base span. Both must be columns of the frame, not
+    expressions, which would be evaluated anew for every candidate."""
+    return F.filter(extra, lambda c: ~F.exists(base, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
 
 
 def _near(before: Column, listed: tuple[str, ...]) -> Column:
@@ -237,7 +239,8 @@ def fit(extra: DataFrame) -> Model:
 def located(docs: DataFrame) -> DataFrame:
     """Columns doc_id, base, extra: the base spans and the other candidates of each row, staged."""
     base, extra = candidates(F.col("text"))
-    return stage(docs.select("doc_id", base.alias("base"), extra.alias("extra")), "pii-candidates")
+    found = docs.select("doc_id", base.alias("base"), extra.alias("extra"))
+    return stage(found.withColumn("extra", apart(F.col("base"), F.col("extra"))), "pii-candidates")
 
 
 def of_kind(spans: Column, kind: str) -> Column:
@@ -290,9 +293,11 @@ def masked(text: Column, spans: Column) -> Column:
 def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with all found spans masked in text and n_chars, where present, counted anew; other columns and all rows stay."""
     model = fit(located(docs))
-    base, extra = candidates(docs["text"])
-    text = masked(docs["text"], accepted(base, extra, model))
-    changed = {"text": text}
+    base, extra, spans = unused(docs, "_base", "_extra", "_spans")
+    found = docs.withColumns(dict(zip((base, extra), candidates(docs["text"]))))
+    found = found.withColumn(extra, apart(F.col(base), F.col(extra)))
+    found = found.withColumn(spans, accepted(F.col(base), F.col(extra), model))
+    found = found.withColumn("text", masked(docs["text"], F.col(spans)))
     if "n_chars" in docs.columns:
-        changed["n_chars"] = F.length(text).cast(docs.schema["n_chars"].dataType)
-    return docs.withColumns(changed)
+        found = found.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return found.select(*docs.columns)
