@@ -43,7 +43,8 @@ WEIGHT = 2.0  # A above
 BUCKET_TEXT = 1 << 20  # bytes of training text per bucket
 BLOCK_BYTES = 128 << 20
 HEAD = 500_000
-_HELD = 3_000_000  # n-grams a counting task gathers before it packs them
+_HELD = 1_500_000  # n-grams a counting task gathers before it packs them
+_PIECE = 2 << 20  # bytes of text looked at together
 _END = np.uint64(xxhash.xxh64_intdigest(b" "))
 _STARTS = [np.uint64(xxhash.xxh64_intdigest(b" " * (n + 2))) for n in range(9)]  # contexts at a document's start, by order
 
@@ -183,7 +184,7 @@ def _train(docs: DataFrame, order: int) -> tuple[DataFrame, DataFrame, int]:
 
     def count(batches):
         held, size = [], 0
-        for block in blocks(batches):
+        for block in blocks(batches, "text", _PIECE):
             flat, starts = tokens(block.column("text"))
             # a document's start is a context too
             begins = [np.full(len(starts) - 1, s, np.uint64) for s in _STARTS[1:order]]
@@ -212,7 +213,7 @@ def _train(docs: DataFrame, order: int) -> tuple[DataFrame, DataFrame, int]:
 
 
 def _ones(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for block in blocks(batches):
+    for block in blocks(batches, "text", _PIECE):
         hashes, counts = np.unique(tokens(block.column("text"))[0], return_counts=True)
         yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(counts)], names=["h", "n"])
 
@@ -291,7 +292,7 @@ def _scan(docs, shared, head, first, last, order, weight, total, distinct) -> Da
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, row = TaskContext.get().partitionId(), 0
         hashes, counts = head.value
-        for block in blocks(batches):
+        for block in blocks(batches, "text", _PIECE):
             flat, starts = tokens(block.column("text"))
             found = grams(flat, starts, order)
             looked = [*found, *_contexts(found, starts, order)]
