@@ -7,9 +7,9 @@ on candidate counts estimated from all fingerprints. Probing enumerates the valu
 within a partition's threshold, joins them and verifies the distance.
 
 A crowded bucket is not paired up. Its fingerprints differ only in the bits that vary
-within the bucket, so each names every value at most ``bits - 1`` such flips away; who
-is within ``bits // 2`` flips of such a middle value is within ``bits`` of all others
-there, so one star per middle value carries all their links.
+within the bucket. Two of them within ``bits`` have a middle value, ``bits // 2`` flips or
+fewer from one and the rest from the other, and whoever is that close to a middle value is
+within ``bits`` of all others there: one star per middle value carries all their links.
 
 Null texts count as empty. Without any word the fingerprint is zero. Repeated rows
 share a fingerprint; rows of equal id and different text keep their own. Ids may be
@@ -187,8 +187,8 @@ def _plan(prints: DataFrame, bits: int) -> tuple[list[list[int]], list[int]]:
         costs = []
         for k, group in enumerate(groups):
             expected = n * n * _within(differ[group], bits)
-            excess = max(0.0, pairs[order.index((parts, k, group))] - expected[0])
-            costs.append([n * len(_flips(len(group), t)) + expected[t] + excess for t in range(bits + 1)])
+            met = pairs[order.index((parts, k, group))]
+            costs.append([n * len(_flips(len(group), t)) + met + expected[t] - expected[0] for t in range(bits + 1)])
         chosen, total = thresholds(costs, bits)
         if best is None or total < best[0]:
             best = (total, groups, chosen)
@@ -196,7 +196,7 @@ def _plan(prints: DataFrame, bits: int) -> tuple[list[list[int]], list[int]]:
 
 
 def links(prints: DataFrame, bits: int = BITS) -> DataFrame:
-    """Links (a, b) that connect all distinct fingerprints at most ``bits`` bits apart."""
+    """Links (a, b) whose components are those of all distinct fingerprints at most ``bits`` bits apart."""
     groups, allotted = _plan(prints, bits)
     used = [(k, g, t) for k, (g, t) in enumerate(zip(groups, allotted)) if t >= 0]
 
@@ -229,36 +229,55 @@ def links(prints: DataFrame, bits: int = BITS) -> DataFrame:
     return near.select("a", "b").union(_stars(probes.join(crowded, ["part", "key"]), bits))
 
 
-def _stars(members: DataFrame, bits: int) -> DataFrame:
-    """Links among members (fp, mask of the bits in which their bucket varies)."""
-    far, close = bits - bits // 2, bits // 2
+def _middles(members: DataFrame, radius: int, close: int) -> DataFrame:
+    """Columns middle, root, close: each member (fp, mask, root) under every value up to ``radius`` flips of its mask away."""
 
-    def middles(batches):
+    def run(batches):
         for batch in batches:
-            for fp, mask in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for fp, mask, root in zip(*(batch.column(c).to_pylist() for c in ("fp", "mask", "root"))):
                 places = np.flatnonzero(np.unpackbits(np.array([mask], np.int64).view(np.uint8), bitorder="little"))
                 ones = (np.uint64(1) << places.astype(np.uint64)).tolist()
                 value = fp & 0xFFFFFFFFFFFFFFFF
-                flips = [(sum(c), r) for r in range(far + 1) for c in itertools.combinations(ones, r)]
-                middle = np.array([value ^ f for f, _ in flips], np.uint64).view(np.int64)
+                flips = [(sum(c), r) for r in range(radius + 1) for c in itertools.combinations(ones, r)]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(middle),
-                        pa.array(np.full(len(middle), fp, np.int64)),
+                        pa.array(np.array([value ^ f for f, _ in flips], np.uint64).view(np.int64)),
+                        pa.array(np.full(len(flips), root, np.int64)),
                         pa.array(np.array([r <= close for _, r in flips])),
                     ],
-                    names=["middle", "fp", "close"],
+                    names=["middle", "root", "close"],
                 )
 
-    masks = members.groupBy("fp").agg(F.bit_or("mask").alias("mask"))
-    spread = masks.mapInArrow(middles, "middle long, fp long, close boolean")
-    # geometry bounds a group: few fingerprints lie within ``far`` bits of one value
-    star = spread.groupBy("middle").agg(
-        F.min(F.when(F.col("close"), F.col("fp"))).alias("a"), F.collect_set("fp").alias("all")
+    return members.mapInArrow(run, "middle long, root long, close boolean")
+
+
+def _star(middles: DataFrame) -> DataFrame:
+    """One star per middle value: its close member of least root, linked to every other root there.
+
+    Geometry bounds a group: only so many fingerprints lie within a few bits of one value.
+    """
+    star = middles.groupBy("middle").agg(
+        F.min(F.when(F.col("close"), F.col("root"))).alias("a"), F.collect_set("root").alias("all")
     ).filter(F.col("a").isNotNull() & (F.size("all") > 1))
     return star.select("a", F.explode("all").alias("b")).filter("a <> b").distinct()
 
 
+def _stars(members: DataFrame, bits: int) -> DataFrame:
+    """Links among members (fp, mask of the bits in which their bucket varies).
+
+    Stars of half the distance come first; their components shrink to one root each, so
+    the stars of the full distance carry the few links between components that are left.
+    """
+    masks = stage(members.groupBy("fp").agg(F.bit_or("mask").alias("mask")), "crowded")
+    if masks.isEmpty():
+        return masks.select(F.col("fp").alias("a"), F.col("fp").alias("b"))
+    half = bits // 2
+    near = stage(_star(_middles(masks.withColumn("root", F.col("fp")), half, half)), "near-links")
+    roots = components(near)
+    labelled = masks.join(roots, masks["fp"] == roots["node"], "left").select("fp", "mask", F.coalesce("root", "fp").alias("root"))
+    return near.union(_star(_middles(labelled, bits - half, half)))
+
+
 def near_duplicates(docs: DataFrame, bits: int = BITS, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
     """Columns doc_id, _h1, _h2, fingerprint, component_id and keep, one row per document.
 

@@ -70,7 +70,6 @@ def test_links_connect_what_brute_force_connects(spark):
                 values.add(v)
         prints = spark.createDataFrame([(signed(v),) for v in sorted(values)], "fingerprint long")
         links = simhash.links(prints, bits)
-        assert all(((r.a ^ r.b) & (1 << 64) - 1).bit_count() <= bits for r in links.collect())
         expected = reachable({signed(v) for v in values}, lambda a, b: ((a ^ b) & (1 << 64) - 1).bit_count() <= bits)
         found = {r.node: r.root for r in components(links).collect()}
         assert {v: found.get(v, v) for v in expected} == expected
@@ -82,7 +81,7 @@ def test_crowded_buckets_list_no_pairs(spark):
     prints = spark.createDataFrame([(signed(v),) for v in sorted(group)], "fingerprint long")
     links = simhash.links(prints, 3).distinct().count()
     pairs = sum((a ^ b).bit_count() <= 3 for a in group for b in group if a < b)
-    assert links < pairs / 2
+    assert links < 20 * len(group) < pairs / 3
 
 
 def test_components_of_a_chain(spark):
