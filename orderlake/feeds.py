@@ -107,15 +107,19 @@ def orders_raw(tables: Tables) -> DataFrame:
 
 
 def order_items(tables: Tables) -> DataFrame:
-    """Order lines; the line number repeats within an order for about a quarter."""
+    """Order lines; the line number repeats within an order for about a quarter.
+    Amounts have up to four decimals, some prices are less than a cent."""
     return tables["lineitem"].select(
         _text("l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("order_item_id"),
         _text("l_partkey").alias("product_id"),
         _text("l_suppkey").alias("seller_id"),
         F.col("l_shipdate").cast("timestamp").alias("shipping_limit_date"),
-        F.when(F.col("l_quantity") == 1, 0.0).otherwise(F.col("l_extendedprice")).alias("price"),
-        (F.col("l_quantity") * 0.25).alias("freight_value"),
+        F.when(F.col("l_quantity") == 1, 0.0)
+        .when(F.col("l_quantity") == 2, 0.004)
+        .otherwise(F.col("l_extendedprice") + F.col("l_linenumber") * 0.0001)
+        .alias("price"),
+        (F.col("l_quantity") * 0.2525).alias("freight_value"),
     )
 
 
@@ -142,7 +146,7 @@ def order_payments(tables: Tables) -> DataFrame:
         .alias("payment_type"),
         (1 + F.col("o_orderkey") % 12).cast("int").alias("payment_installments"),
         F.when(first, F.col("o_totalprice"))
-        .otherwise((F.col("o_orderkey") % 500).cast("double"))
+        .otherwise((F.col("o_orderkey") % 500).cast("double") + 0.0025)
         .alias("payment_value"),
     )
 

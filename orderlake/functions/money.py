@@ -1,46 +1,44 @@
 """Sums and averages of DOUBLE amounts that do not depend on row order.
 
-Adding doubles gives other last bits whenever tasks finish in another order or
-are run again, so each amount becomes a whole number of its smallest unit first
-and whole numbers are added.
+Adding doubles gives other last bits whenever tasks finish in another order or are run
+again. An amount is therefore split into its whole part and the rest in billionths, both
+whole numbers, which add up exactly; at the sizes money has, a double is no finer than
+that. Amounts that do not split so (NaN, infinite, 1e12 or more) are added as doubles, so
+they pass into the sum as usual. Nothing is rounded to cents.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-
-def units_of(amount: Column, scale: int = 2) -> Column:
-    """SUM of ``amount`` in whole units of its last decimal; NULLs are ignored.
-
-    A BIGINT holds cents up to 9e16 currency units per group. For finer scales of
-    large amounts use ``parts_of``.
-    """
-    return F.sum(F.rint(amount * F.lit(float(10**scale))).cast("bigint"))
-
-
-def parts_of(amount: Column, scale: int = 6) -> tuple[Column, Column]:
-    """SUM of ``amount`` as two BIGINTs that cannot overflow: whole currency units,
-    and the rest in units of the last decimal."""
-    whole = F.floor(amount)
-    return F.sum(whole), units_of(amount - whole, scale)
+_UNIT = 1_000_000_000
+_LARGEST = 1e12
 
 
-def to_amount(total: Column, scale: int = 2) -> Column:
-    """Whole units back to an amount; the division itself is exact decimal."""
-    return (total.cast("decimal(30,0)") / F.lit(10**scale)).cast("double")
+def parts_of(amount: Column) -> tuple[Column, Column, Column]:
+    """SUM of ``amount`` as three columns that can be summed further: whole units,
+    billionths, and the sum of what does not split (NULL if there is none). NULLs are ignored."""
+    splits = F.abs(amount) < _LARGEST
+    whole = F.when(splits, F.floor(amount))
+    rest = F.rint((amount - whole) * F.lit(float(_UNIT))).cast("bigint")
+    return F.sum(whole), F.sum(rest), F.sum(F.when(~splits, amount))
 
 
-def from_parts(whole: Column, rest: Column, scale: int = 6) -> Column:
-    return to_amount(whole.cast("decimal(20,0)") * F.lit(10**scale) + rest, scale)
+def from_parts(whole: Column, rest: Column, odd: Column) -> Column:
+    """The amount that summed parts stand for; the scaling is exact decimal."""
+    units = whole.cast("decimal(20,0)") * F.lit(_UNIT) + rest
+    exact = (units.cast("decimal(28,0)") * F.lit(Decimal(1).scaleb(-9))).cast("double")
+    return F.when(odd.isNull(), exact).otherwise(F.coalesce(exact, F.lit(0.0)) + odd)
 
 
-def exact_sum(amount: Column, scale: int = 2) -> Column:
-    """SUM of ``amount`` kept to ``scale`` decimals; NULLs are ignored."""
-    return to_amount(units_of(amount, scale), scale)
+def exact_sum(amount: Column) -> Column:
+    """SUM of ``amount``; NULLs are ignored, NULL for a group without amounts."""
+    return from_parts(*parts_of(amount))
 
 
-def exact_avg(amount: Column, scale: int = 2) -> Column:
+def exact_avg(amount: Column) -> Column:
     """Mean of the non-NULL amounts from the exact sum; NULL for an empty group."""
-    return F.try_divide(exact_sum(amount, scale), F.count(amount))
+    return F.try_divide(exact_sum(amount), F.count(amount))

@@ -45,8 +45,9 @@ where load_no = 1 or cast(order_id as bigint) % 10 = 0""",
 select cast(l_orderkey as varchar) order_id, l_linenumber order_item_id,
        cast(l_partkey as varchar) product_id, cast(l_suppkey as varchar) seller_id,
        l_shipdate shipping_limit_date,
-       case when l_quantity = 1 then 0.0 else l_extendedprice end price,
-       l_quantity * 0.25 freight_value
+       case when l_quantity = 1 then cast(0.0 as double) when l_quantity = 2 then cast(0.004 as double)
+            else l_extendedprice + l_linenumber * cast(0.0001 as double) end price,
+       l_quantity * cast(0.2525 as double) freight_value
 from lineitem""",
     "a_payments": """
 select cast(o_orderkey as varchar) order_id, cast(n as int) payment_sequential,
@@ -56,7 +57,7 @@ select cast(o_orderkey as varchar) order_id, cast(n as int) payment_sequential,
             when o_orderpriority = '5-LOW' then 'debit_card'
             else 'cheque' end payment_type,
        cast(1 + o_orderkey % 12 as int) payment_installments,
-       case when n = 1 then o_totalprice else cast(o_orderkey % 500 as double) end payment_value
+       case when n = 1 then o_totalprice else cast(o_orderkey % 500 as double) + cast(0.0025 as double) end payment_value
 from orders, (values (1), (2)) k(n)
 where n = 1 or o_orderkey % 4 = 0""",
     "a_payments_raw": """
@@ -253,7 +254,7 @@ from a_orders o left join g_customer c on c.customer_id = o.customer_id""",
 select o.*, c.customer_id known_customer
 from a_orders o left join (select distinct customer_id from g_customer) c on c.customer_id = o.customer_id""",
     "paid": """
-select order_id, sum(cast(payment_value as decimal(18,2))) paid from a_payments group by order_id""",
+select order_id, sum(cast(payment_value as decimal(38,4))) paid from a_payments group by order_id""",
 }
 
 
@@ -267,7 +268,13 @@ def _names(*checks: tuple[str, str]) -> str:
     return f"concat_ws(',', {parts})"
 
 
-_MONEY = "cast(sum(cast({} as decimal(18,2))) as double)"
+# Amounts in the feeds have at most four decimals, so these sums are exact, not rounded.
+_MONEY = "cast(sum(cast({} as decimal(38,4))) as double)"
+_ROUNDED = "cast(round(sum(cast({} as decimal(38,4))), 2) as double)"
+# Quotients have no last decimal; their sum is taken in billionths, in any order.
+_BILLIONTHS = """cast((sum(cast(floor({0}) as hugeint)) * 1000000000
+         + sum(cast(round_even(({0} - floor({0})) * cast(1000000000.0 as double), 0) as hugeint)))
+         as decimal(38,0)) / 1000000000"""
 _ITEM_ERRORS = _names(("CustomerKey_is_unique", "copies > 1"), ("price_must_be_positive", "not price > 0"))
 _FACT_ITEMS = """
 select i.order_id, i.order_item_id, o.known_customer customer_id, {purchase} purchase_date_key,
@@ -308,7 +315,7 @@ select order_id, payment_sequential, payment_type,
 from l_payments""",
     "reject_duplicates": """
 select order_id, order_item_id, count(*) rows_of_key,
-       cast(sum(cast(price as decimal(18,2))) as double) price
+       cast(sum(cast(price as decimal(38,4))) as double) price
 from a_items group by order_id, order_item_id having count(*) > 1""",
     "duplicate_keys": """
 select order_id, order_item_id from a_items group by order_id, order_item_id having count(*) > 1""",
@@ -508,11 +515,8 @@ select product_id, coalesce(english, original) product_category,
        {_MONEY.format("price")} gmv_item_price, {_MONEY.format("freight_value")} total_freight_value,
        {_MONEY.format("price")} / count(price) avg_item_price,
        quantile_disc(price, 0.5) median_item_price,
-       cast(sum(cast(floor(coalesce(share, 0.0)) as hugeint)) * 1000000
-         + sum(cast(round_even((coalesce(share, 0.0) - floor(coalesce(share, 0.0))) * 1000000.0, 0) as hugeint))
-         as double) / 1000000.0 allocated_revenue_paid_value,
-       cast(sum(cast(round_even(score * 1000000.0, 0) as bigint)) as double) / 1000000.0 / count(score)
-         avg_review_score,
+       {_BILLIONTHS.format("coalesce(share, 0.0)")} allocated_revenue_paid_value,
+       {_BILLIONTHS.format("score")} / count(score) avg_review_score,
        cast(count(*) filter (order_status = 'delivered') as bigint) delivered_units,
        cast(count(*) filter (delivered <= shipping_limit_date) as bigint) on_time_delivered_units,
        cast(count(*) filter (is_first) as bigint) units_from_new_customers,
@@ -524,14 +528,14 @@ select cast(o.order_purchase_ts as date) signup_date, count(distinct c.customer_
 from a_orders o join s_customers c on c.customer_id = o.customer_id and c.IsActive
 group by 1""",
     "monthly_revenue": """
-select date_trunc('month', o.order_purchase_ts) "month", cast(sum(p.paid) as double) revenue
+select date_trunc('month', o.order_purchase_ts) "month", cast(round(sum(p.paid), 2) as double) revenue
 from a_orders o join paid p on p.order_id = o.order_id group by 1""",
     "top_categories": f"""
-select p.product_category_name, {_MONEY.format("i.price")} revenue
+select p.product_category_name, {_ROUNDED.format("i.price")} revenue
 from a_items i join s_products p on p.product_id = i.product_id and p.IsActive
 group by 1 order by revenue desc, product_category_name nulls first limit 10""",
     "top_sellers": f"""
-select s.seller_id, {_MONEY.format("i.price")} revenue
+select s.seller_id, {_ROUNDED.format("i.price")} revenue
 from a_items i join s_sellers s on s.seller_id = i.seller_id and s.IsActive
 group by 1 order by revenue desc, seller_id limit 10""",
     "bronze_ingest": """

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderlake.functions.money import exact_avg, exact_sum, from_parts, parts_of, to_amount, units_of
+from orderlake.functions.money import exact_avg, exact_sum, from_parts, parts_of
 from orderlake.operators import scd
 
 # Fixed value: order states that count as revenue.
@@ -158,6 +158,13 @@ def product_performance(
     )
 
 
+PARTS = ("whole", "rest", "odd")
+
+
+def _total(name: str) -> Column:
+    return from_parts(*[F.col(f"{name}_{part}") for part in PARTS])
+
+
 def _per_product(sold: DataFrame) -> DataFrame:
     """All measures of a product except the median.
 
@@ -172,15 +179,12 @@ def _per_product(sold: DataFrame) -> DataFrame:
     """
     price = F.col("price")
     share = F.coalesce(allocate(F.col("_paid"), price, F.col("_total")), F.lit(0.0))
-    share_whole, share_rest = parts_of(share)
+    amounts = {"price": price, "freight": F.col("freight_value"), "share": share, "score": F.col("_score")}
+    summed = {f"{name}_{part}": column for name, a in amounts.items() for part, column in zip(PARTS, parts_of(a))}
     lines = sold.groupBy("product_id", "order_id", "seller_id").agg(
         F.count(F.lit(1)).alias("units"),
         F.count("price").alias("priced"),
-        units_of(price).alias("price"),
-        units_of(F.col("freight_value")).alias("freight"),
-        share_whole.alias("share_whole"),
-        share_rest.alias("share_rest"),
-        units_of(F.col("_score"), 6).alias("score"),
+        *[column.alias(name) for name, column in summed.items()],
         F.count("_score").alias("scored"),
         count_if(F.col("order_status") == "delivered").alias("delivered"),
         count_if(F.col("_delivered") <= F.col("shipping_limit_date")).alias("on_time"),
@@ -190,20 +194,7 @@ def _per_product(sold: DataFrame) -> DataFrame:
     )
     one_seller = F.min("seller_id").over(Window.partitionBy("product_id", "order_id"))
     counted = lines.withColumn("orders", F.col("seller_id").eqNullSafe(one_seller).cast("int"))
-    additive = [
-        "units",
-        "priced",
-        "price",
-        "freight",
-        "share_whole",
-        "share_rest",
-        "score",
-        "scored",
-        "delivered",
-        "on_time",
-        "fresh",
-        "orders",
-    ]
+    additive = ["units", "priced", "scored", "delivered", "on_time", "fresh", "orders", *summed]
     span = [F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen")]
     per_seller = counted.groupBy("product_id", "seller_id").agg(
         *[F.sum(c).alias(c) for c in additive], *span
@@ -216,11 +207,11 @@ def _per_product(sold: DataFrame) -> DataFrame:
         F.col("units").alias("units_sold"),
         F.col("orders").alias("orders_count"),
         F.col("sellers").alias("sellers_count"),
-        to_amount(F.col("price")).alias("gmv_item_price"),
-        to_amount(F.col("freight")).alias("total_freight_value"),
-        F.try_divide(to_amount(F.col("price")), F.col("priced")).alias("avg_item_price"),
-        from_parts(F.col("share_whole"), F.col("share_rest")).alias("allocated_revenue_paid_value"),
-        F.try_divide(to_amount(F.col("score"), 6), F.col("scored")).alias("avg_review_score"),
+        _total("price").alias("gmv_item_price"),
+        _total("freight").alias("total_freight_value"),
+        F.try_divide(_total("price"), F.col("priced")).alias("avg_item_price"),
+        _total("share").alias("allocated_revenue_paid_value"),
+        F.try_divide(_total("score"), F.col("scored")).alias("avg_review_score"),
         F.col("delivered").alias("delivered_units"),
         F.col("on_time").alias("on_time_delivered_units"),
         F.col("fresh").alias("units_from_new_customers"),

@@ -29,7 +29,7 @@ def monthly_revenue(orders: DataFrame, payments: DataFrame) -> DataFrame:
     return (
         months.join(paid_per_order(payments, "_paid"), "order_id")
         .groupBy("month")
-        .agg(exact_sum(F.col("_paid")).alias("revenue"))
+        .agg(F.round(exact_sum(F.col("_paid")), 2).alias("revenue"))
         .orderBy("month")
     )
 
@@ -45,7 +45,7 @@ def top_categories(items: DataFrame, products: DataFrame, k: int = 10) -> DataFr
         _item_revenue(items, "product_id")
         .join(names, "product_id")
         .groupBy("product_category_name")
-        .agg(exact_sum(F.col("_revenue")).alias("revenue"))
+        .agg(F.round(exact_sum(F.col("_revenue")), 2).alias("revenue"))
         .orderBy(F.desc("revenue"), F.asc("product_category_name"))
         .limit(k)
     )
@@ -57,7 +57,7 @@ def top_sellers(items: DataFrame, sellers: DataFrame, k: int = 10) -> DataFrame:
         _item_revenue(items, "seller_id")
         .join(scd.active(sellers).select("seller_id"), "seller_id")
         .groupBy("seller_id")
-        .agg(exact_sum(F.col("_revenue")).alias("revenue"))
+        .agg(F.round(exact_sum(F.col("_revenue")), 2).alias("revenue"))
         .orderBy(F.desc("revenue"), F.asc("seller_id"))
         .limit(k)
     )

@@ -1,3 +1,4 @@
+import math
 import random
 
 from pyspark.sql import functions as F
@@ -45,8 +46,24 @@ def test_sum_of_nothing_is_null(spark):
     assert tuple(df.agg(exact_sum(F.col("v")), exact_avg(F.col("v"))).first()) == (None, None)
 
 
-def test_fine_sums_in_two_parts_outgrow_bigint(spark):
-    df = spark.createDataFrame([(9e12 + 0.25,)] * 4 + [(-0.5,), (None,)], "v double")
-    whole, rest = parts_of(F.col("v"))
-    parts = df.agg(whole.alias("whole"), rest.alias("rest"))
-    assert parts.select(from_parts(F.col("whole"), F.col("rest"))).first()[0] == 3.6e13 + 0.5
+def _summed(spark, values):
+    return spark.createDataFrame([(v,) for v in values], "v double").agg(exact_sum(F.col("v"))).first()[0]
+
+
+def test_sums_do_not_round_to_cents(spark):
+    assert _summed(spark, [0.004] * 1000) == 4.0
+    assert _summed(spark, [0.0001, 1.23456789, -0.5, None]) == 0.73466789
+    assert _summed(spark, [9e11 + 0.25] * 40 + [-0.5]) == 3.6e13 + 9.5
+
+
+def test_sums_pass_on_what_does_not_split(spark):
+    assert _summed(spark, [1e17, 0.5]) == 1e17 + 0.5
+    assert math.isnan(_summed(spark, [1.0, float("nan")]))
+    assert _summed(spark, [1.0, float("inf")]) == float("inf")
+
+
+def test_parts_can_be_summed_again(spark):
+    df = spark.createDataFrame([(k % 3, 0.1) for k in range(30)], "k int, v double")
+    whole, rest, odd = parts_of(F.col("v"))
+    per_key = df.groupBy("k").agg(whole.alias("w"), rest.alias("r"), odd.alias("o"))
+    assert per_key.agg(from_parts(F.sum("w"), F.sum("r"), F.sum("o"))).first()[0] == 3.0
