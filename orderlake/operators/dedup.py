@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlake.functions.keys import record_hash
-from orderlake.operators.skew import HOT_ROWS, flag_repeated
+from orderlake.operators.skew import flag_repeated
 
 
 def _first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -69,11 +69,9 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(*keys)
 
 
-def reject_duplicates(
-    df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS
-) -> tuple[DataFrame, DataFrame]:
+def reject_duplicates(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """(rows whose key is unique, *all* rows of repeated keys)."""
-    flagged = flag_repeated(df, keys, "_repeated_key", hot_rows)
+    flagged = flag_repeated(df, keys, "_repeated_key")
     return (
         flagged.where(~F.col("_repeated_key")).drop("_repeated_key"),
         flagged.where("_repeated_key").drop("_repeated_key"),

@@ -15,7 +15,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderlake.operators.skew import HOT_ROWS, flag_repeated
+from orderlake.operators.skew import flag_repeated
 
 ERRORS = "_errors"
 WARNINGS = "_warnings"
@@ -34,7 +34,6 @@ class Rule:
     columns: tuple[str, ...] = ()
     predicate: str | None = None
     deduplicated: bool = False
-    implied: bool = False
 
     def __post_init__(self) -> None:
         if self.level not in ("error", "warn"):
@@ -79,15 +78,12 @@ class Rule:
         level: str = "error",
         name: str | None = None,
         deduplicated: bool = False,
-        implied: bool = False,
     ) -> Rule:
         """Every row of a repeated key fails; a key with a NULL part passes.
 
         ``deduplicated=True`` promises that the rows come out of a one-row-per-key
         step over some of these columns. Key groups are then tiny and already
         co-located, so the count reuses that shuffle instead of adding one.
-        ``implied=True`` says that an earlier gate already refused every repeated
-        key, so that the rule holds and is not counted again.
         """
         label = "_".join(columns)
         return Rule(
@@ -96,12 +92,11 @@ class Rule:
             f"{', '.join(columns)} is not unique",
             tuple(columns),
             deduplicated=deduplicated,
-            implied=implied,
         )
 
 
 def apply(
-    df: DataFrame, rules: Sequence[Rule], hot_rows: int = HOT_ROWS, among: DataFrame | None = None
+    df: DataFrame, rules: Sequence[Rule], among: DataFrame | None = None
 ) -> DataFrame:
     """``df`` with ``_errors`` and ``_warnings``; result columns of an earlier
     stage are replaced. Uniqueness is judged within ``among`` when ``df`` is a part
@@ -113,15 +108,13 @@ def apply(
         if rule.predicate is not None:
             outcomes.append((rule, f"coalesce({rule.predicate}, false)"))
             continue
-        if rule.implied:
-            continue
         flag = f"_repeated_{len(flags)}"
         if rule.deduplicated:
             complete = F.expr(" AND ".join(f"`{c}` IS NOT NULL" for c in rule.columns))
             copies = F.count(F.lit(1)).over(Window.partitionBy(*rule.columns))
             checked = checked.withColumn(flag, complete & (copies > 1))
         else:
-            checked = flag_repeated(checked, rule.columns, flag, hot_rows, among=among)
+            checked = flag_repeated(checked, rule.columns, flag, among=among)
         flags.append(flag)
         outcomes.append((rule, flag))
     judged = checked.withColumns(
@@ -166,7 +159,7 @@ def failed_names(column: str) -> Column:
 
 
 def reason_split(
-    df: DataFrame, keys: Sequence[str], invalid_format: Column, hot_rows: int = HOT_ROWS
+    df: DataFrame, keys: Sequence[str], invalid_format: Column
 ) -> DataFrame:
     """Give each row one reason, or NULL when it is valid.
 
@@ -175,7 +168,7 @@ def reason_split(
     keys), ``INVALID_FORMAT`` (``invalid_format`` is true).
     """
     null_key = reduce(or_, [F.col(k).isNull() for k in keys])
-    flagged = flag_repeated(df, keys, "_repeated_key", hot_rows)
+    flagged = flag_repeated(df, keys, "_repeated_key")
     reason = (
         F.when(null_key, "NULL_KEY")
         .when(F.col("_repeated_key"), "DUPLICATE_KEY")

@@ -11,7 +11,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderlake.functions.keys import record_hash
 from orderlake.operators import dedup
 
 FROM = "EffectiveFrom"
@@ -76,8 +75,10 @@ def _neighbour(
     step: int,
     slice_by: str | None,
     edges_of: DataFrame | None = None,
+    ties: Sequence[str] = (),
 ) -> DataFrame:
-    """``value`` of the key's next (step 1) or previous (step -1) version as ``out``.
+    """``value`` of the key's next (step 1) or previous (step -1) version as ``out``,
+    in the order of starts and, among equal ones, of ``ties``.
 
     With ``slice_by`` this takes two levels, so that a key is split by time.
     Inside a (key, slice) group it is a plain lead or lag. The row at the edge of
@@ -86,16 +87,16 @@ def _neighbour(
     """
     look = F.lead if step > 0 else F.lag
     if not slice_by:
-        return df.withColumn(out, look(value).over(Window.partitionBy(key).orderBy(FROM)))
+        return df.withColumn(out, look(value).over(Window.partitionBy(key).orderBy(FROM, *ties)))
     in_slice = F.date_trunc(slice_by, FROM)
     sliced = df.withColumn("_slice", in_slice)
     near_edge = F.min_by if step > 0 else F.max_by
     source = df if edges_of is None else edges_of
-    edges = source.groupBy(key, in_slice.alias("_slice")).agg(near_edge(value, FROM).alias("_edge"))
+    edges = source.groupBy(key, in_slice.alias("_slice")).agg(near_edge(value, F.struct(FROM, *ties)).alias("_edge"))
     across = edges.select(
         key, "_slice", look("_edge").over(Window.partitionBy(key).orderBy("_slice")).alias("_across")
     )
-    inside = look(value).over(Window.partitionBy(key, "_slice").orderBy(FROM))
+    inside = look(value).over(Window.partitionBy(key, "_slice").orderBy(FROM, *ties))
     joined = sliced.withColumn("_inside", inside).join(across, [key, "_slice"], "left")
     return joined.withColumn(out, F.coalesce("_inside", "_across")).drop("_slice", "_inside", "_across")
 
@@ -152,16 +153,16 @@ def drop_unchanged(
     """Incoming versions that really change something.
 
     A version is dropped when its attributes equal those of the version before
-    it: the key's previous incoming version, or the active row for the first one.
-    Ends are recomputed for what is left.
+    it (NULL equals NULL): the key's previous incoming version, or the active row
+    for the first one. Ends are recomputed for what is left.
     """
-    kept = [c for c in incoming.columns if c not in (TO, ACTIVE)]
-    stated = incoming.select(*kept, record_hash(*attributes).alias("_state"))
-    known = current.select(key, record_hash(*attributes).alias("_known"))
-    compared = _neighbour(stated, key, "_state", "_before", -1, slice_by).join(known, key, "left")
+    order = [ACTIVE, *attributes]
+    stated = incoming.withColumn("_state", F.struct(*attributes))
+    known = current.select(key, F.struct(*attributes).alias("_known"))
+    compared = _neighbour(stated, key, "_state", "_before", -1, slice_by, ties=order).join(known, key, "left")
     before = F.coalesce("_before", "_known")
-    changed = compared.where(before.isNull() | (F.col("_state") != before))
-    ended = _neighbour(changed.select(kept), key, FROM, TO, 1, slice_by)
+    changed = compared.where(before.isNull() | ~F.col("_state").eqNullSafe(before))
+    ended = _neighbour(changed.select(incoming.columns), key, FROM, TO, 1, slice_by, ties=order)
     return ended.withColumn(ACTIVE, F.col(TO).isNull()).select(incoming.columns)
 
 
@@ -169,15 +170,17 @@ def rebuild(
     df: DataFrame, key: str, touched: DataFrame | None = None, slice_by: str | None = None
 ) -> DataFrame:
     """Recompute ends and flags from the starts alone, which repairs history after
-    versions arrived late. ``touched`` (distinct keys) limits the work."""
+    versions arrived late. Every row stays: among equal starts all but the last (an
+    active row before a closed one, then the larger attributes) become empty versions.
+    ``touched`` limits the work to its keys."""
     if touched is None:
         affected, rest = df, None
     else:
         keys = touched.select(key).distinct()
         affected, rest = df.join(keys, key, "left_semi"), df.join(keys, key, "left_anti")
     attributes = [c for c in df.columns if c not in (key, FROM, TO, ACTIVE)]
-    starts = affected.select(key, *attributes, F.col(FROM).alias("_start"))
-    again = versions(starts, key, "_start", attributes, slice_by=slice_by).select(df.columns)
+    ended = _neighbour(affected, key, FROM, TO, 1, slice_by, ties=[ACTIVE, *attributes])
+    again = ended.withColumn(ACTIVE, F.col(TO).isNull()).select(df.columns)
     return again if rest is None else again.unionByName(rest.select(df.columns))
 
 

@@ -7,57 +7,32 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key with this many rows is hot: too much for one task to be comfortable.
-HOT_ROWS = 5_000_000
-# Upper bound of the broadcast side in rows. Hot keys beyond it are still marked
-# correctly, through the shuffled join.
-MAX_HOT_KEYS = 100_000
 
-
-def flag_repeated(
-    df: DataFrame,
-    keys: Sequence[str],
-    flag: str,
-    hot_rows: int = HOT_ROWS,
-    max_hot_keys: int = MAX_HOT_KEYS,
-    among: DataFrame | None = None,
-) -> DataFrame:
+def flag_repeated(df: DataFrame, keys: Sequence[str], flag: str, among: DataFrame | None = None) -> DataFrame:
     """Add BOOLEAN ``flag``: does the row's key occur more than once?
 
-    Keys are counted in ``df`` itself, or in ``among`` when ``df`` is a part of it.
-    A key with a NULL part never counts as repeated. Rows are counted per key
-    with a map-side partial aggregate, then the verdict is joined back:
-
-    * the hottest keys come as a broadcast of at most ``max_hot_keys`` rows, and
-      their rows leave for the second join spread by map partition instead of
-      meeting in one task;
-    * every other row is joined on the key itself. The lookup there holds *all*
-      repeated keys, so nothing depends on how many keys were broadcast.
+    Keys are counted in ``df`` itself, or in ``among`` when ``df`` is a part of it. A key
+    with a NULL part never counts as repeated.
 
-    Rows with a NULL key are spread as well. The spread uses the partition number,
-    not a random number, so a task that runs again sends its rows the same way.
+    Rows are counted per key with a map-side partial aggregate, then the verdict, one row
+    per repeated key, is joined back. The rows of a hot key fill a large partition of that
+    join, which Spark splits among tasks while it runs (the session's settings make it do
+    so in any plan). It does so only if both sides are shuffled for the join alone, so the
+    join takes in a column that the counts are not yet partitioned by; for rows without a
+    key this column holds the map partition and spreads them.
     """
     complete = " AND ".join(f"`{k}` IS NOT NULL" for k in keys)
     counted = (df if among is None else among).where(complete).groupBy(*keys)
     repeated = counted.agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    renamed = [f"`{k}` AS _key{i}" for i, k in enumerate(keys)]
-    same_key = " AND ".join(f"`{k}` = _key{i}" for i, k in enumerate(keys))
-    helpers = [f"_key{i}" for i in range(len(keys))]
-
-    hottest = repeated.where(F.col("_n") >= hot_rows).orderBy(F.desc("_n"), *keys).limit(max_hot_keys)
-    hot = hottest.selectExpr(*renamed, "true AS _hot")
+    names = [f"_key{i}" for i in range(len(keys))]
     # Always -1, but not a literal: the optimizer would fold a literal into a plain
     # condition and leave it out of the partitioning.
-    lookup = repeated.selectExpr(*renamed, "least(_n, -1L) AS _place", "true AS _repeated")
-
-    settled = f"_hot OR NOT ({complete})"
-    spread = (
-        df.join(F.broadcast(hot), F.expr(same_key), "left")
-        .withColumn("_spread", F.expr(f"IF({settled}, CAST(spark_partition_id() AS bigint), -1L)"))
-        .drop(*helpers)
-    )
+    place = "least(_n, -1L) AS _place"
+    lookup = repeated.selectExpr(*[f"`{k}` AS {name}" for k, name in zip(keys, names)], place, "true AS _repeated")
+    same_key = " AND ".join(f"`{k}` = {name}" for k, name in zip(keys, names))
+    spread = df.withColumn("_spread", F.expr(f"IF({complete}, -1L, CAST(spark_partition_id() AS bigint))"))
     return (
         spread.join(lookup, F.expr(f"{same_key} AND _spread = _place"), "left")
-        .withColumn(flag, F.expr("coalesce(_hot, _repeated, false)"))
-        .drop(*helpers, "_hot", "_spread", "_place", "_repeated")
+        .withColumn(flag, F.expr("coalesce(_repeated, false)"))
+        .drop(*names, "_spread", "_place", "_repeated")
     )

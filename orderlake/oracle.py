@@ -49,6 +49,10 @@ select cast(l_orderkey as varchar) order_id, l_linenumber order_item_id,
             else l_extendedprice + l_linenumber * cast(0.0001 as double) end price,
        l_quantity * cast(0.2525 as double) freight_value
 from lineitem""",
+    "a_items_raw": """
+select order_id, case when freight_value = 3 * cast(0.2525 as double) then '0' else '' end || cast(order_item_id as varchar) order_item_id,
+       product_id, seller_id, shipping_limit_date, price, freight_value
+from a_items""",
     "a_payments": """
 select cast(o_orderkey as varchar) order_id, cast(n as int) payment_sequential,
        case when o_orderpriority = '1-URGENT' then 'credit_card'
@@ -147,10 +151,12 @@ from a_orders_raw
 where order_id is not null and order_purchase_timestamp is not null
 qualify row_number() over (partition by order_id order by load_no desc) = 1""",
     "c_items": """
-select *, count(*) over (partition by order_id, order_item_id) copies from a_items""",
+select *, count(*) over (partition by order_id, order_item_id) copies from a_items_raw""",
     "s_items": """
-select order_id, order_item_id, product_id, seller_id, shipping_limit_date, price, freight_value
-from c_items where copies = 1 and price > 0""",
+select order_id, cast(order_item_id as int) order_item_id, product_id, seller_id, shipping_limit_date, price, freight_value
+from c_items where copies = 1 and price > 0
+qualify row_number() over (partition by order_id, cast(order_item_id as int)
+    order by product_id desc, seller_id desc, price desc, freight_value desc, shipping_limit_date desc) = 1""",
     "l_payments": """
 select * from a_payments_raw
 qualify row_number() over (partition by order_id, payment_sequential order by load_no desc) = 1""",
@@ -186,12 +192,14 @@ qualify row_number() over (partition by product_category_name
     "k_customers": """
 select * from a_customers
 where customer_id is not null and customer_unique_id is not null
-qualify row_number() over (partition by customer_id, ingested order by load_no desc) = 1""",
+qualify row_number() over (
+  partition by customer_id, ingested, customer_unique_id, customer_zip_code_prefix, customer_city, customer_state
+  order by load_no desc) = 1""",
     "s_customers": """
 select customer_id, customer_unique_id, customer_zip_code_prefix, customer_city, customer_state,
        ingested EffectiveFrom,
-       lead(ingested) over (partition by customer_id order by ingested) EffectiveTo,
-       lead(ingested) over (partition by customer_id order by ingested) is null IsActive
+       lead(ingested) over (partition by customer_id order by ingested, load_no) EffectiveTo,
+       lead(ingested) over (partition by customer_id order by ingested, load_no) is null IsActive
 from k_customers""",
     "s_sellers": """
 select seller_id, seller_zip_code_prefix, seller_city, seller_state, ingested EffectiveFrom,
@@ -346,18 +354,20 @@ from a_customers""",
     "silver_customers": "select * from s_customers",
     "silver_sellers": "select * from s_sellers",
     "silver_products": "select * from s_products",
-    "silver_customers_keep_ties": """
+    "silver_customers_keep_ties": "select * from s_customers",
+    "silver_customers_collapsed": """
 with kept as (
   select * from a_customers
   where customer_id is not null and customer_unique_id is not null
-  qualify row_number() over (
-    partition by customer_id, ingested, customer_unique_id, customer_zip_code_prefix, customer_city, customer_state
-    order by load_no desc) = 1)
+  qualify row_number() over (partition by customer_id, ingested order by load_no desc) = 1)
 select customer_id, customer_unique_id, customer_zip_code_prefix, customer_city, customer_state,
        ingested EffectiveFrom,
-       lead(ingested) over (partition by customer_id order by ingested, load_no) EffectiveTo,
-       lead(ingested) over (partition by customer_id order by ingested, load_no) is null IsActive
+       lead(ingested) over (partition by customer_id order by ingested) EffectiveTo,
+       lead(ingested) over (partition by customer_id order by ingested) is null IsActive
 from kept""",
+    "silver_items_quarantine": f"""
+select order_id, order_item_id, product_id, seller_id, {_ITEM_ERRORS} errors, 'source' gate
+from c_items where copies > 1 or not price > 0""",
     "silver_products_open_ended": """
 select product_id, product_category_name, product_name_length, product_description_length,
        product_photos_qty, product_weight_g, product_length_cm, product_height_cm, product_width_cm,

@@ -1,16 +1,15 @@
-"""Order lines: checked, cast, checked again, appended.
+"""Order lines: checked, cast, newest row per line, checked again, appended.
 
-The feed wants the newest row per line. Its source gate already refuses every row
-of a repeated line and every missing key, so exactly one row per line is left and
-there is nothing to choose: ranking the rows, or counting the keys once more for
-the target gate, would shuffle the largest table to change nothing.
+The source gate refuses every row of a repeated line as it is written. Text feeds may
+write one line number in several ways (``1``, ``01``), which only casting makes equal:
+of such rows the newest stays.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from orderlake.operators import quality
+from orderlake.operators import dedup, quality
 from orderlake.operators.quality import Rule
 from orderlake.plans.silver.result import SOURCE_FILE, Pin, Result, cast_rules, casts, unparsed_rules, unpinned
 
@@ -41,7 +40,7 @@ SOURCE_RULES = [
 ]
 TARGET_RULES = [
     Rule.expr("price_non_negative", "price >= 0", "price must be >= 0"),
-    Rule.unique(["order_id", "product_id", "order_item_id"], name="order_item_unique", implied=True),
+    Rule.unique(["order_id", "product_id", "order_item_id"], name="order_item_unique", deduplicated=True),
 ]
 
 
@@ -50,5 +49,6 @@ def transform(batch: DataFrame, strict_casts: bool = True, pin: Pin = unpinned)
     checked = pin(quality.apply(batch, rules))
     good, refused = quality.split(checked)
     cast = good.select("order_id", "product_id", "seller_id", *casts(TYPES), INGESTED, SOURCE_FILE)
-    valid, late_refused = quality.split(quality.apply(cast, TARGET_RULES))
+    newest = dedup.latest(cast, ["order_id", "order_item_id"], INGESTED, [SOURCE_FILE])
+    valid, late_refused = quality.split(quality.apply(newest, TARGET_RULES))
     return Result(valid, refused, late_refused)

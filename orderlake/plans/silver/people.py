@@ -72,15 +72,15 @@ SELLERS = Entity(
 def transform(
     batch: DataFrame,
     entity: Entity,
-    keep_ties: bool = False,
+    keep_ties: bool = True,
     null_skipping: bool = False,
     pin: Pin = unpinned,
 ) -> Result:
     """Versions of one batch and what the two gates refused.
 
-    By default equal starts collapse inside ``scd.versions``, which also removes
-    equal records, so no separate fingerprint step is needed. ``keep_ties=True``
-    removes only equal records, by fingerprint.
+    Only equal records are removed, by fingerprint; different ones of one ingest time
+    all become versions, all but the last of them empty. ``keep_ties=False`` keeps just
+    that last one.
     """
     good, bad = quality.split(pin(quality.apply(batch, entity.deciding_rules)))
     records = good.drop(quality.ERRORS, quality.WARNINGS)

@@ -325,6 +325,20 @@ def silver_products(spark, sf_dir):
     return Lake(spark, sf_dir).products.drop("_InsertTimeStamp")
 
 
+@query
+def silver_customers_collapsed(spark, sf_dir):
+    raw = feeds.customers_raw(Tables(spark, sf_dir))
+    return people.transform(raw, people.CUSTOMERS, keep_ties=False).valid
+
+
+@query
+def silver_items_quarantine(spark, sf_dir):
+    result = order_items.transform(feeds.order_items_raw(Tables(spark, sf_dir)))
+    columns = ["order_id", F.col("order_item_id").cast("string").alias("order_item_id"), "product_id", "seller_id", _errors()]
+    source, target = result.source_invalid, result.target_invalid
+    return source.select(*columns, F.lit("source").alias("gate")).unionByName(target.select(*columns, F.lit("target").alias("gate")))
+
+
 @query
 def silver_customers_keep_ties(spark, sf_dir):
     raw = feeds.customers_raw(Tables(spark, sf_dir))

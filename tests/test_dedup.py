@@ -52,6 +52,6 @@ def test_any_row_is_repeatable(spark):
 def test_duplicate_keys_and_rejection_of_all_copies(spark):
     df = frame(spark, [("a", T1, "x", 1), ("a", T2, "y", 2), ("b", T1, "z", 3)])
     assert rows(dedup.duplicate_keys(df, ["k"])) == [("a",)]
-    unique, repeated = dedup.reject_duplicates(df, ["k"], hot_rows=1)
+    unique, repeated = dedup.reject_duplicates(df, ["k"])
     assert rows(unique, "k") == [("b",)]
     assert rows(repeated, "k", "v") == [("a", 1), ("a", 2)]

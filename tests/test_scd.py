@@ -131,6 +131,23 @@ def test_rebuild_repairs_late_versions(spark):
     assert rows(scd.rebuild(late, "k")) == rows(fixed)
 
 
+@pytest.mark.parametrize("unit", [None, "day"])
+def test_rebuild_keeps_every_row(spark, unit):
+    schema = "k string, v string, EffectiveFrom timestamp, EffectiveTo timestamp, IsActive boolean"
+    data = [("a", "z", T[1], T[1], False), ("a", "y", T[1], None, True), ("a", "x", T[0], T[1], False), ("a", "x", T[0], T[1], False)]
+    df = spark.createDataFrame(data, schema)
+    assert rows(scd.rebuild(df, "k", slice_by=unit)) == rows(
+        spark.createDataFrame([("a", "z", T[1], T[1], False), ("a", "y", T[1], None, True), ("a", "x", T[0], T[0], False), ("a", "x", T[0], T[1], False)], schema)
+    )
+
+
+def test_unchanged_compares_values_not_their_text(spark):
+    schema = "k string, v string, w string, EffectiveFrom timestamp, EffectiveTo timestamp, IsActive boolean"
+    current = spark.createDataFrame([("a", "a||b", "c", T[0], None, True), ("b", None, "x", T[0], None, True), ("c", None, "x", T[0], None, True)], schema)
+    incoming = spark.createDataFrame([("a", "a", "b||c", T[1], None, True), ("b", None, "x", T[1], None, True), ("c", "", "x", T[1], None, True)], schema)
+    assert [r[0] for r in rows(scd.drop_unchanged(current, incoming, "k", ["v", "w"]), "k")] == ["a", "c"]
+
+
 def test_upsert_replaces_and_adds(spark):
     schema = "k string, v int"
     target = spark.createDataFrame([("a", 1), ("b", 2)], schema)

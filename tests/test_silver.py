@@ -108,6 +108,14 @@ def test_order_items(spark):
     ]
 
 
+def test_order_items_written_in_two_ways_are_one(spark):
+    day = "2024-01-01 00:00:00"
+    data = [("1", "1", "p", "s", day, "1", "1"), ("1", "01", "q", "s", day, "2", "1", T2, "g"), ("1", " 1", "r", "s", day, "3", "1")]
+    result = order_items.transform(batch(spark, ITEMS, data, "_ingest_time"))
+    assert rows(result.valid, "order_id", "order_item_id", "product_id") == [("1", 1, "q")]
+    assert result.source_invalid.count() == 0 and result.target_invalid.count() == 0
+
+
 def test_order_item_warning(spark):
     from orderlake.operators import quality
 
@@ -263,8 +271,10 @@ def test_customers(spark):
 
 def test_customers_as_zero_length_versions(spark):
     data = [("1", "u", "z", "a", "S"), ("1", "u", "z", "b", "S"), ("1", "u", "z", "b", "S")]
-    result = people.transform(batch(spark, CUSTOMERS, data), people.CUSTOMERS, keep_ties=True)
+    result = people.transform(batch(spark, CUSTOMERS, data), people.CUSTOMERS)
     assert rows(result.valid, "customer_city", "EffectiveTo") == [("a", T1), ("b", None)]
+    last = people.transform(batch(spark, CUSTOMERS, data), people.CUSTOMERS, keep_ties=False)
+    assert rows(last.valid, "customer_city", "EffectiveTo") == [("b", None)]
 
 
 def test_flag_and_end_must_agree(spark):
