@@ -95,15 +95,17 @@ def codec(content: bytes, pattern: str) -> Codec:
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, keep: list[str] | None = None, offsets: bool = False) -> DataFrame:
     """Columns ``keep`` (doc_id by default), n_tokens, ids (little-endian unsigned 32-bit) and decoded (bytes from
-    the ids); with ``offsets`` also char_start and char_end of each token. ``ranks_path`` is read on the driver."""
+    the ids); with ``offsets`` also char_start and char_end of each token. A name that a kept
+    column has gets ``_`` behind. ``ranks_path`` is read on the driver."""
     spark = docs.sparkSession
     ready(spark)
     kept = docs.select(*[docs[c] for c in keep or ["doc_id"]])
     (text,) = unused(kept, "_text")
     rows = docs.select(*[docs[c] for c in kept.columns], docs["text"].cast("string").alias(text))
-    schema = StructType(list(kept.schema.fields)).add("n_tokens", "long").add("ids", "binary").add("decoded", "binary")
+    n_name, ids_name, decoded_name, start_name, end_name = unused(kept, "n_tokens", "ids", "decoded", "char_start", "char_end")
+    schema = StructType(list(kept.schema.fields)).add(n_name, "long").add(ids_name, "binary").add(decoded_name, "binary")
     if offsets:
-        schema = schema.add("char_start", ArrayType(IntegerType())).add("char_end", ArrayType(IntegerType()))
+        schema = schema.add(start_name, ArrayType(IntegerType())).add(end_name, ArrayType(IntegerType()))
     with open(ranks_path, "rb") as file:
         shared = spark.sparkContext.broadcast(file.read())  # a vocabulary, of fixed size
 

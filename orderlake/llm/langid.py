@@ -105,13 +105,15 @@ class Classifier:
 
 
 def identify(docs: DataFrame, dictionaries: dict[str, bytes], keep: list[str] | None = None) -> DataFrame:
-    """Columns ``keep`` (doc_id by default) with lang_pred, score and rejected; only text is looked at."""
+    """Columns ``keep`` (doc_id by default) with lang_pred, score and rejected, or these names
+    with ``_`` behind where a kept column has them; only text is looked at."""
     spark = docs.sparkSession
     ready(spark)
     kept = docs.select(*[docs[c] for c in keep or ["doc_id"]])
     (text,) = unused(kept, "_text")
     rows = docs.select(*[docs[c] for c in kept.columns], docs["text"].cast("string").alias(text))
-    schema = StructType(list(kept.schema.fields)).add("lang_pred", "string").add("score", "double").add("rejected", "boolean")
+    lang_name, score_name, rejected_name = unused(kept, "lang_pred", "score", "rejected")
+    schema = StructType(list(kept.schema.fields)).add(lang_name, "string").add(score_name, "double").add(rejected_name, "boolean")
     shared = spark.sparkContext.broadcast(dictionaries)  # bounded by the sample
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,6 +132,5 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], keep: list[str] |
 
 def accepted(docs: DataFrame, dictionaries: dict[str, bytes]) -> DataFrame:
     """The rows of ``docs`` whose language is told with enough margin, columns as they were."""
-    lang, score, rejected = unused(docs, "lang_pred", "score", "rejected")
-    found = identify(docs, dictionaries, docs.columns).toDF(*docs.columns, lang, score, rejected)
-    return found.filter(~F.col(rejected)).select(*docs.columns)
+    found = identify(docs, dictionaries, docs.columns)
+    return found.filter(~F.col(found.columns[-1])).select(*docs.columns)

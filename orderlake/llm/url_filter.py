@@ -186,11 +186,14 @@ _MATCHERS: dict[Index, Matcher] = {}
 
 
 def judge(pages: DataFrame, index: Index, default: str = "allow", keep: list[str] | None = None) -> DataFrame:
-    """Columns ``keep`` (page_id by default), host, path, rule, verdict, one row per page."""
+    """Columns ``keep`` (page_id by default), host, path, rule, verdict, one row per page; a name
+    that a kept column has gets ``_`` behind."""
     ready(pages.sparkSession)
     kept = pages.select(*[pages[c] for c in keep or ["page_id"]])
     (url,) = unused(kept, "_url")
-    schema = StructType(list(kept.schema.fields)).add("host", "string").add("path", "string").add("rule", "string").add("verdict", "string")
+    schema = StructType(list(kept.schema.fields))
+    for name in unused(kept, "host", "path", "rule", "verdict"):
+        schema = schema.add(name, "string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = _MATCHERS.get(index) or _MATCHERS.setdefault(index, Matcher(index))
