@@ -40,7 +40,8 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     others = [c for c in docs.columns if c != "text"]
     found = byte_bpe.encode(docs, path, public_tokenizers.PATTERN, others)
-    return found.withColumn("decoded", F.decode("decoded", "UTF-8")).withColumnRenamed("decoded", "text")
+    decoded = found.columns[-1]
+    return found.withColumn(decoded, F.decode(F.col(decoded), "UTF-8")).withColumnRenamed(decoded, "text")
 
 
 STAGES = [
