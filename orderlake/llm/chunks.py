@@ -14,8 +14,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
+from tokenizers import Tokenizer
 
 CACHED = 400_000  # pieces remembered by a process; the memory is emptied beyond
+# Letters, perhaps behind a space, and signs after them are always split from each other.
+_TAILED = regex.compile(r"( ?[A-Za-z]+)([.,;:!?]+)")
+_LETTERS = regex.compile(r" ?[A-Za-z]+")
 _SPACE_FIRST, _SPACE_LAST = regex.compile(r"^\s"), regex.compile(r"\s$")
 
 
@@ -34,11 +38,17 @@ def binaries(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
 
 class PieceEncoder:
     """``keep_space``: cut before a single space between two non-spaces, which then leads
-    its piece (byte-level splitting); else cut at ASCII white space, which is dropped."""
+    its piece (byte-level splitting); else the tokenizer lower-cases and pieces are cut at
+    ASCII white space, which is dropped.
 
-    def __init__(self, tokenizer, keep_space: bool):
+    ASCII letters pass the tokenizer's normalizing and splitting unchanged, so they go to
+    its model at once.
+    """
+
+    def __init__(self, tokenizer: Tokenizer, keep_space: bool):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer, self.keep_space = tokenizer, keep_space
+        self.model = Tokenizer(tokenizer.model)
         self.known: dict[str, bytes] = {}
 
     def _ids(self, pieces: list[str]) -> list[bytes]:
@@ -46,12 +56,25 @@ class PieceEncoder:
         if len(self.known) + len(missing) > CACHED:
             self.known.clear()
             missing = pieces
-        for start in range(0, len(missing), 20_000):
-            part = missing[start : start + 20_000]
-            for piece, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[piece] = array("I", found.ids).tobytes()
+        tailed = {p: m.groups() for p in missing if (m := _TAILED.fullmatch(p))}
+        parts = [a for p in missing for a in tailed.get(p, (p,))]
+        new = [a for a in dict.fromkeys(parts) if a not in self.known]
+        letters = [a for a in new if _LETTERS.fullmatch(a)]
+        plain = set(letters)
+        shown = [a.replace(" ", "\u0120") for a in letters] if self.keep_space else [a.lower() for a in letters]
+        self._encode(self.model, letters, shown)
+        others = [a for a in new if a not in plain]
+        self._encode(self.tokenizer, others, others)
+        for piece, (core, tail) in tailed.items():
+            self.known[piece] = self.known[core] + self.known[tail]
         return [self.known[p] for p in pieces]
 
+    def _encode(self, tokenizer: Tokenizer, pieces: list[str], shown: list[str]) -> None:
+        for start in range(0, len(pieces), 20_000):
+            stop = start + 20_000
+            for piece, found in zip(pieces[start:stop], tokenizer.encode_batch_fast(shown[start:stop], add_special_tokens=False)):
+                self.known[piece] = array("I", found.ids).tobytes()
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and the place where each text starts, plus the end. Null is empty."""
         texts = pc.fill_null(texts.cast(pa.string()), "")
