@@ -30,6 +30,8 @@ HEADLINE = [
     "silver_customers",
     "scd2_versions",
     "scd2_merge",
+    "scd2_changes_only",
+    "scd2_rebuild",
     "fact_orders",
     "fact_order_items",
     "fact_payments",

@@ -162,18 +162,25 @@ def order_payments_raw(tables: Tables) -> DataFrame:
     return _with_lineage(raw, F.col("load_no"))
 
 
+def _stamp(days: Column, time: str) -> Column:
+    day = F.date_add(F.lit("2000-01-01").cast("date"), days.cast("int"))
+    return F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit(f" {time}"))
+
+
 def order_reviews_raw(tables: Tables) -> DataFrame:
-    """Scores 0-6 as text, unreadable dates, missing ids, repeated keys."""
+    """Scores 0-6 as text, unreadable and missing dates, missing ids, repeated keys."""
     raw = _deliveries(tables["documents"], {1: None, 2: _every("doc_id", 29)}).select(
         _blank_every("doc_id", 53).alias("review_id"),
-        ((F.col("doc_id") * 7) % 15000).cast("string").alias("order_id"),
+        (F.col("doc_id") * 3).cast("string").alias("order_id"),
         (F.col("doc_id") % 7).cast("string").alias("review_score"),
         F.col("lang").alias("review_comment_title"),
         F.col("text").alias("review_comment_message"),
         F.when(_every("doc_id", 11), "17/10/2000")
-        .otherwise("2000-10-17 08:30:00")
+        .when(~_every("doc_id", 13), _stamp(F.col("doc_id") % 700, "08:30:00"))
         .alias("review_creation_date"),
-        F.when(~_every("doc_id", 5), "2000-10-19 09:00:00").alias("review_answer_timestamp"),
+        F.when(_every("doc_id", 17), "soon")
+        .when(~_every("doc_id", 5), _stamp(F.col("doc_id") % 700 + F.col("doc_id") % 9, "09:00:00"))
+        .alias("review_answer_timestamp"),
         "load_no",
     )
     return _with_lineage(raw, F.lit(1))
@@ -204,7 +211,7 @@ def customers_raw(tables: Tables) -> DataFrame:
     )
     raw = placed.select(
         _blank_every(key, 103).alias("customer_id"),
-        F.when(~_every(key, 101), (F.col(key) % 1000).cast("string")).alias("customer_unique_id"),
+        F.when(~_every(key, 101), F.expr(f"{key} div 2").cast("string")).alias("customer_unique_id"),
         _text("c_nationkey").alias("customer_zip_code_prefix"),
         city.alias("customer_city"),
         F.col("r_name").alias("customer_state"),

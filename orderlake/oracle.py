@@ -70,17 +70,21 @@ from a_payments p, (values (1), (2)) k(load_no)
 where load_no = 1 or (cast(order_id as bigint) % 6 = 0 and payment_sequential = 1)""",
     "a_reviews": """
 select case when doc_id % 53 = 0 then null else cast(doc_id as varchar) end review_id,
-       cast((doc_id * 7) % 15000 as varchar) order_id,
+       cast(doc_id * 3 as varchar) order_id,
        cast(doc_id % 7 as varchar) review_score,
        lang review_comment_title,
        text review_comment_message,
-       case when doc_id % 11 = 0 then '17/10/2000' else '2000-10-17 08:30:00' end review_creation_date,
-       case when doc_id % 5 = 0 then null else '2000-10-19 09:00:00' end review_answer_timestamp
+       case when doc_id % 11 = 0 then '17/10/2000' when doc_id % 13 <> 0
+            then strftime(timestamp '2000-01-01 08:30:00' + cast(doc_id % 700 as int) * interval '1' day, '%Y-%m-%d %H:%M:%S')
+            end review_creation_date,
+       case when doc_id % 17 = 0 then 'soon' when doc_id % 5 <> 0
+            then strftime(timestamp '2000-01-01 09:00:00' + cast(doc_id % 700 + doc_id % 9 as int) * interval '1' day,
+                '%Y-%m-%d %H:%M:%S') end review_answer_timestamp
 from documents, (values (1), (2)) k(n)
 where n = 1 or doc_id % 29 = 0""",
     "a_customers": """
 select case when c_custkey % 103 = 0 then null else cast(c_custkey as varchar) end customer_id,
-       case when c_custkey % 101 = 0 then null else cast(c_custkey % 1000 as varchar) end customer_unique_id,
+       case when c_custkey % 101 = 0 then null else cast(c_custkey // 2 as varchar) end customer_unique_id,
        cast(c_nationkey as varchar) customer_zip_code_prefix,
        case when load_no = 2 and c_custkey % 2 = 0 then lower(n_name)
             when load_no = 3 and c_custkey % 10 = 0 then upper(n_name[1]) || lower(n_name[2:])

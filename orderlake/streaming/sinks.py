@@ -59,10 +59,12 @@ def write_table(
 ) -> None:
     """Replace a derived table. With ``buckets`` it is stored hashed and sorted by
     ``bucket_by``, and later joins on that column skip its shuffle."""
-    writer = df.write.mode("overwrite").format("parquet")
-    if buckets and bucket_by:
-        writer = writer.bucketBy(buckets, bucket_by).sortBy(bucket_by)
-    writer.saveAsTable(table)
+    if not (buckets and bucket_by):
+        df.write.mode("overwrite").format("parquet").saveAsTable(table)
+        return
+    # rows arrive by bucket, so that a bucket is one file and not one for each task
+    by_bucket = df.repartition(buckets, bucket_by)
+    by_bucket.write.mode("overwrite").format("parquet").bucketBy(buckets, bucket_by).sortBy(bucket_by).saveAsTable(table)
 
 
 def merge_versions(
