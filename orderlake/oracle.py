@@ -556,6 +556,19 @@ group by 1 order by revenue desc, seller_id limit 10""",
 select order_id, customer_id, order_status, order_purchase_timestamp, order_approved_at,
        order_delivered_carrier_date, order_delivered_customer_date, order_estimated_delivery_date
 from a_orders_raw""",
+    "bronze_customers": """
+select customer_id, customer_unique_id, customer_zip_code_prefix, customer_city, customer_state,
+       true has_lineage from a_customers""",
+    "bronze_sellers": """
+select seller_id, seller_zip_code_prefix, seller_city, seller_state, true has_lineage from a_sellers""",
+    "bronze_geolocation": """
+select geolocation_zip_code_prefix, cast(geolocation_lat as varchar) geolocation_lat,
+       cast(geolocation_lng as varchar) geolocation_lng, geolocation_city, geolocation_state,
+       true has_lineage from a_geo""",
+    "bronze_products": """
+select product_id, product_category_name, product_name_lenght, product_description_lenght, product_photos_qty,
+       product_weight_g, product_length_cm, product_height_cm, product_width_cm, true has_lineage
+from a_products""",
     "stream_orders_to_silver": "select * from s_orders",
     "stream_customers_to_silver": "select * from s_customers",
     "stream_translation_to_silver": "select * from s_translation",

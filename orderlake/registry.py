@@ -646,6 +646,38 @@ def bronze_ingest(spark, sf_dir):
     return ingested.withColumns(texts).drop("_InsertTimeStamp", "_source_file", "_corrupt_record")
 
 
+def _ingest_text(spark: SparkSession, sf_dir: str, name: str, raw: str) -> DataFrame:
+    """All deliveries of a text feed as CSV, through the bronze stream, and whether each
+    row got the ingest time and file that a run adds."""
+    stage, columns = Stage(spark), list(FEED_SCHEMAS[name].schema.names)
+    getattr(feeds, raw)(Tables(spark, sf_dir)).select(columns).write.option("header", True).csv(stage.path("landing"))
+    table = stage.table("bronze")
+    bronze.run_bronze(spark, name, stage.path("landing"), table, stage.path("bronze")).awaitTermination()
+    ingested = spark.table(table)
+    known = F.col("_InsertTimeStamp").isNotNull() & F.col("_source_file").isNotNull()
+    return ingested.select(*columns, known.alias("has_lineage"))
+
+
+@query
+def bronze_customers(spark, sf_dir):
+    return _ingest_text(spark, sf_dir, "customers", "customers_raw")
+
+
+@query
+def bronze_sellers(spark, sf_dir):
+    return _ingest_text(spark, sf_dir, "sellers", "sellers_raw")
+
+
+@query
+def bronze_geolocation(spark, sf_dir):
+    return _ingest_text(spark, sf_dir, "geolocation", "geolocation_raw")
+
+
+@query
+def bronze_products(spark, sf_dir):
+    return _ingest_text(spark, sf_dir, "products", "products_raw")
+
+
 @query
 def stream_orders_to_silver(spark, sf_dir):
     stage = Stage(spark)
