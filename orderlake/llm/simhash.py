@@ -248,7 +248,8 @@ def _middles(members: DataFrame, radius: int, close: int) -> DataFrame:
                     names=["middle", "root", "close"],
                 )
 
-    return members.mapInArrow(run, "middle long, root long, close boolean")
+    # spread by fingerprint: the staged files are few and small, what is made from them is not
+    return members.repartition(F.col("fp")).mapInArrow(run, "middle long, root long, close boolean")
 
 
 def _star(middles: DataFrame) -> DataFrame:
