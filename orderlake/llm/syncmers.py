@@ -2,9 +2,11 @@
 
 A k-mer of characters is an anchor if the least of its inner s-mers, by hash, lies at
 either edge. That depends on the k-mer alone, so equal passages have equal anchors
-wherever they stand. A fingerprint is the ``ANCHORS`` anchors of least hash with the place
-of their first occurrence. Two fingerprints are as alike as the share of the least anchors
-of their union that both have in the same order (the longest increasing run of places).
+wherever they stand. A fingerprint is all distinct anchors of a text, each with the place
+of its first occurrence. Two fingerprints are as alike as the share of the anchors of their
+union that both have in the same order (the longest increasing run of places). What is
+shown of a fingerprint is its ``ANCHORS`` anchors of least hash, then a SHA-256 digest over
+all of them.
 
 A text without any anchor has one of its whole content; an empty text (null counts as
 empty) has an empty fingerprint, alike to empty ones only. Equal texts have equal
@@ -33,9 +35,9 @@ from orderlake.llm.common import blocks, ready
 
 K = 16
 S = 6
-ANCHORS = 32
+ANCHORS = 32  # shown of a fingerprint, beside the digest of all
 RANGE_BYTES = 8 << 20  # text routed to one range, about
-Anchor = tuple[int, int]  # hash, place
+Print = np.ndarray | list  # rows (hash, place) ascending by hash; of an empty text []
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -54,11 +56,11 @@ def _sliding_least(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def anchors(texts: list[str], k: int = K, s: int = S) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All closed syncmers of the texts: text number, place, hash (32 bits)."""
+    """All closed syncmers of the texts: text number, place, hash (64 bits)."""
     lengths = np.array([len(t) for t in texts], np.int64)
     codes = np.frombuffer("".join(texts).encode("utf-32-le"), "<u4").astype(np.uint64)
     if len(codes) < k:
-        return (np.zeros(0, np.int64),) * 3
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
     grams = codes[: len(codes) - s + 1].copy()
     for j in range(1, s):
         grams *= np.uint64(0x9E3779B97F4A7C15)
@@ -75,11 +77,11 @@ def anchors(texts: list[str], k: int = K, s: int = S) -> tuple[np.ndarray, np.nd
     value = grams[at]
     for offset in (*range(s, k - s, s), k - s):  # the s-mers that cover the k-mer
         value = _mix(value * np.uint64(0x9E3779B97F4A7C15) + grams[at + offset])
-    return text, at - (ends - lengths)[text], (value >> np.uint64(32)).astype(np.int64)
+    return text, at - (ends - lengths)[text], value
 
 
-def fingerprints(texts: list[str], k: int = K, s: int = S, size: int = ANCHORS) -> list[list[Anchor]]:
-    """The anchors of least hash of each text, ascending by hash."""
+def fingerprints(texts: list[str], k: int = K, s: int = S) -> list[Print]:
+    """All distinct anchors of each text."""
     text, place, value = anchors(texts, k, s)
     order = np.lexsort((place, value, text))
     text, place, value = text[order], place[order], value[order]
@@ -87,33 +89,42 @@ def fingerprints(texts: list[str], k: int = K, s: int = S, size: int = ANCHORS)
     first[1:] = (text[1:] != text[:-1]) | (value[1:] != value[:-1])
     text, place, value = text[first], place[first], value[first]
     bounds = np.searchsorted(text, np.arange(len(texts) + 1))
-    found = []
+    pairs = np.stack([value, place.astype(np.uint64)], axis=1)
+    found: list[Print] = []
     for t, a, b in zip(texts, bounds[:-1].tolist(), bounds[1:].tolist()):
-        b = min(b, a + size)
         if a < b:
-            found.append(list(zip(value[a:b].tolist(), place[a:b].tolist())))
+            found.append(pairs[a:b])
         else:
-            found.append([(xxhash.xxh32_intdigest(t.encode()), 0)] if t else [])
+            found.append(np.array([[xxhash.xxh64_intdigest(t.encode()), 0]], np.uint64) if t else [])
     return found
 
 
-def shown(print_: list[Anchor]) -> str:
-    return "".join(f"{h:08x}{p & 0xFFFFFFFF:08x}" for h, p in print_)
+def shown(print_: Print, size: int = ANCHORS) -> str:
+    if not len(print_):
+        return ""
+    least = "".join(f"{h:016x}{p:08x}" for h, p in print_[:size].tolist())
+    return least + hashlib.sha256(print_.astype("<u8").tobytes()).hexdigest()
 
 
-def likeness(one: list[Anchor], other: list[Anchor], size: int = ANCHORS) -> float:
-    if one == other:
-        return 1.0
-    left, right = dict(one), dict(other)
-    union = sorted(left.keys() | right.keys())[:size]
-    if not union:
-        return 1.0
-    both = sorted((left[h], right[h]) for h in union if h in left and h in right)
+def _run(places: np.ndarray) -> int:
+    """Length of the longest increasing run, of places that all differ."""
+    if (places[1:] > places[:-1]).all():
+        return len(places)
     run: list[int] = []
-    for _, place in both:  # places differ within a text, so the longest run increases strictly
-        spot = bisect_left(run, place)
-        run[spot : spot + 1] = [place]
-    return len(run) / len(union)
+    for place in places.tolist():
+        if not run or place > run[-1]:
+            run.append(place)
+        else:
+            run[bisect_left(run, place)] = place
+    return len(run)
+
+
+def likeness(one: Print, other: Print) -> float:
+    if not len(one) or not len(other):
+        return float(len(one) == len(other))
+    _, left, right = np.intersect1d(one[:, 0], other[:, 0], assume_unique=True, return_indices=True)
+    order = np.argsort(one[left, 1])
+    return _run(other[right, 1][order]) / (len(one) + len(other) - len(left))
 
 
 def edited(text: str, following: str) -> str:
@@ -197,18 +208,18 @@ def _compared(block: pa.RecordBatch, k: int, s: int, size: int) -> Iterator[pa.R
     if not len(own):
         return
     texts = block.column("text").to_pylist()
-    prints = fingerprints(texts, k, s, size)
+    prints = fingerprints(texts, k, s)
     changed = [edited(texts[i], texts[i + 1]) for i in own]
-    other = fingerprints(changed, k, s, size)
+    other = fingerprints(changed, k, s)
     yield pa.RecordBatch.from_arrays(
         [
             block.column("doc_id").take(pa.array(own)),
             pa.array([len(texts[i]) for i in own], pa.int64()),
             pa.array([hashlib.sha256(t.encode()).hexdigest() for t in changed]),
-            pa.array([shown(prints[i]) for i in own]),
-            pa.array([shown(p) for p in other]),
-            pa.array([likeness(prints[i], p, size) for i, p in zip(own, other)]),
-            pa.array([likeness(prints[i], prints[i + 1], size) for i in own]),
+            pa.array([shown(prints[i], size) for i in own]),
+            pa.array([shown(p, size) for p in other]),
+            pa.array([likeness(prints[i], p) for i, p in zip(own, other)]),
+            pa.array([likeness(prints[i], prints[i + 1]) for i in own]),
         ],
         names=["doc_id", "n_chars", "edited", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
     )

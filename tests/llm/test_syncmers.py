@@ -55,6 +55,49 @@ def test_likeness():
     assert len(short) == 1 and syncmers.shown(none) == ""
 
 
+def plain_likeness(one, other):
+    """From every anchor of both texts, the longest common run by the quadratic recurrence."""
+    text, place, value = syncmers.anchors([one, other])
+    firsts = []
+    for t in (0, 1):
+        first = {}
+        for h, p in sorted(zip(value[text == t].tolist(), place[text == t].tolist()), key=lambda x: x[1]):
+            first.setdefault(h, p)
+        firsts.append(first)
+    left, right = firsts
+    places = [right[h] for h in left if h in right]  # in the order of the first text
+    best = []
+    for i, p in enumerate(places):
+        best.append(1 + max((best[j] for j in range(i) if places[j] < p), default=0))
+    return max(best, default=0) / len(left.keys() | right.keys())
+
+
+def words(rng, letters, n):
+    return " ".join("".join(rng.choice(letters) for _ in range(rng.randint(3, 8))) for _ in range(n))
+
+
+def test_likeness_of_long_texts_rests_on_all_anchors():
+    rng = random.Random(5)
+    shared = words(rng, "abcdefgh", 300)
+    one, two = (words(rng, letters, 4000) + " " + shared + " " + words(rng, letters, 4000) for letters in ("ijklmnop", "qrstuvwx"))
+    parts = [words(rng, "abcdefgh", 40) for _ in range(8)]
+    moved = rng.sample(parts, 8)
+    pairs = [(one, two), (" ".join(parts), " ".join(moved)), (one, one[:30_000] + two[:400] + one[30_400:]), (one[:9_000] * 2, one)]
+    for a, b in pairs:
+        left, right = syncmers.fingerprints([a, b])
+        assert syncmers.likeness(left, right) == syncmers.likeness(right, left) == plain_likeness(a, b)
+        assert 0 < syncmers.likeness(left, right) < 1
+
+
+def test_fingerprint_shows_any_change_of_a_long_text():
+    rng = random.Random(6)
+    text = words(rng, "abcdefgh", 6000)
+    changed = [text[:at] + "x" * 40 + text[at + 40 :] for at in range(0, len(text) - 40, 2000)]
+    prints = syncmers.fingerprints([text, *changed])
+    assert len({syncmers.shown(p) for p in prints}) == len(prints)
+    assert all(syncmers.likeness(prints[0], p) < 1 for p in prints[1:])
+
+
 def expected(rows):
     order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), (r[1] or "").encode()))
     texts = [r[1] or "" for r in order]
