@@ -6,7 +6,8 @@ numbers, person names) are cut by a broad pattern, and regex, gazetteer and cont
 labelers vote on each: 1 for, -1 against, 0 abstains. Expectation-maximisation estimates
 how reliable each labeler is from the votes alone, and its posteriors train the final
 span classifier, a logistic regression on span features. Candidates it accepts join the
-base spans.
+base spans. Every two neighbours of a run of capitalised words are a candidate for a name;
+of accepted names that overlap, those of greatest total score stay, the first ones at a tie.
 
 Both models fit on a table of counts by vote and feature pattern, taken over all
 documents and bounded by the number of patterns (``3**6 * 2**10`` in theory, a few hundred
@@ -39,14 +40,16 @@ BASE = {
 }
 EXTRA = ("secret", "national_id", "account", "number", "person")
 KINDS = (*BASE, *EXTRA)
-# a token of letters and digits, a dashed id, a long number, two capitalised words
+_WORD = r"\p{Lu}[\p{Ll}\p{M}]++(?![\p{L}\p{N}_])"
+# a dashed id, a token of letters and digits, a long number, two capitalised words, of which
+# only the first is consumed: the second may start the next candidate. Group 1 is the candidate.
 CANDIDATE = (
-    r"(?<![\p{L}\p{N}_])(?:"
+    r"(?<![\p{L}\p{N}_])(?=("
     r"[0-9]{3}-[0-9]{2}-[0-9]{4}"
     r"|(?=[A-Za-z_]*+[0-9])(?=[0-9_]*+[A-Za-z])[A-Za-z0-9_]{15,}+"
     r"|[0-9]{9,}+"
-    r"|[A-Z][a-z]++\x20[A-Z][a-z]++"
-    r")(?![\p{L}\p{N}_])"
+    rf"|{_WORD}\x20{_WORD}"
+    rf")(?![\p{{L}}\p{{N}}_]))(?:{_WORD}|\1)"
 )
 # Word lists of the gazetteer and context labelers (fixed values).
 SECRET_WORDS = ("token", "secret", "password", "passwd", "key", "apikey", "bearer", "credential")
@@ -78,26 +81,31 @@ def _valid(kind: str, value: Column) -> Column:
     }.get(kind, F.lit(True))
 
 
-def _located(text: Column, kind: str, pattern: str) -> Column:
+def _located(text: Column, kind: str, pattern: str, group: int = 0) -> Column:
     """Array of (kind, start, end, value, before) of all matches that are valid.
 
     The gaps between matches, from split, and the matches alternate; their lengths add up
-    to the places.
+    to the places. With ``group`` 1 that group is the value, and of values with a space the
+    match is the first word.
     """
-    gaps, values = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    gaps, values = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
     pairs = F.zip_with(gaps, values, lambda g, v: F.struct(F.length(g).alias("gap"), F.right(g, F.lit(CONTEXT)).alias("before"), v.alias("v")))
 
     def step(acc: Column, x: Column) -> Column:
         start = acc["at"] + x["gap"]
         end = start + F.coalesce(F.length(x["v"]), F.lit(0))
-        span = F.struct(
-            F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), x["v"].alias("value"), x["before"].alias("before")
-        )
+        match = F.substring_index(x["v"], " ", 1) if group else x["v"]
+        before = F.right(F.concat(acc["before"], x["before"]), F.lit(CONTEXT)) if group else x["before"]
+        span = F.struct(F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), x["v"].alias("value"), before.alias("before"))
         keep = x["v"].isNotNull() & _valid(kind, x["v"])
-        return F.struct(end.alias("at"), F.when(keep, F.array_append(acc["spans"], span)).otherwise(acc["spans"]).alias("spans"))
+        return F.struct(
+            (start + F.coalesce(F.length(match), F.lit(0))).alias("at"),
+            F.right(F.concat(before, match), F.lit(CONTEXT)).alias("before") if group else F.lit("").alias("before"),
+            F.when(keep, F.array_append(acc["spans"], span)).otherwise(acc["spans"]).alias("spans"),
+        )
 
     none = F.array().cast(SPANS)
-    start = F.struct(F.lit(0).alias("at"), none.alias("spans"))
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("before"), none.alias("spans"))
     return F.when(F.rlike(text, F.lit(pattern)), F.aggregate(pairs, start, step)["spans"]).otherwise(none)
 
 
@@ -108,7 +116,7 @@ def candidates(text: Column) -> tuple[Column, Column]:
     """Base spans and further candidates of a text, both as arrays."""
     text = F.coalesce(text, F.lit(""))
     base = F.concat(*[_located(text, kind, pattern) for kind, pattern in BASE.items()])
-    return base, _located(text, "", CANDIDATE)
+    return base, _located(text, "", CANDIDATE, 1)
 
 
 def apart(base: Column, extra: Column) -> Column:
@@ -218,13 +226,14 @@ class Model:
 
     weights: tuple[float, ...] = ()
 
-    def accepts(self, span: Column) -> Column:
+    def score(self, span: Column) -> Column:
+        """Above 0: accepted."""
         if not self.weights:
-            return F.lit(False)
+            return F.lit(0.0)
         score = F.lit(float(self.weights[-1]))
         for w, flag in zip(self.weights, _flags(span).values()):
             score = score + F.when(flag, float(w)).otherwise(0.0)
-        return score > 0
+        return score
 
 
 def fit(extra: DataFrame) -> Model:
@@ -247,14 +256,40 @@ def of_kind(spans: Column, kind: str) -> Column:
     return F.filter(spans, lambda s: s["kind"] == kind)
 
 
+def resolved(spans: Column) -> Column:
+    """Of scored spans in order of start, each overlapping at most its neighbours, those
+    without overlap of greatest total score."""
+    empty = F.struct(F.lit(0.0).alias("score"), F.array().cast(SCORED).alias("spans"))
+
+    def best(acc: Column) -> Column:
+        return F.when(acc["skip"]["score"] >= acc["take"]["score"], acc["skip"]).otherwise(acc["take"])
+
+    def step(acc: Column, x: Column) -> Column:
+        free = F.when(x["start"] >= acc["end"], best(acc)).otherwise(acc["skip"])
+        take = F.struct((free["score"] + x["score"]).alias("score"), F.array_append(free["spans"], x).alias("spans"))
+        return F.struct(x["end"].alias("end"), take.alias("take"), best(acc).alias("skip"))
+
+    start = F.struct(F.lit(0).alias("end"), empty.alias("take"), empty.alias("skip"))
+    return F.aggregate(spans, start, step, lambda acc: best(acc)["spans"])
+
+
+SCORED = "array<struct<kind:string,start:int,end:int,score:double>>"
+
+
 def accepted(base: Column, extra: Column, model: Model) -> Column:
     """All spans as an array of (kind, start, end), by kind as listed, then start."""
-    more = F.transform(
-        F.filter(extra, model.accepts),
-        lambda s: F.struct(_shape(s).alias("kind"), s["start"].alias("start"), s["end"].alias("end")),
+
+    def plain(s: Column) -> Column:
+        return F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))
+
+    scored = F.transform(
+        extra,
+        lambda s: F.struct(_shape(s).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), model.score(s).alias("score")),
     )
-    plain = F.transform(base, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
-    return F.concat(plain, *[of_kind(more, k) for k in EXTRA])
+    more = F.filter(scored, lambda s: s["score"] > 0)
+    others = [of_kind(more, k) for k in EXTRA if k != "person"]
+    found = F.transform(F.concat(*others, resolved(of_kind(more, "person"))), plain)
+    return F.concat(F.transform(base, plain), found)
 
 
 def digest(spans: Column) -> Column:

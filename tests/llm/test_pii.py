@@ -1,6 +1,8 @@
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from orderlake.llm import pii
 from tests.llm.cases import HARD, empty, hard
 
@@ -74,6 +76,44 @@ def test_labelers_find_secrets_and_leave_numbers(spark):
         assert not more or more[0].end - more[0].start == 40
 
 
+NAMED = [
+    "written to Mr John Smith today", "Dear Anna Miller, thanks", "Contact John Smith now", "Dr Maria Müller came", "contact Kunde Peter Schmidt rief an",
+    "signed Yesterday John Smith", "Regards Laura Özil Jones", "author Émile Paul Sartre Then",
+]
+NAMES = ["John Smith", "Anna Miller", "John Smith", "Maria Müller", "Peter Schmidt", "John Smith", "Laura Özil", "Paul Sartre"]
+
+
+def test_every_pair_of_capitalised_words_is_offered(spark):
+    texts = [*NAMED, "One Two Abc1 Three Four five Six Ab12345678901234 Seven Éight 123456789 Nine Ten", "Aa " * 3000, "", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    word = r"(?<![\w])[A-ZÖÉ][a-zöüé]+(?!\w)"
+    for r in pii.located(df).collect():
+        text = texts[r.doc_id] or ""
+        plain = [(m.start(1), m.end(1)) for m in re.finditer(f"(?=({word} {word}))", text)]
+        assert [(c.start, c.end) for c in r.extra if " " in c.value] == plain, text
+        for c in r.extra:
+            assert c.value == text[c.start : c.end] and c.before == text[max(0, c.start - pii.CONTEXT) : c.start]
+
+
+def test_names_behind_a_capitalised_word_are_found(spark):
+    by_flag = {"person": -1.0, "given": 2.0, "named": 0.5}
+    model = pii.Model(tuple(by_flag.get(f, 0.0) for f in (*pii.EXTRA, "hex", "given", "assigned", "quoted", "named", "intercept")))
+    texts = [*NAMED, "the Big House of Red Brick Street"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = pii.located(df).select("doc_id", pii.accepted(F.col("base"), F.col("extra"), model).alias("spans"))
+    for r in found.collect():
+        names = [texts[r.doc_id][s.start : s.end] for s in r.spans if s.kind == "person"]
+        assert names == [*([n] for n in NAMES), []][r.doc_id]
+
+
+def test_overlapping_names_are_resolved_by_score(spark):
+    cases = [([2.0, 3.0], [1]), ([3.0, 2.0], [0]), ([1.0, 2.0, 3.0], [0, 2]), ([1.0, 3.0, 1.0], [1]), ([1.0, 1.0], [0]), ([], [])]
+    rows = [(n, [("person", 5 * i, 5 * i + 9, x) for i, x in enumerate(scores)]) for n, (scores, _) in enumerate(cases)]
+    df = spark.createDataFrame(rows, f"n int, spans {pii.SCORED}")
+    for r in df.select("n", pii.resolved(F.col("spans")).alias("spans")).collect():
+        assert [s.start // 5 for s in r.spans] == cases[r.n][1]
+
+
 def test_reliabilities_prefer_labelers_that_agree():
     good, bad = [1, 1, 1], [-1, -1, 1]
     accuracy, post = pii.reliabilities([(good, 500.0), (bad, 2000.0), ([1, 1, -1], 100.0)])
