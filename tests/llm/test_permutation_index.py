@@ -1,0 +1,97 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from orderlake.llm import permutation_index
+
+SCHEMA = "vec_id long, embedding array<float>, label int"
+
+
+def brute(data, ids, k=10):
+    rows = sorted({(i, tuple(v)) for i, v in data})
+    wide = max(len(v) for _, v in rows)
+    matrix = np.array([list(v) + [0.0] * (wide - len(v)) for _, v in rows])
+    keys = np.array([i for i, _ in rows])
+    found = {}
+    for q in ids:
+        far = np.sqrt(np.add.accumulate((matrix - matrix[list(keys).index(q)]) ** 2, axis=1)[:, -1])
+        order = [j for j in np.lexsort((keys, far)) if keys[j] != q][:k]
+        found[q] = [(int(keys[j]), float(far[j])) for j in order]
+    return found
+
+
+def result(df):
+    found = {}
+    for r in sorted(df.collect(), key=lambda r: (r.query_id, r.rank)):
+        found.setdefault(r.query_id, []).append((r.vec_id, r.score))
+        assert r.rank == len(found[r.query_id])
+    return found
+
+
+def test_all_neighbours_where_blocks_are_reranked_whole(spark):
+    rng = np.random.default_rng(5)
+    data = [(i, [float(np.float32(x)) for x in rng.normal(size=8)]) for i in range(250)]
+    # a third are copies of one vector; ties go to the smaller id
+    data += [(1000 + i, data[3][1]) for i in range(130)] + [(3, data[3][1])]
+    df = spark.createDataFrame([(i, v, 0) for i, v in data], SCHEMA).withColumn("id", F.lit("x")).repartition(5)
+    found = result(permutation_index.nearest(df, df.filter("vec_id % 10 = 0")))
+    expected = brute(data, [i for i, _ in data if i % 10 == 0])
+    assert found == expected
+
+
+def test_rows_that_take_no_part(spark):
+    nan, inf = float("nan"), float("inf")
+    data = [(0, [1.0, 0.0]), (1, [0.0, 2.0]), (2, None), (3, []), (4, [0.0, 0.0]), (5, [1.0, None]), (6, [nan, 1.0]), (7, [inf, 1.0]),
+            (None, [1.0, 1.0]), (8, [1.0, 0.0, 3.0]), (9, [1.0])]
+    df = spark.createDataFrame([(i, v, 0) for i, v in data], SCHEMA)
+    found = result(permutation_index.nearest(df, df))
+    assert found == brute([data[0], data[1], data[9], data[10]], [0, 1, 8, 9])
+    assert found[0][0] == (9, 0.0)
+
+
+def test_empty_and_single(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert permutation_index.nearest(empty, empty).collect() == []
+    one = spark.createDataFrame([(0, [1.0], 0)], SCHEMA)
+    assert permutation_index.nearest(one, one).collect() == []
+    assert permutation_index.nearest(one, empty).collect() == []
+
+
+@pytest.mark.parametrize("clusters", [0, 6])
+def test_recall_with_few_rows_reranked(spark, monkeypatch, clusters):
+    rng = np.random.default_rng(clusters)
+    points = rng.normal(size=(6000, 24))
+    if clusters:
+        points = rng.normal(size=(clusters, 24))[rng.integers(clusters, size=6000)] * 3 + points * 0.4
+    data = list(enumerate(points.tolist()))
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>").repartition(3)
+    monkeypatch.setattr(permutation_index, "RERANK", 20)  # so that the share is what reaches the recall
+    found = result(permutation_index.nearest(df, df.filter("vec_id % 100 = 0")))
+    expected = brute(data, range(0, 6000, 100))
+    hits = sum(len({i for i, _ in found[q]} & {i for i, _ in expected[q]}) for q in expected)
+    assert hits >= 0.9 * 10 * len(expected)
+    exact = dict(data)
+    for q, rows in found.items():
+        for i, far in rows:
+            assert far == pytest.approx(np.linalg.norm(np.array(exact[q]) - np.array(exact[i])), rel=1e-12)
+
+
+def test_footrule_equals_its_definition():
+    rng = np.random.default_rng(1)
+    vectors, pivots = rng.normal(size=(300, 5)), rng.normal(size=(40, 5))
+    files = permutation_index.Files.post(np.arange(300), vectors, pivots, 12)
+    near = permutation_index.prefixes(vectors, pivots, 12)
+    query = permutation_index.prefixes(rng.normal(size=(1, 5)), pivots, 12)[0]
+    place = {int(p): k for k, p in enumerate(query)}
+    for row, apart in zip(near, files.footrule(query)):
+        own = {int(p): k for k, p in enumerate(row)}
+        assert apart == sum(abs(place.get(p, 12) - own.get(p, 12)) for p in set(place) | set(own))
+
+
+def test_several_batches_of_queries(spark, monkeypatch):
+    monkeypatch.setattr(permutation_index, "QUERY_BATCH", 7)
+    monkeypatch.setattr(permutation_index, "BLOCK_ROWS", 16)
+    rng = np.random.default_rng(2)
+    data = list(enumerate(rng.normal(size=(60, 3)).tolist()))
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    assert result(permutation_index.nearest(df, df.filter("vec_id % 2 = 0"), k=4)) == brute(data, range(0, 60, 2), 4)
