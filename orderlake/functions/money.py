@@ -1,37 +1,63 @@
-"""Sums and averages of DOUBLE amounts that do not depend on row order.
+"""Sums and averages of DOUBLE amounts that lose nothing and do not depend on row order.
 
 Adding doubles gives other last bits whenever tasks finish in another order or are run
-again. An amount is therefore split into its whole part and the rest in billionths, both
-whole numbers, which add up exactly; at the sizes money has, a double is no finer than
-that. Amounts that do not split so (NaN, infinite, 1e12 or more) are added as doubles, so
-they pass into the sum as usual. Nothing is rounded to cents.
+again. Here an amount is split without error into four whole numbers, its digits in base
+2^21 down to 2^-42, whose sums are exact and cannot overflow for 2^42 rows, and what is
+left below 2^-42, which is added as a double like NaN, infinite and huge amounts (2^42 and
+more, which have hardly any digits behind the point). So nothing is rounded per row, and
+whatever a plain SUM can add is in the sum.
 """
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_UNIT = 1_000_000_000
-_LARGEST = 1e12
+PARTS = ("high", "low", "tenths", "ends", "odd")
+_BITS = 21
+_BASE = float(1 << _BITS)
+_UNIT = float(1 << 2 * _BITS)
+
+
+def _upper(whole: Column) -> Column:
+    return F.shiftright(whole, _BITS)
+
+
+def _lower(whole: Column) -> Column:
+    return whole.bitwiseAND((1 << _BITS) - 1)
+
+
+def parts_of(amount: Column) -> tuple[Column, ...]:
+    """SUM of ``amount`` as columns, named like ``PARTS``, that can be summed further; NULLs are ignored."""
+    fits = F.abs(amount) < _UNIT
+    whole = F.when(fits, amount).cast("bigint")
+    fraction = (amount - whole) * _UNIT
+    digits = fraction.cast("bigint")
+    odd = F.when(fits, (fraction - digits) / _UNIT).otherwise(amount)
+    return F.sum(_upper(whole)), F.sum(_lower(whole)), F.sum(_upper(digits)), F.sum(_lower(digits)), F.sum(odd)
+
+
+def from_parts(high: Column, low: Column, tenths: Column, ends: Column, odd: Column) -> Column:
+    """The amount that summed parts stand for, NULL if nothing was summed."""
+    high, low, tenths, ends = (F.coalesce(c, F.lit(0).cast("bigint")) for c in (high, low, tenths, ends))
+    tenths = tenths + _upper(ends)
+    low = low + _upper(tenths)
+    high = high + _upper(low)
+    whole = high.cast("double") * _BASE + _lower(low)
+    fraction = (_lower(tenths) * (1 << _BITS) + _lower(ends)).cast("double") / _UNIT
+    total = whole + fraction
+    # what the addition above rounded off goes with the small rest
+    return total + ((fraction - (total - whole)) + odd)
 
 
-def parts_of(amount: Column) -> tuple[Column, Column, Column]:
-    """SUM of ``amount`` as three columns that can be summed further: whole units,
-    billionths, and the sum of what does not split (NULL if there is none). NULLs are ignored."""
-    splits = F.abs(amount) < _LARGEST
-    whole = F.when(splits, F.floor(amount))
-    rest = F.rint((amount - whole) * F.lit(float(_UNIT))).cast("bigint")
-    return F.sum(whole), F.sum(rest), F.sum(F.when(~splits, amount))
+def named_parts(amount: Column, name: str) -> list[Column]:
+    """The parts of a sum as columns for a first step of aggregation."""
+    return [part.alias(f"{name}_{suffix}") for part, suffix in zip(parts_of(amount), PARTS)]
 
 
-def from_parts(whole: Column, rest: Column, odd: Column) -> Column:
-    """The amount that summed parts stand for; the scaling is exact decimal."""
-    units = whole.cast("decimal(20,0)") * F.lit(_UNIT) + rest
-    exact = (units.cast("decimal(28,0)") * F.lit(Decimal(1).scaleb(-9))).cast("double")
-    return F.when(odd.isNull(), exact).otherwise(F.coalesce(exact, F.lit(0.0)) + odd)
+def sum_of_parts(name: str) -> Column:
+    """The sum over rows that hold ``named_parts``: rounded once, not once per step."""
+    return from_parts(*[F.sum(f"{name}_{suffix}") for suffix in PARTS])
 
 
 def exact_sum(amount: Column) -> Column:

@@ -265,8 +265,6 @@ from a_orders o left join g_customer c on c.customer_id = o.customer_id""",
     "g_orders_one": """
 select o.*, c.customer_id known_customer
 from a_orders o left join (select distinct customer_id from g_customer) c on c.customer_id = o.customer_id""",
-    "paid": """
-select order_id, sum(cast(payment_value as decimal(38,4))) paid from a_payments group by order_id""",
 }
 
 
@@ -280,13 +278,12 @@ def _names(*checks: tuple[str, str]) -> str:
     return f"concat_ws(',', {parts})"
 
 
-# Amounts in the feeds have at most four decimals, so these sums are exact, not rounded.
-_MONEY = "cast(sum(cast({} as decimal(38,4))) as double)"
-_ROUNDED = "cast(round(sum(cast({} as decimal(38,4))), 2) as double)"
-# Quotients have no last decimal; their sum is taken in billionths, in any order.
-_BILLIONTHS = """cast((sum(cast(floor({0}) as hugeint)) * 1000000000
-         + sum(cast(round_even(({0} - floor({0})) * cast(1000000000.0 as double), 0) as hugeint)))
-         as decimal(38,0)) / 1000000000"""
+# A sum in units of 2^-64, in which a double of 2^-11 or more is a whole number: plain sums of
+# whole numbers, rounded once at the end.
+_TWO_64 = "18446744073709551616"
+_MONEY = f"""(cast(sum(cast(trunc({{0}}) as hugeint)) * {_TWO_64}
+         + sum(cast(({{0}} - trunc({{0}})) * {_TWO_64}::double as hugeint)) as double) / {_TWO_64}::double)"""
+_ROUNDED = f"cast(round(cast({_MONEY} as decimal(38,6)), 2) as double)"
 _ITEM_ERRORS = _names(("CustomerKey_is_unique", "copies > 1"), ("price_must_be_positive", "not price > 0"))
 _FACT_ITEMS = """
 select i.order_id, i.order_item_id, o.known_customer customer_id, {purchase} purchase_date_key,
@@ -306,6 +303,7 @@ select order_id, known_customer customer_id,
        order_delivered_customer_ts, order_estimated_delivery_ts
 from """
 _VERSIONS = "select *, EffectiveTo is null IsActive from "
+SILVER["paid"] = f"select order_id, {_MONEY.format('payment_value')} paid from a_payments group by order_id"
 
 REPORTS = {
     "dq_orders_split": f"""
@@ -325,9 +323,8 @@ from c_items""",
 select order_id, payment_sequential, payment_type,
        {_names(("payment_type_valid", "payment_type = 'cheque'"))} errors
 from l_payments""",
-    "reject_duplicates": """
-select order_id, order_item_id, count(*) rows_of_key,
-       cast(sum(cast(price as decimal(38,4))) as double) price
+    "reject_duplicates": f"""
+select order_id, order_item_id, count(*) rows_of_key, {_MONEY.format("price")} price
 from a_items group by order_id, order_item_id having count(*) > 1""",
     "duplicate_keys": """
 select order_id, order_item_id from a_items group by order_id, order_item_id having count(*) > 1""",
@@ -494,10 +491,9 @@ select r.review_id, r.order_id, o.known_customer customer_id,
        r.review_score, r.review_comment_title, r.review_comment_message,
        r.review_creation_ts, r.review_answer_ts
 from s_reviews r left join g_orders o on o.order_id = r.order_id""",
-    "daily_revenue": """
+    "daily_revenue": f"""
 select cast(order_purchase_ts as date) revenue_date, count(distinct o.order_id) orders_count,
-       cast(sum(paid) as double) gross_revenue,
-       cast(sum(paid) as double) / count(*) avg_order_value
+       {_MONEY.format("paid")} gross_revenue, {_MONEY.format("paid")} / count(*) avg_order_value
 from a_orders o join paid p on p.order_id = o.order_id
 where order_status in ('delivered', 'shipped', 'invoiced', 'approved')
 group by 1""",
@@ -516,7 +512,7 @@ lines as (
          p.product_category_name original, t.product_category_name_english english,
          o.order_purchase_ts = f.first_ts is_first,
          case when tt.total is null or tt.total = 0 then null
-              else cast(pd.paid as double) * (i.price / tt.total) end share
+              else pd.paid * (i.price / tt.total) end share
   from a_items i join a_orders o on o.order_id = i.order_id
   left join scores sc on sc.order_id = i.order_id
   left join s_products p on p.product_id = i.product_id and p.IsActive
@@ -529,8 +525,8 @@ select product_id, coalesce(english, original) product_category,
        {_MONEY.format("price")} gmv_item_price, {_MONEY.format("freight_value")} total_freight_value,
        {_MONEY.format("price")} / count(price) avg_item_price,
        quantile_disc(price, 0.5) median_item_price,
-       {_BILLIONTHS.format("coalesce(share, 0.0)")} allocated_revenue_paid_value,
-       {_BILLIONTHS.format("score")} / count(score) avg_review_score,
+       {_MONEY.format("coalesce(share, 0.0)")} allocated_revenue_paid_value,
+       {_MONEY.format("score")} / count(score) avg_review_score,
        cast(count(*) filter (order_status = 'delivered') as bigint) delivered_units,
        cast(count(*) filter (delivered <= shipping_limit_date) as bigint) on_time_delivered_units,
        cast(count(*) filter (is_first) as bigint) units_from_new_customers,
@@ -541,8 +537,8 @@ from lines group by 1, 2""",
 select cast(o.order_purchase_ts as date) signup_date, count(distinct c.customer_unique_id) new_customers
 from a_orders o join s_customers c on c.customer_id = o.customer_id and c.IsActive
 group by 1""",
-    "monthly_revenue": """
-select date_trunc('month', o.order_purchase_ts) "month", cast(round(sum(p.paid), 2) as double) revenue
+    "monthly_revenue": f"""
+select date_trunc('month', o.order_purchase_ts) "month", {_ROUNDED.format("p.paid")} revenue
 from a_orders o join paid p on p.order_id = o.order_id group by 1""",
     "top_categories": f"""
 select p.product_category_name, {_ROUNDED.format("i.price")} revenue

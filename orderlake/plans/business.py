@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderlake.functions.money import exact_avg, exact_sum, from_parts, parts_of
+from orderlake.functions.money import PARTS, exact_avg, exact_sum, from_parts, named_parts, sum_of_parts
 from orderlake.operators import scd
 
 # Fixed value: order states that count as revenue.
@@ -48,14 +48,14 @@ def sales_by_customer(items: DataFrame, orders: DataFrame) -> DataFrame:
     """Item revenue per purchase day, customer *and* order state (the state is
     not shown, so a day and customer can appear more than once). Items whose
     order is unknown gather under NULL."""
-    per_order = items.groupBy("order_id").agg(exact_sum(F.col("price")).alias("order_total"))
+    per_order = items.groupBy("order_id").agg(*named_parts(F.col("price"), "order_total"))
     heads = orders.select(
         "order_id", F.to_date("order_purchase_ts").alias("purchase_date"), "customer_id", "order_status"
     )
     return (
         per_order.join(heads, "order_id", "left")
         .groupBy("purchase_date", "customer_id", "order_status")
-        .agg(exact_sum(F.col("order_total")).alias("total_price"))
+        .agg(sum_of_parts("order_total").alias("total_price"))
         .drop("order_status")
     )
 
@@ -158,9 +158,6 @@ def product_performance(
     )
 
 
-PARTS = ("whole", "rest", "odd")
-
-
 def _total(name: str) -> Column:
     return from_parts(*[F.col(f"{name}_{part}") for part in PARTS])
 
@@ -180,11 +177,11 @@ def _per_product(sold: DataFrame) -> DataFrame:
     price = F.col("price")
     share = F.coalesce(allocate(F.col("_paid"), price, F.col("_total")), F.lit(0.0))
     amounts = {"price": price, "freight": F.col("freight_value"), "share": share, "score": F.col("_score")}
-    summed = {f"{name}_{part}": column for name, a in amounts.items() for part, column in zip(PARTS, parts_of(a))}
+    summed = [f"{name}_{part}" for name in amounts for part in PARTS]
     lines = sold.groupBy("product_id", "order_id", "seller_id").agg(
         F.count(F.lit(1)).alias("units"),
         F.count("price").alias("priced"),
-        *[column.alias(name) for name, column in summed.items()],
+        *[part for name, amount in amounts.items() for part in named_parts(amount, name)],
         F.count("_score").alias("scored"),
         count_if(F.col("order_status") == "delivered").alias("delivered"),
         count_if(F.col("_delivered") <= F.col("shipping_limit_date")).alias("on_time"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.functions.money import exact_sum
+from orderlake.functions.money import exact_sum, named_parts, sum_of_parts
 from orderlake.operators import scd
 from orderlake.plans.business import paid_per_order
 
@@ -35,7 +35,7 @@ def monthly_revenue(orders: DataFrame, payments: DataFrame) -> DataFrame:
 
 
 def _item_revenue(items: DataFrame, key: str) -> DataFrame:
-    return items.groupBy(key).agg(exact_sum(F.col("price")).alias("_revenue"))
+    return items.groupBy(key).agg(*named_parts(F.col("price"), "revenue"))
 
 
 def top_categories(items: DataFrame, products: DataFrame, k: int = 10) -> DataFrame:
@@ -45,7 +45,7 @@ def top_categories(items: DataFrame, products: DataFrame, k: int = 10) -> DataFr
         _item_revenue(items, "product_id")
         .join(names, "product_id")
         .groupBy("product_category_name")
-        .agg(F.round(exact_sum(F.col("_revenue")), 2).alias("revenue"))
+        .agg(F.round(sum_of_parts("revenue"), 2).alias("revenue"))
         .orderBy(F.desc("revenue"), F.asc("product_category_name"))
         .limit(k)
     )
@@ -57,7 +57,7 @@ def top_sellers(items: DataFrame, sellers: DataFrame, k: int = 10) -> DataFrame:
         _item_revenue(items, "seller_id")
         .join(scd.active(sellers).select("seller_id"), "seller_id")
         .groupBy("seller_id")
-        .agg(F.round(exact_sum(F.col("_revenue")), 2).alias("revenue"))
+        .agg(F.round(sum_of_parts("revenue"), 2).alias("revenue"))
         .orderBy(F.desc("revenue"), F.asc("seller_id"))
         .limit(k)
     )

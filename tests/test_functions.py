@@ -1,9 +1,10 @@
 import math
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
-from orderlake.functions.money import from_parts, parts_of
+from orderlake.functions.money import PARTS, from_parts, parts_of
 from orderlake.functions import date_key, exact_avg, exact_sum, record_hash, surrogate_key
 from tests.helpers import rows, ts
 
@@ -30,15 +31,17 @@ def test_record_hash_tells_null_positions_apart_unless_asked_not_to(spark):
 
 
 def test_sums_do_not_depend_on_row_order(spark):
-    amounts = [round(random.Random(7).uniform(0, 99999), 2) for _ in range(2000)] + [None]
+    amounts = [random.Random(7).uniform(0, 99999) ** pick for pick in (1, 0.5, 2) for _ in range(700)] + [None]
+    amounts += [random.Random(i).uniform(-1e-9, 1e6) for i in range(2000)]
     shuffled = amounts[:]
     random.Random(8).shuffle(shuffled)
+    known = [v for v in amounts if v is not None]
     results = set()
     for values in (amounts, shuffled, sorted(amounts, key=lambda v: v or 0)):
         df = spark.createDataFrame([(v,) for v in values], "v double").repartition(5)
         results.add(tuple(df.agg(exact_sum(F.col("v")), exact_avg(F.col("v"))).first()))
-    cents = sum(round(v * 100) for v in amounts if v is not None)
-    assert results == {(cents / 100, cents / 100 / 2000)}
+    # fsum is the correctly rounded sum
+    assert results == {(math.fsum(known), math.fsum(known) / len(known))}
 
 
 def test_sum_of_nothing_is_null(spark):
@@ -50,20 +53,39 @@ def _summed(spark, values):
     return spark.createDataFrame([(v,) for v in values], "v double").agg(exact_sum(F.col("v"))).first()[0]
 
 
-def test_sums_do_not_round_to_cents(spark):
-    assert _summed(spark, [0.004] * 1000) == 4.0
-    assert _summed(spark, [0.0001, 1.23456789, -0.5, None]) == 0.73466789
-    assert _summed(spark, [9e11 + 0.25] * 40 + [-0.5]) == 3.6e13 + 9.5
+@pytest.mark.parametrize(
+    "values",
+    [
+        [0.004] * 1000,
+        [0.0001, 1.23456789, -0.5],
+        [9e11 + 0.25] * 40 + [-0.5],
+        [4e-10] * 1000,
+        [-4e-10] * 1000,
+        [1e15, -1e15, 3e-7],
+        [-0.3, 0.1, 0.1],
+        [2.0**-60, 1.0, -1.0],
+        [4398046511103.75] * 9 + [-4398046511104.0],
+        [1e17, 0.5],
+        [1e300, -1e300, 7.0],
+    ],
+)
+def test_sums_lose_nothing(spark, values):
+    assert _summed(spark, [*values, None]) == math.fsum(values)
+
+
+def test_many_rows_equal_the_plain_sum(spark):
+    """A million amounts below a billionth, and more than a bigint holds."""
+    for amount, n in ((4e-10, 1_000_000), (9.9e11, 20_000_000)):
+        got, plain = spark.range(n).select(F.lit(amount).alias("v")).agg(exact_sum(F.col("v")), F.sum("v")).first()
+        assert math.isclose(got, amount * n, rel_tol=1e-12) and math.isclose(got, plain, rel_tol=1e-9)
 
 
 def test_sums_pass_on_what_does_not_split(spark):
-    assert _summed(spark, [1e17, 0.5]) == 1e17 + 0.5
     assert math.isnan(_summed(spark, [1.0, float("nan")]))
     assert _summed(spark, [1.0, float("inf")]) == float("inf")
 
 
 def test_parts_can_be_summed_again(spark):
     df = spark.createDataFrame([(k % 3, 0.1) for k in range(30)], "k int, v double")
-    whole, rest, odd = parts_of(F.col("v"))
-    per_key = df.groupBy("k").agg(whole.alias("w"), rest.alias("r"), odd.alias("o"))
-    assert per_key.agg(from_parts(F.sum("w"), F.sum("r"), F.sum("o"))).first()[0] == 3.0
+    per_key = df.groupBy("k").agg(*[c.alias(name) for c, name in zip(parts_of(F.col("v")), PARTS)])
+    assert per_key.agg(from_parts(*[F.sum(name) for name in PARTS])).first()[0] == 3.0
