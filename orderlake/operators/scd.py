@@ -37,7 +37,7 @@ def versions(
 
     ``slice_by`` ("hour", "day", "month", ...) is for event-time starts, where one
     key may hold a large share of all rows: the look-ahead then runs per key *and*
-    slice, see ``_neighbour``. Without it all versions of a key meet in one task,
+    slice, see ``_chain``. Without it all versions of a key meet in one task,
     which is fine when starts are ingest times: after the collapse a key has at
     most one version per ingest batch.
     """
@@ -47,10 +47,39 @@ def versions(
         return ended.select(key, *attributes, FROM, TO, F.lit(True).alias(ACTIVE))
     if keep_ties:
         ended = _end_with_ties(started, key, tie_breakers or attributes, slice_by)
+    elif slice_by:
+        ended = _chain(started, key, _ties(started, key, tie_breakers), collapse=True, slice_by=slice_by)
     else:
+        # the collapse comes first, in the map tasks: a batch of ingest has few starts
         kept = dedup.latest(started, [key, FROM], ts, tie_breakers).select(key, *attributes, FROM)
-        # Slice edges are minima, so they need no collapse of equal starts first.
-        ended = _neighbour(kept, key, FROM, TO, 1, slice_by, edges_of=started)
+        ended = _chain(kept, key)
+    return ended.select(key, *attributes, FROM, TO, F.col(TO).isNull().alias(ACTIVE))
+
+
+def _ties(df: DataFrame, key: str, tie_breakers: Sequence[str] | None) -> list[str]:
+    first = [c for c in (tie_breakers or ()) if c in df.columns]
+    return [*first, *(c for c in df.columns if c not in first and c not in (key, FROM))]
+
+
+def replay(
+    df: DataFrame,
+    key: str,
+    ts: str,
+    attributes: Sequence[str],
+    batch: str,
+    tie_breakers: Sequence[str] | None = None,
+    slice_by: str | None = None,
+    changed_only: bool = False,
+) -> DataFrame:
+    """The history that merging the batches of ``df`` one after the other gives, in one pass.
+
+    Versions follow one another by ``batch``, then by start; those of one batch and start
+    collapse. With ``changed_only`` a version equal to the one before it is left out.
+    """
+    started = df.withColumn(FROM, F.col(ts))
+    ties = [c for c in _ties(started, key, tie_breakers) if c != batch]
+    states = attributes if changed_only else None
+    ended = _chain(started, key, ties, batch, collapse=True, attributes=states, slice_by=slice_by)
     return ended.select(key, *attributes, FROM, TO, F.col(TO).isNull().alias(ACTIVE))
 
 
@@ -62,43 +91,109 @@ def _end_with_ties(
     key and start, made in the map tasks, takes part in the look-ahead."""
     rank = F.struct(*tie_breakers)
     starts = df.groupBy(key, FROM).agg(F.max(rank).alias("_last"))
-    followed = _neighbour(starts, key, FROM, "_next", 1, slice_by)
+    followed = _chain(starts, key, slice_by=slice_by).select(key, FROM, "_last", F.col(TO).alias("_next"))
     joined = df.join(followed, [key, FROM], "left")
     return joined.withColumn(TO, F.when(rank == F.col("_last"), F.col("_next")).otherwise(F.col(FROM)))
 
 
-def _neighbour(
+def _chain(
     df: DataFrame,
     key: str,
-    value: str,
-    out: str,
-    step: int,
-    slice_by: str | None,
-    edges_of: DataFrame | None = None,
     ties: Sequence[str] = (),
+    batch: str | None = None,
+    collapse: bool = False,
+    attributes: Sequence[str] | None = None,
+    known: DataFrame | None = None,
+    touched: DataFrame | None = None,
+    slice_by: str | None = None,
 ) -> DataFrame:
-    """``value`` of the key's next (step 1) or previous (step -1) version as ``out``,
-    in the order of starts and, among equal ones, of ``ties``.
+    """``TO`` of every row from the start of the key's next one, in the order of
+    ``batch``, start and ``ties``; all in one pass.
+
+    ``collapse`` leaves the last row of each start. With ``attributes`` a row equal to
+    the one before it (NULL equals NULL) is left out, the first one if it equals
+    ``known`` (key, ``_known``); ends then lead to the next row that stays. Keys not in
+    ``touched`` (key) keep all rows and their ends, and ``_touched`` tells them apart.
 
-    With ``slice_by`` this takes two levels, so that a key is split by time.
-    Inside a (key, slice) group it is a plain lead or lag. The row at the edge of
-    a group takes the value at the near edge of the key's neighbouring slice;
-    those edges are one row per key and slice, pre-aggregated before a shuffle.
+    With ``slice_by`` a key is split by time: windows per (key, slice) settle what does
+    not cross the edge of a slice, see ``_across`` for the rest.
     """
-    look = F.lead if step > 0 else F.lag
-    if not slice_by:
-        return df.withColumn(out, look(value).over(Window.partitionBy(key).orderBy(FROM, *ties)))
-    in_slice = F.date_trunc(slice_by, FROM)
-    sliced = df.withColumn("_slice", in_slice)
-    near_edge = F.min_by if step > 0 else F.max_by
-    source = df if edges_of is None else edges_of
-    edges = source.groupBy(key, in_slice.alias("_slice")).agg(near_edge(value, F.struct(FROM, *ties)).alias("_edge"))
-    across = edges.select(
-        key, "_slice", look("_edge").over(Window.partitionBy(key).orderBy("_slice")).alias("_across")
-    )
-    inside = look(value).over(Window.partitionBy(key, "_slice").orderBy(FROM, *ties))
-    joined = sliced.withColumn("_inside", inside).join(across, [key, "_slice"], "left")
-    return joined.withColumn(out, F.coalesce("_inside", "_across")).drop("_slice", "_inside", "_across")
+    before = [batch] if batch else []
+    order = [*before, FROM, *ties]
+    unit = F.date_trunc(slice_by, FROM) if slice_by else F.lit(0)
+    # a struct is never NULL, so NULL keys are a group like others
+    df = df.withColumn("_part", F.struct(F.col(key).alias("_key"), *before, unit.alias("_unit")))
+    within = Window.partitionBy("_part").orderBy(*order)
+    across = bool(slice_by) or known is not None or touched is not None
+    if batch and not across:
+        within = Window.partitionBy("_part._key").orderBy(*order)
+    rows = df
+    if collapse:
+        start = F.struct(*before, FROM)
+        rows = rows.withColumn("_same", F.lead(start).over(within).eqNullSafe(start)).where(~F.col("_same"))
+    if attributes is None:
+        rows = rows.withColumn("_next", F.lead(FROM).over(within))
+    else:
+        state = F.struct(*attributes)
+        rows = rows.withColumns({"_state": state, "_before": F.lag(state).over(within), "_ends": F.lead(F.lit(1)).over(within).isNull()})
+        rows = rows.withColumn("_stays", ~F.col("_state").eqNullSafe(F.col("_before"))).withColumn(
+            "_stays", F.when(F.col("_before").isNotNull(), F.col("_stays"))
+        )
+        # the next row that stays, as the last one seen from behind: a frame that only grows
+        backwards = within.orderBy(*[F.desc(c) for c in order]).rowsBetween(Window.unboundedPreceding, -1)
+        seen = F.last(F.when(F.col("_stays"), F.col(FROM)), ignorenulls=True)
+        rows = rows.withColumn("_next", seen.over(backwards))
+    if across:
+        return _across(df if attributes is None else rows, rows, attributes, known, touched, key)
+    if attributes is not None:
+        rows = rows.where(F.coalesce("_stays", F.lit(True)))
+    return rows.withColumn(TO, F.col("_next"))
+
+
+def _across(
+    source: DataFrame,
+    rows: DataFrame,
+    attributes: Sequence[str] | None,
+    known: DataFrame | None,
+    touched: DataFrame | None,
+    key: str,
+) -> DataFrame:
+    """What ``_chain`` needs from other slices: the state before a slice's first row and
+    the next start after its last. One row per key and slice, aggregated where the
+    windows have put the rows, is chained per key and joined back."""
+    measures = [F.min(FROM).alias("_opening")]
+    if attributes is not None:
+        measures += [
+            F.first(F.when(F.col("_before").isNull(), F.col("_state")), ignorenulls=True).alias("_first"),
+            F.first(F.when(F.col("_ends"), F.col("_state")), ignorenulls=True).alias("_last"),
+            F.min(F.when(F.col("_stays"), F.col(FROM))).alias("_inner"),
+        ]
+    edges = source.groupBy("_part").agg(*measures).withColumn("_key", F.col("_part._key"))
+    if known is not None:
+        edges = edges.join(known.select(F.col(key).alias("_known_key"), "_known"), F.col("_key") == F.col("_known_key"), "left")
+    if touched is not None:
+        keys = touched.select(F.col(key).alias("_touched_key")).distinct().withColumn("_touched", F.lit(True))
+        edges = edges.join(keys, F.col("_key").eqNullSafe(F.col("_touched_key")), "left")
+        edges = edges.withColumn("_touched", F.coalesce("_touched", F.lit(False)))
+    forwards = Window.partitionBy("_key").orderBy("_part")
+    if attributes is None:
+        edges = edges.withColumns({"_opens": F.lit(True), "_after": F.lead("_opening").over(forwards)})
+    else:
+        state = F.lag("_last").over(forwards)
+        state = state if known is None else F.coalesce(state, "_known")
+        edges = edges.withColumn("_state_before", state).withColumn(
+            "_opens", F.col("_state_before").isNull() | ~F.col("_first").eqNullSafe(F.col("_state_before"))
+        )
+        opening = F.when(F.col("_opens"), F.col("_opening")).otherwise(F.col("_inner"))
+        backwards = Window.partitionBy("_key").orderBy(F.desc("_part")).rowsBetween(Window.unboundedPreceding, -1)
+        edges = edges.withColumn("_after", F.last(opening, ignorenulls=True).over(backwards))
+    flags = [] if touched is None else ["_touched"]
+    joined = rows.join(edges.select("_part", "_opens", "_after", *flags), "_part", "left")
+    stays = F.lit(True) if attributes is None else F.coalesce("_stays", "_opens")
+    end = F.coalesce("_next", "_after")
+    if touched is None:
+        return joined.where(stays).withColumn(TO, end)
+    return joined.where(stays | ~F.col("_touched")).withColumn(TO, F.when(F.col("_touched"), end).otherwise(F.col(TO)))
 
 
 def active(df: DataFrame) -> DataFrame:
@@ -156,32 +251,29 @@ def drop_unchanged(
     it (NULL equals NULL): the key's previous incoming version, or the active row
     for the first one. Ends are recomputed for what is left.
     """
-    order = [ACTIVE, *attributes]
-    stated = incoming.withColumn("_state", F.struct(*attributes))
     known = current.select(key, F.struct(*attributes).alias("_known"))
-    compared = _neighbour(stated, key, "_state", "_before", -1, slice_by, ties=order).join(known, key, "left")
-    before = F.coalesce("_before", "_known")
-    changed = compared.where(before.isNull() | ~F.col("_state").eqNullSafe(before))
-    ended = _neighbour(changed.select(incoming.columns), key, FROM, TO, 1, slice_by, ties=order)
+    ended = _chain(incoming, key, [ACTIVE, *attributes], attributes=attributes, known=known, slice_by=slice_by)
     return ended.withColumn(ACTIVE, F.col(TO).isNull()).select(incoming.columns)
 
 
 def rebuild(
-    df: DataFrame, key: str, touched: DataFrame | None = None, slice_by: str | None = None
+    df: DataFrame,
+    key: str,
+    touched: DataFrame | None = None,
+    slice_by: str | None = None,
+    changed_only: bool = False,
 ) -> DataFrame:
     """Recompute ends and flags from the starts alone, which repairs history after
-    versions arrived late. Every row stays: among equal starts all but the last (an
-    active row before a closed one, then the larger attributes) become empty versions.
-    ``touched`` limits the work to its keys."""
-    if touched is None:
-        affected, rest = df, None
-    else:
-        keys = touched.select(key).distinct()
-        affected, rest = df.join(keys, key, "left_semi"), df.join(keys, key, "left_anti")
+    versions arrived late. Every row stays: among equal starts all but the last (a
+    closed row before an active one, the earlier end, the larger attributes) become
+    empty versions. Keys not in ``touched`` keep their rows as they are; with
+    ``changed_only`` versions equal to the one before them go."""
     attributes = [c for c in df.columns if c not in (key, FROM, TO, ACTIVE)]
-    ended = _neighbour(affected, key, FROM, TO, 1, slice_by, ties=[ACTIVE, *attributes])
-    again = ended.withColumn(ACTIVE, F.col(TO).isNull()).select(df.columns)
-    return again if rest is None else again.unionByName(rest.select(df.columns))
+    states = attributes if changed_only else None
+    ended = _chain(df, key, [ACTIVE, TO, *attributes], attributes=states, touched=touched, slice_by=slice_by)
+    now = F.col(TO).isNull()
+    flag = now if touched is None else F.when(F.col("_touched"), now).otherwise(F.col(ACTIVE))
+    return ended.withColumn(ACTIVE, flag).select(df.columns)
 
 
 def upsert(target: DataFrame, source: DataFrame, key: str) -> DataFrame:

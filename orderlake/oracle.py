@@ -407,6 +407,15 @@ with kept as (
 select user_id, event_type, changed_at EffectiveFrom,
        lead(changed_at) over (partition by user_id order by changed_at) EffectiveTo,
        lead(changed_at) over (partition by user_id order by changed_at) is null IsActive
+from kept""",
+    "scd2_changes_merged": """
+with kept as (
+  select user_id, event_type, changed_at
+  from a_changes
+  qualify lag(event_type) over (partition by user_id order by batch_no, changed_at) is distinct from event_type)
+select user_id, event_type, changed_at EffectiveFrom,
+       lead(changed_at) over (partition by user_id order by changed_at) EffectiveTo,
+       lead(changed_at) over (partition by user_id order by changed_at) is null IsActive
 from kept""",
     "scd2_rebuild": """
 select user_id, event_type, changed_at EffectiveFrom,

@@ -388,21 +388,32 @@ def scd2_open_ended(spark, sf_dir):
 
 @query
 def scd2_changes_only(spark, sf_dir):
+    changes = feeds.changes(Tables(spark, sf_dir))
+    return scd.replay(changes, "user_id", "changed_at", ["event_type"], "batch_no", slice_by=SLICE, changed_only=True)
+
+
+@query
+def scd2_changes_merged(spark, sf_dir):
+    """As ``scd2_changes_only``, with batch 2 merged into the stored result of batch 1."""
+    stage = Stage(spark)
     changes = feeds.changes(Tables(spark, sf_dir))
     first, second = (_versions(changes.where(F.col("batch_no") == n)) for n in (1, 2))
     attributes = ["event_type"]
-    target = scd.drop_unchanged(first.limit(0), first, "user_id", attributes, SLICE)
+    sinks.write_table(scd.drop_unchanged(first.limit(0), first, "user_id", attributes, SLICE), stage.table("history"))
+    target = spark.table(stage.table("history"))
     incoming = scd.drop_unchanged(scd.active(target), second, "user_id", attributes, SLICE)
     return scd.apply(target, incoming, "user_id")
 
 
 @query
 def scd2_rebuild(spark, sf_dir):
-    changes = feeds.changes(Tables(spark, sf_dir))
-    late_first = scd.apply(
-        _versions(changes.where("batch_no = 2")), _versions(changes.where("batch_no = 1")), "user_id"
-    )
-    return scd.rebuild(late_first, "user_id", changes.where("batch_no = 2"), SLICE)
+    """Batch 1 arrives after batch 2: its versions are late in the stored history."""
+    stage = Stage(spark)
+    late_first = feeds.changes(Tables(spark, sf_dir)).withColumn("arrival", -F.col("batch_no"))
+    broken = scd.replay(late_first, "user_id", "changed_at", ["event_type"], "arrival", ["event_type"], SLICE)
+    sinks.write_table(broken, stage.table("history"))
+    touched = late_first.where("batch_no = 2")
+    return scd.rebuild(spark.table(stage.table("history")), "user_id", touched, SLICE)
 
 
 @query

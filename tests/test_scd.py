@@ -148,6 +148,59 @@ def test_unchanged_compares_values_not_their_text(spark):
     assert [r[0] for r in rows(scd.drop_unchanged(current, incoming, "k", ["v", "w"]), "k")] == ["a", "c"]
 
 
+@pytest.mark.parametrize("unit", [None, "hour", "day"])
+@pytest.mark.parametrize("changed_only", [False, True])
+def test_replay_equals_merging_batch_by_batch(spark, unit, changed_only):
+    pick = random.Random(17)
+    data = {}
+    for _ in range(500):
+        key = pick.choice([None, "hot", "hot", "hot", *"abcdefgh"])
+        batch = pick.choice([1, 2, 3])
+        # batches overlap in time; few states, so many versions change nothing
+        start = T[0] + timedelta(hours=pick.randrange(40 * batch), minutes=pick.choice([0, 0, 30]))
+        data[key, batch, start] = (key, start, pick.choice(["x", "y", None]), batch)
+    df = spark.createDataFrame(list(data.values()), "k string, t timestamp, v string, n int").repartition(3)
+    got = scd.replay(df, "k", "t", ["v"], "n", slice_by=unit, changed_only=changed_only)
+    expected = []
+    for key in {d[0] for d in data.values()}:
+        kept = []
+        for _, start, state, _ in sorted((d for d in data.values() if d[0] == key), key=lambda d: (d[3], d[1])):
+            if not (changed_only and kept and kept[-1][1] == state):
+                kept.append((start, state))
+        for (start, state), after in zip(kept, [*kept[1:], (None, None)]):
+            expected.append((key, state, start, after[0], after[0] is None))
+    assert rows(got) == rows(spark.createDataFrame(expected, got.schema))
+    if key is not None or unit:
+        one = got.where("k = 'hot'")
+        assert one.where(scd.ACTIVE).count() == 1
+
+
+def test_replay_collapses_equal_starts_of_a_batch(spark):
+    df = spark.createDataFrame([("a", T[0], "x", 1), ("a", T[0], "y", 1), ("a", T[0], "z", 2)], "k string, t timestamp, v string, n int")
+    for unit in (None, "day"):
+        got = scd.replay(df, "k", "t", ["v"], "n", slice_by=unit)
+        assert rows(got, "v", scd.FROM, scd.TO) == [("y", T[0], T[0]), ("z", T[0], None)]
+
+
+def test_changes_in_one_pass(spark, sf_dir):
+    """At most four scans and twelve exchanges, however the batches are told apart."""
+    from orderlake import registry
+
+    for name in ("scd2_changes_only", "scd2_rebuild"):
+        plan = registry.QUERIES[name](spark, sf_dir)._jdf.queryExecution().sparkPlan().toString()
+        executed = registry.QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan") <= 4
+        assert executed.count("Exchange hashpartitioning") + executed.count("BroadcastExchange") <= 12
+
+
+def test_rebuild_can_drop_what_changes_nothing(spark):
+    late = scd.apply(dated(spark, [("a", T[5], "x"), ("b", T[0], "b")]), dated(spark, [("a", T[1], "x"), ("a", T[2], "x")]), "k")
+    assert rows(scd.rebuild(late, "k", late.where("k = 'a'"), changed_only=True)) == [
+        ("a", "x", T[1], None, True),
+        ("b", "b", T[0], None, True),
+    ]
+
+
 def test_upsert_replaces_and_adds(spark):
     schema = "k string, v int"
     target = spark.createDataFrame([("a", 1), ("b", 2)], schema)
