@@ -254,11 +254,12 @@ def geolocation_raw(tables: Tables) -> DataFrame:
 
 def products_raw(tables: Tables) -> DataFrame:
     """Delivery 2 comes a month later for every fourth product with another
-    weight; every 13th has no category; every 89th has an unreadable number."""
+    weight; delivery 3 repeats every tenth product at the time of delivery 1 with yet
+    another; every 13th has no category; every 89th has an unreadable number."""
     key = "p_partkey"
-    parts = _deliveries(tables["part"], {1: None, 2: _every(key, 4)})
+    parts = _deliveries(tables["part"], {1: None, 2: _every(key, 4), 3: _every(key, 10)})
     size = F.col("p_size")
-    weight = size * 100 + F.when(F.col("load_no") == 2, 1).otherwise(0)
+    weight = size * 100 + F.when(F.col("load_no") > 1, F.col("load_no") - 1).otherwise(0)
     photos = F.when(_every(key, 89), "n/a").otherwise((F.col(key) % 6).cast("string"))
     raw = parts.select(
         _text(key).alias("product_id"),

@@ -68,3 +68,29 @@ def exact_sum(amount: Column) -> Column:
 def exact_avg(amount: Column) -> Column:
     """Mean of the non-NULL amounts from the exact sum; NULL for an empty group."""
     return F.try_divide(exact_sum(amount), F.count(amount))
+
+
+# The same as SQL text, for views that are stored as text.
+
+
+def parts_sql(amount: str, name: str) -> str:
+    """``named_parts`` of a column in SQL."""
+    fits = f"abs({amount}) < {_UNIT}D"
+    whole = f"CAST(CASE WHEN {fits} THEN {amount} END AS BIGINT)"
+    digits = f"CAST(({amount} - {whole}) * {_UNIT}D AS BIGINT)"
+    odd = f"CASE WHEN {fits} THEN (({amount} - {whole}) * {_UNIT}D - {digits}) / {_UNIT}D ELSE {amount} END"
+    terms = [f"shiftright({whole}, {_BITS})", f"{whole} & {(1 << _BITS) - 1}", f"shiftright({digits}, {_BITS})",
+             f"{digits} & {(1 << _BITS) - 1}", odd]
+    return ", ".join(f"sum({term}) AS {name}_{suffix}" for term, suffix in zip(terms, PARTS))
+
+
+def total_sql(name: str, of: str = "sum") -> str:
+    """The amount that parts stand for, after adding them up with ``of``; '' takes them as they are."""
+    high, low, tenths, ends = (f"coalesce({of}({name}_{suffix}), 0L)" for suffix in PARTS[:4])
+    tenths = f"({tenths} + shiftright({ends}, {_BITS}))"
+    low = f"({low} + shiftright({tenths}, {_BITS}))"
+    high = f"({high} + shiftright({low}, {_BITS}))"
+    mask = (1 << _BITS) - 1
+    whole = f"(CAST({high} AS DOUBLE) * {_BASE}D + ({low} & {mask}))"
+    fraction = f"(CAST(({tenths} & {mask}) * {1 << _BITS} + ({ends} & {mask}) AS DOUBLE) / {_UNIT}D)"
+    return f"({whole} + {fraction} + (({fraction} - (({whole} + {fraction}) - {whole})) + {of}({name}_odd)))"

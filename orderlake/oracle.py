@@ -123,13 +123,13 @@ select cast(p_partkey as varchar) product_id,
        cast(length(p_name) as varchar) product_name_lenght,
        cast(p_size * 10 as varchar) product_description_lenght,
        case when p_partkey % 89 = 0 then 'n/a' else cast(p_partkey % 6 as varchar) end product_photos_qty,
-       cast(p_size * 100 + case when load_no = 2 then 1 else 0 end as varchar) product_weight_g,
+       cast(p_size * 100 + load_no - 1 as varchar) product_weight_g,
        cast(p_size as varchar) product_length_cm,
        cast(p_size + 1 as varchar) product_height_cm,
        cast(p_size + 2 as varchar) product_width_cm,
-       timestamp '2024-01-01 00:00:00' + (case when load_no = 2 then 31 else 0 end) * interval '1' day ingested
-from part, (values (1), (2)) k(load_no)
-where load_no = 1 or p_partkey % 4 = 0""",
+       timestamp '2024-01-01 00:00:00' + (case when load_no = 2 then 31 else 0 end) * interval '1' day ingested, load_no
+from part, (values (1), (2), (3)) k(load_no)
+where load_no = 1 or (load_no = 2 and p_partkey % 4 = 0) or (load_no = 3 and p_partkey % 10 = 0)""",
     "a_translation": """
 select lower(p_type) product_category_name,
        case when load_no = 2 and lower(p_type) = 'small' then 'en_little'
@@ -219,14 +219,14 @@ select product_id, product_category_name,
        cast(product_length_cm as int) product_length_cm,
        cast(product_height_cm as int) product_height_cm,
        cast(product_width_cm as int) product_width_cm,
-       ingested
+       ingested, load_no
 from a_products where product_photos_qty <> 'n/a'""",
     "s_products": """
 select product_id, product_category_name, product_name_length, product_description_length,
        product_photos_qty, product_weight_g, product_length_cm, product_height_cm, product_width_cm,
        ingested EffectiveFrom,
-       lead(ingested) over (partition by product_id order by ingested) EffectiveTo,
-       lead(ingested) over (partition by product_id order by ingested) is null IsActive
+       lead(ingested) over (partition by product_id order by ingested, load_no) EffectiveTo,
+       lead(ingested) over (partition by product_id order by ingested, load_no) is null IsActive
 from k_products""",
     "v_incoming": """
 select user_id, event_type, changed_at EffectiveFrom,
@@ -577,9 +577,28 @@ from a_products""",
     "stream_orders_to_silver": "select * from s_orders",
     "stream_customers_to_silver": "select * from s_customers",
     "stream_translation_to_silver": "select * from s_translation",
+    "stream_customers_late": "select * from s_customers",
+    "stream_products_to_silver": "select * from s_products",
+    "reprocess_orders": "select * from s_orders",
+    "batch_lineage": """
+select cast(load_no - 1 as bigint) batch_id, 1 times, count(distinct order_id) as rows, 1 files
+from a_orders_raw
+where order_id is not null and order_purchase_timestamp is not null group by load_no""",
+    "empty_batch": """
+select cast(0 as bigint) batch_id, count(*) as rows from s_orders""",
+    "truncate_table": "select *, cast(0 as bigint) left_after_truncate from paid",
     "current_orders": "select * from s_orders",
 }
 
+# The same rows by another way: from a table, a view or a stream.
+REPORTS |= {
+    "quarantine_from_table": f"select * from ({REPORTS['dq_orders_split']}) where errors <> ''",
+    "gold_from_tables": REPORTS["fact_order_items"],
+    "view_daily_revenue": REPORTS["daily_revenue"],
+    "view_product_performance": REPORTS["product_performance"],
+    "view_sales_by_customer": REPORTS["sales_by_customer"],
+}
+
 
 def sql(name: str) -> str:
     """The report with every named subquery it needs, directly or not."""

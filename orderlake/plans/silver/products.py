@@ -36,16 +36,21 @@ ATTRIBUTES = ["product_category_name", *[RENAMED.get(c, c) for c in MEASURES]]
 def transform(
     batch: DataFrame,
     open_ended: bool = False,
+    keep_ties: bool = True,
     null_skipping: bool = False,
     strict_casts: bool = True,
     pin: Pin = unpinned,
 ) -> Result:
-    """Versions of one batch. ``open_ended=True`` leaves every distinct record of
-    the batch active instead of ending it at the product's next one."""
+    """Versions of one batch.
+
+    Equal records are removed by fingerprint; different ones of one ingest time all become
+    versions, all but the last of them empty. ``keep_ties=False`` keeps just that last one;
+    ``open_ended=True`` leaves every distinct record of the batch active instead of ending
+    it at the product's next one."""
     checked = pin(quality.apply(batch, [*SOURCE_RULES, *cast_rules(TYPES, strict_casts)]))
     good, refused = quality.split(checked)
     records = good.drop(quality.ERRORS, quality.WARNINGS)
-    if open_ended:
+    if open_ended or keep_ties:
         raw = ["product_category_name", *MEASURES]
         records = dedup.by_hash(records, KEY, raw, INGESTED, null_skipping)
     cast = records.select(KEY, "product_category_name", *casts(TYPES, RENAMED), INGESTED, SOURCE_FILE)
@@ -56,5 +61,6 @@ def transform(
         ATTRIBUTES,
         tie_breakers=[SOURCE_FILE, *ATTRIBUTES],
         open_ended=open_ended,
+        keep_ties=keep_ties,
     )
     return Result(dated.withColumn(INGESTED, F.col(scd.FROM)), refused)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderlake.plans import business, gold
+from orderlake.plans import gold, views
 from orderlake.streaming.sinks import ensure_schema, write_table
 
 
@@ -17,8 +17,10 @@ def build_gold(
 ) -> list[str]:
     """Write the five dimensions, then the four facts, and name them.
 
-    Later tables read earlier ones from storage. ``buckets`` stores ``fact_orders``
-    hashed by order, so the three facts joined to it do not shuffle it again.
+    Later tables read earlier ones from storage. ``buckets`` stores all with one bucket
+    count, facts by order and dimensions by their natural key: a fact whose silver table is
+    stored so too is joined to ``fact_orders`` without a shuffle. Readers see the previous
+    build of a table until the new one is written.
     """
     ensure_schema(spark, schema)
     built: list[str] = []
@@ -32,37 +34,21 @@ def build_gold(
         return spark.table(f"{silver}.{name}")
 
     places = write("dim_geolocation", gold.dim_geolocation(read("geolocation")))
-    customers = write("dim_customer", gold.dim_customer(read("customers"), places, one_per_place))
-    sellers = write("dim_seller", gold.dim_seller(read("sellers"), places, one_per_place))
+    customers = write("dim_customer", gold.dim_customer(read("customers"), places, one_per_place), "customer_id")
+    sellers = write("dim_seller", gold.dim_seller(read("sellers"), places, one_per_place), "seller_id")
     translation = read("product_category_translation")
-    products = write("dim_product", gold.dim_product(read("products"), translation))
+    products = write("dim_product", gold.dim_product(read("products"), translation), "product_id")
     write("dim_date", gold.dim_date(read("orders")))
     orders = write("fact_orders", gold.fact_orders(read("orders"), customers), "order_id")
-    write("fact_order_items", gold.fact_order_items(read("order_items"), orders, products, sellers))
-    write("fact_payments", gold.fact_payments(read("order_payments"), orders))
-    write("fact_reviews", gold.fact_reviews(read("order_reviews"), orders))
+    write("fact_order_items", gold.fact_order_items(read("order_items"), orders, products, sellers), "order_id")
+    write("fact_payments", gold.fact_payments(read("order_payments"), orders), "order_id")
+    write("fact_reviews", gold.fact_reviews(read("order_reviews"), orders), "order_id")
     return built
 
 
-def register_views(spark: SparkSession, silver: str = "silver") -> list[str]:
-    """Create or replace the three business views over silver."""
-
-    def read(name: str) -> DataFrame:
-        return spark.table(f"{silver}.{name}")
-
-    orders, items, payments = read("orders"), read("order_items"), read("order_payments")
-    views = {
-        "v_daily_revenue_analytics": business.daily_revenue(orders, payments),
-        "product_performance": business.product_performance(
-            orders,
-            items,
-            payments,
-            read("order_reviews"),
-            read("products"),
-            read("product_category_translation"),
-        ),
-        "sales_by_customer": business.sales_by_customer(items, orders),
-    }
-    for name, view in views.items():
-        view.createOrReplaceTempView(name)
-    return list(views)
+def register_views(spark: SparkSession, silver: str = "silver", schema: str = "business") -> list[str]:
+    """Create or replace the three business views over silver in the catalog, and name them."""
+    ensure_schema(spark, schema)
+    for name, query in views.VIEWS.items():
+        spark.sql(f"CREATE OR REPLACE VIEW {schema}.{name} AS {views.text(query, silver)}")
+    return [f"{schema}.{name}" for name in views.VIEWS]

@@ -20,7 +20,7 @@ from orderlake import feeds, session
 from orderlake.feeds import Tables
 from orderlake.functions.keys import record_hash
 from orderlake.operators import dedup, quality, scd
-from orderlake.plans import business, dashboards, gold
+from orderlake.plans import business, dashboards, gold, warehouse
 from orderlake.plans.silver import (
     category_translation,
     geolocation,
@@ -739,6 +739,142 @@ def current_orders(spark, sf_dir):
     return silver.current(spark, "orders", stage.schema).drop("_InsertTimeStamp", "_source_file", "batch_id")
 
 
+@query
+def stream_customers_late(spark, sf_dir):
+    """The later delivery comes first: the versions of the other one are late, and history
+    that is already stored is rebuilt for their keys."""
+    stage = Stage(spark)
+    delivered = feeds.customers_raw(Tables(spark, sf_dir))
+    later = F.col("_source_file") == "load_2"
+    for part in (delivered.where(later), delivered.where(~later)):
+        source = _bronze_table(spark, part, stage, "customers_raw")
+        silver.run_silver(spark, "customers", source, stage.path("silver"), stage.schema).awaitTermination()
+    return spark.table(stage.table("customers"))
+
+
+@query
+def stream_products_to_silver(spark, sf_dir):
+    """Two deliveries in two runs: different records of one ingest time all stay."""
+    stage = Stage(spark)
+    delivered = feeds.products_raw(Tables(spark, sf_dir))
+    later = F.col("_source_file") == "load_2"
+    for part in (delivered.where(~later), delivered.where(later)):
+        source = _bronze_table(spark, part, stage, "products_raw")
+        silver.run_silver(spark, "products", source, stage.path("silver"), stage.schema).awaitTermination()
+    return spark.table(stage.table("products")).drop("_InsertTimeStamp")
+
+
+@query
+def reprocess_orders(spark, sf_dir):
+    """The feed is read a second time from the start: the new generation replaces the old one."""
+    stage = Stage(spark)
+    source = _bronze_table(spark, feeds.orders_raw(Tables(spark, sf_dir)), stage, "orders_raw")
+    silver.run_silver(spark, "orders", source, stage.path("silver"), stage.schema).awaitTermination()
+    silver.reprocess(spark, "orders", source, stage.path("silver"), stage.schema)
+    return spark.table(stage.table("orders")).drop("_InsertTimeStamp", "_source_file", "batch_id", "processed_at")
+
+
+@query
+def quarantine_from_table(spark, sf_dir):
+    """What the source gate refused, read back from its table."""
+    stage = Stage(spark)
+    source = _bronze_table(spark, feeds.orders_raw(Tables(spark, sf_dir)), stage, "orders_raw")
+    silver.run_silver(spark, "orders", source, stage.path("silver"), stage.schema).awaitTermination()
+    refused = spark.table(stage.table("orders_invalid_source"))
+    return refused.select("order_id", "customer_id", "order_status", "order_purchase_timestamp", _delivery(), _errors(), _warnings())
+
+
+@query
+def batch_lineage(spark, sf_dir):
+    """Two batches: how many batch numbers, processing times and rows each has."""
+    stage = Stage(spark)
+    delivered = feeds.orders_raw(Tables(spark, sf_dir))
+    for file in ("load_1", "load_2"):
+        source = _bronze_table(spark, delivered.where(F.col("_source_file") == file), stage, "orders_raw")
+        silver.run_silver(spark, "orders", source, stage.path("silver"), stage.schema).awaitTermination()
+    return spark.table(stage.table("orders")).groupBy("batch_id").agg(
+        F.count_distinct("processed_at").alias("times"), F.count(F.lit(1)).alias("rows"),
+        F.count_distinct("_source_file").alias("files"),
+    )
+
+
+@query
+def empty_batch(spark, sf_dir):
+    """A batch without rows between two others leaves the tables as they are."""
+    stage = Stage(spark)
+    raw, feed = feeds.orders_raw(Tables(spark, sf_dir)), silver.FEEDS["orders"]
+    for number, part in enumerate((raw, raw.where(F.lit(False)))):
+        silver.process_batch(feed, part, number, stage.schema)
+    return spark.table(stage.table("orders")).groupBy("batch_id").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query
+def truncate_table(spark, sf_dir):
+    """A derived table emptied, then written again."""
+    stage = Stage(spark)
+    paid = business.paid_per_order(feeds.order_payments(Tables(spark, sf_dir)), "paid")
+    sinks.write_table(paid, stage.table("paid"))
+    sinks.truncate(spark, stage.table("paid"))
+    left = spark.table(stage.table("paid")).count()
+    sinks.write_table(paid.withColumn("left_after_truncate", F.lit(left)), stage.table("paid"))
+    return spark.table(stage.table("paid"))
+
+
+BUCKETS = 8
+
+
+def _silver_tables(spark: SparkSession, sf_dir: str, stage: Stage) -> None:
+    """Silver as stored tables; what is joined by order is stored by order."""
+    lake = Lake(spark, sf_dir)
+    by_order = {"orders": lake.orders, "order_items": lake.items, "order_payments": lake.payments, "order_reviews": lake.reviews}
+    for name, df in by_order.items():
+        sinks.write_table(df, stage.table(name), BUCKETS, "order_id")
+    sinks.write_table(lake.products, stage.table("products"))
+    sinks.write_table(lake.translation, stage.table("product_category_translation"))
+
+
+@query
+def gold_from_tables(spark, sf_dir):
+    """The star schema built twice from stored silver tables; its item facts, read from storage."""
+    stage, lake = Stage(spark), Lake(spark, sf_dir)
+    _silver_tables(spark, sf_dir, stage)
+    for name in ("customers", "sellers", "geolocation"):
+        sinks.write_table(getattr(lake, name), stage.table(name))
+    for _ in range(2):
+        warehouse.build_gold(spark, stage.schema, stage.schema, buckets=BUCKETS)
+    fact = spark.table(stage.table("fact_order_items"))
+    for name, surrogate, natural in (
+        ("dim_customer", "customer_key", "customer_id"),
+        ("dim_product", "product_key", "product_id"),
+        ("dim_seller", "seller_key", "seller_id"),
+    ):
+        fact = _natural(fact, spark.table(stage.table(name)), surrogate, natural)
+    return fact
+
+
+def _business_view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A view of the catalog over stored tables, read in another session than made it."""
+    stage = Stage(spark)
+    _silver_tables(spark, sf_dir, stage)
+    warehouse.register_views(spark, stage.schema, stage.schema)
+    return session.prepare(spark.newSession()).table(stage.table(name))
+
+
+@query
+def view_daily_revenue(spark, sf_dir):
+    return _business_view(spark, sf_dir, "v_daily_revenue_analytics")
+
+
+@query
+def view_product_performance(spark, sf_dir):
+    return _business_view(spark, sf_dir, "product_performance")
+
+
+@query
+def view_sales_by_customer(spark, sf_dir):
+    return _business_view(spark, sf_dir, "sales_by_customer")
+
+
 def _bronze_table(spark: SparkSession, df: DataFrame, stage: Stage, name: str) -> str:
     table = stage.table(name)
     df.write.mode("append").format("parquet").saveAsTable(table)
