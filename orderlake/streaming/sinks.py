@@ -252,17 +252,22 @@ class _Merge:
         return scd.rebuild(whole.select(self.columns), self.key, arrived, changed_only=changed_only)
 
     def write(self, df: DataFrame, part: str) -> None:
-        """The rows as this batch's version of their buckets; a second run replaces them all."""
+        """The rows as this batch's version of their buckets; a second run replaces these partitions.
+        Only they are overwritten, so the other versions of the table can be read meanwhile."""
         name = f"{self.table}_{part}"
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema.fields)
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {name} ({columns}, {VERSION} BIGINT, {BUCKET} INT) USING parquet "
             f"PARTITIONED BY ({VERSION}, {BUCKET})"
         )
-        self.spark.sql(
-            f"INSERT OVERWRITE TABLE {name} PARTITION ({VERSION} = {self.batch_id}, {BUCKET}) SELECT * FROM {{rows}}",
-            rows=df.withColumn(BUCKET, self._bucket()).hint("rebalance", BUCKET),
-        )
+        rows = df.withColumns({VERSION: F.lit(self.batch_id).cast("bigint"), BUCKET: self._bucket()})
+        mode = "spark.sql.sources.partitionOverwriteMode"
+        before = self.spark.conf.get(mode)
+        self.spark.conf.set(mode, "dynamic")
+        try:
+            rows.hint("rebalance", VERSION, BUCKET).write.insertInto(name, overwrite=True)
+        finally:
+            self.spark.conf.set(mode, before)
 
     def publish(self, touched: list[int], late: list[int], history: bool) -> None:
         """Write the map of this batch, switch the view to it, drop what neither it nor the base needs."""

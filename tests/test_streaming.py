@@ -5,8 +5,8 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from orderlake import feeds, schemas
-from orderlake.plans import warehouse
+from orderlake import feeds, schemas, session
+from orderlake.plans import business, gold, warehouse
 from orderlake.sources.csv import csv_stream, resolve_schema
 from orderlake.streaming import bronze, silver, sinks
 from tests.helpers import rows, ts
@@ -121,8 +121,10 @@ def test_a_replayed_batch_changes_nothing_in_a_versioned_table(spark, stage):
         ("3", "a", None, True),
     ]
     assert spark.table(stage.table("sellers_source_invalid")).count() == 1
-    kept = {t.name for t in spark.catalog.listTables(stage.schema) if t.name.startswith("sellers_v")}
-    assert kept == {"sellers_v1", "sellers_v2"}
+    versions = {(r.active, r.batch_id) for r in spark.table(f"{target}_g0_map").collect()}
+    assert {batch for _, batch in versions} == {1, 2}
+    held = {r[0] for r in spark.table(f"{target}_g0_active").select("version").distinct().collect()}
+    assert held == {version for version, _ in versions}
 
 
 def test_rows_that_change_nothing_can_be_kept_out_of_history(spark, stage):
@@ -162,23 +164,157 @@ def test_type_1_table(spark, stage):
     assert rows(got, "product_category_name", "product_category_name_english") == [("a", "z"), ("b", "y")]
 
 
-def test_stream_with_a_second_generation_reads_everything_again(spark, stage):
-    sellers(spark, ("1", "a", T1)).write.saveAsTable(stage.table("raw"))
+def test_reprocessing_replaces_what_readers_see(spark, stage):
+    sellers(spark, ("1", "a", T1), (None, "x", T1)).write.saveAsTable(stage.table("raw"))
 
-    def run(generation=0):
-        silver.run_silver(spark, "sellers", stage.table("raw"), stage.path("ck"), stage.schema, generation).awaitTermination()
+    def run():
+        silver.run_silver(spark, "sellers", stage.table("raw"), stage.path("ck"), stage.schema).awaitTermination()
         return spark.table(stage.table("sellers"))
 
     assert run().count() == 1
     assert run().count() == 1
     sellers(spark, ("1", "b", T2)).write.mode("append").saveAsTable(stage.table("raw"))
-    assert rows(run(), "seller_city", "IsActive") == [("a", False), ("b", True)]
-    assert rows(run(generation=1), "seller_city", "IsActive") == [
-        ("a", False),
-        ("a", False),
-        ("b", False),
-        ("b", True),
+    once = rows(run(), "seller_city", "EffectiveFrom", "EffectiveTo", "IsActive")
+    assert [r[0] for r in once] == ["a", "b"]
+    assert silver.reprocess(spark, "sellers", stage.table("raw"), stage.path("ck"), stage.schema) == 1
+    assert rows(spark.table(stage.table("sellers")), "seller_city", "EffectiveFrom", "EffectiveTo", "IsActive") == once
+    assert spark.table(stage.table("sellers_source_invalid")).count() == 1
+    # later runs go on with the generation that is shown
+    sellers(spark, ("2", "c", T3)).write.mode("append").saveAsTable(stage.table("raw"))
+    assert run().count() == 3 and sinks.generation_of(spark, stage.table("sellers")) == 1
+
+
+def versions(spark, *data):
+    schema = "k string, v string, EffectiveFrom timestamp, EffectiveTo timestamp, IsActive boolean"
+    return spark.createDataFrame([(k, v, start, None, True) for k, v, start in data], schema)
+
+
+def test_untouched_buckets_keep_their_files(spark, stage):
+    keys = [f"k{i}" for i in range(40)]
+    target = stage.table("d")
+    sinks.merge_versions(versions(spark, *[(k, "a", T1) for k in keys]), target, "k", 0, buckets=8)
+    bucket = {r.k: r.bucket for r in spark.table(f"{target}_active").select("k", "bucket").collect()}
+
+    def files():
+        found = spark.table(f"{target}_active").select("bucket", "_metadata.file_path", "_metadata.file_modification_time").distinct()
+        return {(r[0], r[1], r[2]) for r in found.collect()}
+
+    before = files()
+    sinks.merge_versions(versions(spark, ("k3", "b", T2)), target, "k", 1, buckets=8)
+    after = files()
+    assert {f for f in before if f[0] != bucket["k3"]} <= after
+    assert {f[0] for f in after - before} == {bucket["k3"]}
+    got = spark.table(target)
+    assert got.count() == 41 and got.where("IsActive").count() == 40
+    plan = spark.table(target)._jdf.queryExecution().optimizedPlan().toString()
+    assert "_map" in plan or "active" in plan
+    # the base of the last merge stays for a repeated batch, what is older goes
+    sinks.merge_versions(versions(spark, ("k3", "c", T3)), target, "k", 2, buckets=8)
+    sinks.merge_versions(versions(spark, ("k3", "c", T3)), target, "k", 2, buckets=8)
+    held = spark.table(f"{target}_active").where(F.col("bucket") == bucket["k3"]).select("version").distinct()
+    assert rows(held) == [(1,), (2,)]
+    assert rows(spark.table(target).where("k = 'k3'"), "v", "EffectiveTo") == [("a", T2), ("b", T3), ("c", None)]
+
+
+def test_late_versions_repair_stored_history(spark, stage):
+    target = stage.table("late")
+    T0 = ts("2023-12-01")
+    batches = [
+        [("a", "2", T2), ("b", "1", T1), ("c", "1", T1)],
+        [("a", "3", T3), ("b", "3", T3)],
+        [("a", "1", T1), ("b", "2", T2)],
+        [("a", "0", T0)],
     ]
+    for number, data in enumerate(batches):
+        for _ in range(2):
+            sinks.merge_versions(versions(spark, *data), target, "k", number, buckets=2)
+    got = spark.table(target)
+    assert rows(got, "k", "v", "EffectiveFrom", "EffectiveTo", "IsActive") == [
+        ("a", "0", T0, T1, False), ("a", "1", T1, T2, False), ("a", "2", T2, T3, False), ("a", "3", T3, None, True),
+        ("b", "1", T1, T2, False), ("b", "2", T2, T3, False), ("b", "3", T3, None, True),
+        ("c", "1", T1, None, True),
+    ]
+    assert got.where("EffectiveTo < EffectiveFrom").count() == 0
+
+
+def test_null_in_a_required_column_fails_the_write(spark, stage):
+    df = spark.createDataFrame([("a", 1), (None, 2)], "k string, v int")
+    with pytest.raises(PySparkException, match="NULL in column k"):
+        sinks.append_batch(df, stage.table("n"), 0, not_null=("k",))
+    sinks.append_batch(df.where("k is not null"), stage.table("n"), 0)
+    kept = sinks.required(spark.table(stage.table("n")), stage.table("n"))
+    assert [(f.name, f.nullable) for f in kept.schema.fields] == [("k", False), ("v", True), ("batch_id", True)]
+    assert kept.count() == 1
+
+
+def test_readers_see_a_derived_table_while_it_is_replaced(spark, stage):
+    """Frames opened before, during and after a replacement all read whole tables."""
+    target = stage.table("r")
+    sinks.write_table(spark.range(100).withColumn("n", F.lit(0)), target)
+    opened = spark.table(target)
+    seen = []
+
+    def watch(n):
+        seen.append(spark.table(target).agg(F.count("*"), F.max("n")).first())
+        return n
+
+    for n in (1, 2):
+        sinks.write_table(spark.range(100).withColumn("n", F.lit(watch(n))), target)
+        watch(n)
+        if n == 1:
+            assert opened.count() == 100
+    assert [tuple(s) for s in seen] == [(100, 0), (100, 1), (100, 1), (100, 2)]
+    spark.range(3).write.saveAsTable(stage.table("plain"))
+    with pytest.raises(ValueError):
+        sinks.write_table(spark.range(1), stage.table("plain"))
+
+
+def test_a_failed_replacement_leaves_the_table(spark, stage):
+    target = stage.table("f")
+    sinks.write_table(spark.range(5), target)
+    with pytest.raises(PySparkException):
+        sinks.write_table(spark.range(5).select(F.raise_error(F.lit("stop")).cast("bigint").alias("id")), target)
+    assert spark.table(target).count() == 5
+    sinks.write_table(spark.range(7), target)
+    assert spark.table(target).count() == 7
+
+
+def test_item_facts_from_bucketed_tables_shuffle_nothing_for_the_order_join(spark, stage, sf_dir):
+    tables = feeds.Tables(spark, sf_dir)
+    sinks.write_table(feeds.order_items(tables), stage.table("items"), 4, "order_id")
+    sinks.write_table(feeds.orders(tables).withColumn("customer_key", F.lit(1)), stage.table("fact_orders"), 4, "order_id")
+    products = feeds.products_raw(tables).selectExpr("product_id", "1 product_key")
+    sellers_of = feeds.sellers_raw(tables).selectExpr("seller_id", "1 seller_key")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fact = gold.fact_order_items(spark.table(stage.table("items")), spark.table(stage.table("fact_orders")), products, sellers_of)
+        plan = fact._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
+    assert "Exchange hashpartitioning(product_id" in plan and "Exchange hashpartitioning(order_id" not in plan
+
+
+def test_views_of_the_catalog_equal_the_functions(spark, stage, sf_dir):
+    from orderlake.registry import Lake
+
+    lake = Lake(spark, sf_dir)
+    names = {"orders": lake.orders, "order_items": lake.items, "order_payments": lake.payments, "order_reviews": lake.reviews,
+             "products": lake.products, "product_category_translation": lake.translation}
+    for name, df in names.items():
+        sinks.write_table(df, stage.table(name))
+    warehouse.register_views(spark, stage.schema, stage.schema)
+    other = session.prepare(spark.newSession())
+    expected = {
+        "v_daily_revenue_analytics": business.daily_revenue(lake.orders, lake.payments),
+        "sales_by_customer": business.sales_by_customer(lake.items, lake.orders),
+        "product_performance": business.product_performance(
+            lake.orders, lake.items, lake.payments, lake.reviews, lake.products, lake.translation
+        ),
+    }
+    for name, df in expected.items():
+        view = other.table(stage.table(name))
+        assert sorted(view.columns) == sorted(df.columns)
+        assert rows(view, *df.columns) == rows(df)
 
 
 def test_empty_batches_write_nothing(spark, stage):
@@ -217,7 +353,7 @@ def test_all_layers_end_to_end(spark, stage, sf_dir):
     orders = spark.table(stage.table("orders")).count()
     assert spark.table(stage.table("fact_orders")).count() == orders
     assert spark.table(stage.table("fact_order_items")).count() == spark.table(stage.table("order_items")).count()
-    for view in warehouse.register_views(spark, stage.schema):
+    for view in warehouse.register_views(spark, stage.schema, stage.schema):
         assert spark.table(view).count() > 0
 
 
