@@ -574,6 +574,37 @@ select geolocation_zip_code_prefix, cast(geolocation_lat as varchar) geolocation
 select product_id, product_category_name, product_name_lenght, product_description_lenght, product_photos_qty,
        product_weight_g, product_length_cm, product_height_cm, product_width_cm, true has_lineage
 from a_products""",
+    "bronze_translation": """
+select product_category_name, product_category_name_english, true has_lineage from a_translation""",
+    "bronze_items": "select *, true has_lineage, cast(null as varchar) unparsed from a_items",
+    "bronze_payments": """
+select order_id, payment_sequential, payment_type, payment_installments,
+       case when cast(order_id as bigint) % 11 <> 0 then payment_value end payment_value, true has_lineage,
+       case when cast(order_id as bigint) % 11 = 0 then concat_ws(',', order_id, payment_sequential, payment_type,
+            payment_installments, 'n/a') end unparsed
+from a_payments_raw""",
+    "bronze_reviews": """
+select review_id, order_id, cast(review_score as int) review_score, review_comment_title, 'said' review_comment_message,
+       review_creation_date, review_answer_timestamp, true has_lineage, cast(null as varchar) unparsed
+from a_reviews""",
+    "bronze_inferred": """
+with n as (select count(*) filter (payment_sequential = 1) firsts, count(*) n from a_payments)
+select way, name, case when way = 'text' then 'string' else kind end kind, case when way = 'text' then firsts else n end known
+from n, (values ('text'), ('typed')) w(way),
+     (values ('order_id', 'int'), ('payment_sequential', 'int'), ('payment_type', 'string'), ('payment_value', 'double')) c(name, kind)""",
+    "bronze_by_header": """
+with f as (select customer_id, customer_unique_id, customer_zip_code_prefix, customer_city, customer_state,
+       'load_' || load_no as load, cast(customer_id as bigint) // 100 % 4 layout, cast(customer_id as bigint) // 100 file
+  from a_customers where customer_id is not null)
+select customer_id, customer_unique_id, customer_zip_code_prefix, customer_city,
+       case when layout <> 2 then customer_state end customer_state,
+       case when layout = 1 then load end as load,
+       case when layout = 3 then concat_ws(',', customer_id, coalesce(customer_unique_id, ''), customer_zip_code_prefix, customer_city,
+            customer_state, 'surplus') end unparsed
+from f
+union all
+select 'customer_id', 'customer_unique_id', 'customer_zip_code_prefix', 'customer_city', 'customer_state', null, null
+from f where layout = 3 group by file""",
     "stream_orders_to_silver": "select * from s_orders",
     "stream_customers_to_silver": "select * from s_customers",
     "stream_translation_to_silver": "select * from s_translation",

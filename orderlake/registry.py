@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import cached_property, wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -689,6 +689,96 @@ def bronze_products(spark, sf_dir):
     return _ingest_text(spark, sf_dir, "products", "products_raw")
 
 
+@query
+def bronze_translation(spark, sf_dir):
+    return _ingest_text(spark, sf_dir, "product_category_name", "category_translation_raw")
+
+
+def _ingest_typed(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """A typed feed as CSV, through the bronze stream; what did not fit its types is in ``unparsed``."""
+    stage, feed = Stage(spark), FEED_SCHEMAS[name]
+    df.select(feed.schema.names).write.option("header", True).option("escape", '"').csv(stage.path("landing"))
+    table = stage.table("bronze")
+    bronze.run_bronze(spark, name, stage.path("landing"), table, stage.path("bronze")).awaitTermination()
+    ingested = spark.table(table)
+    known = F.col(feed.ingest_column).isNotNull() & F.col("_source_file").isNotNull()
+    return ingested.select(*feed.schema.names, known.alias("has_lineage"), F.col("_corrupt_record").alias("unparsed"))
+
+
+@query
+def bronze_items(spark, sf_dir):
+    return _ingest_typed(spark, feeds.order_items(Tables(spark, sf_dir)), "order_items")
+
+
+@query
+def bronze_payments(spark, sf_dir):
+    """Every eleventh order has an amount that is no number."""
+    raw = feeds.order_payments_raw(Tables(spark, sf_dir))
+    wrong = F.col("order_id").cast("bigint") % 11 == 0
+    return _ingest_typed(
+        spark, raw.withColumn("payment_value", F.when(wrong, "n/a").otherwise(F.col("payment_value").cast("string"))), "order_payments"
+    )
+
+
+@query
+def bronze_reviews(spark, sf_dir):
+    """Without the message, which may hold line ends that a line-based feed cannot."""
+    raw = feeds.order_reviews_raw(Tables(spark, sf_dir))
+    return _ingest_typed(spark, raw.withColumn("review_comment_message", F.lit("said")), "order_reviews")
+
+
+@query
+def bronze_inferred(spark, sf_dir):
+    """All text, inferred types, and types pinned by the first delivery for a later one."""
+    stage, tables = Stage(spark), Tables(spark, sf_dir)
+    paid = feeds.order_payments(tables).select(FEED_SCHEMAS["order_payments"].schema.names)
+    first = F.col("payment_sequential") == 1
+    landing = stage.path("landing")
+    paid.where(first).write.option("header", True).csv(landing)
+    found = []
+    for way, options in (("text", {"schema": None}), ("typed", {"schema": None, "schema_path": stage.path("pinned")})):
+        feed = replace(FEED_SCHEMAS["order_payments"], typed=way == "typed")
+        table = stage.table(way)
+        bronze.run_bronze(spark, feed, landing, table, stage.path(f"ck_{way}"), **options).awaitTermination()
+        if way == "typed":
+            # a later file whose own types would be inferred otherwise
+            paid.where(~first).withColumn("payment_value", F.floor("payment_value")).write.mode("append").option("header", True).csv(landing)
+            bronze.run_bronze(spark, feed, landing, table, stage.path(f"ck_{way}"), **options).awaitTermination()
+        rows = spark.table(table)
+        for name in ("order_id", "payment_sequential", "payment_type", "payment_value"):
+            kind = rows.schema[name].dataType.simpleString()
+            found.append(rows.agg(F.lit(way).alias("way"), F.lit(name).alias("name"), F.lit(kind).alias("kind"), F.count(name).alias("known")))
+    whole = found[0]
+    for more in found[1:]:
+        whole = whole.unionByName(more)
+    return whole
+
+
+@query
+def bronze_by_header(spark, sf_dir):
+    """Files of four layouts: as the feed, in another order with a surplus column, with a column
+    less, and with rows of too many fields and one that equals the header."""
+    stage = Stage(spark)
+    columns = list(FEED_SCHEMAS["customers"].schema.names)
+    raw = feeds.customers_raw(Tables(spark, sf_dir)).where("customer_id is not null").select(
+        *[F.coalesce(c, F.lit("")).alias(c) for c in columns], F.expr("cast(customer_id as bigint) div 100").alias("file"),
+        F.col("_source_file").alias("load"),
+    )
+    layout = F.col("file") % 4
+    headers = [columns, [*reversed(columns), "load"], columns[:-1], columns]
+    line, header = F.lit(None), F.lit(None)
+    for n, names in enumerate(headers):
+        fields = F.concat_ws(",", *names, *([F.lit("surplus")] if n == 3 else []))
+        line, header = F.when(layout == n, fields).otherwise(line), F.when(layout == n, ",".join(names)).otherwise(header)
+    files = raw.groupBy("file").agg(F.any_value(header).alias("header"), F.sort_array(F.collect_list(line)).alias("lines"))
+    again = F.when(layout == 3, F.array("header")).otherwise(F.array().cast("array<string>"))
+    text = F.array_join(F.concat(F.array("header"), "lines", again), "\n")
+    files.select(text.alias("value")).write.option("maxRecordsPerFile", 1).text(stage.path("landing"))
+    table = stage.table("bronze")
+    bronze.run_bronze_by_header(spark, "customers", stage.path("landing"), table, stage.path("ck")).awaitTermination()
+    return spark.table(table).select(*columns, F.col("_rescued")["load"].alias("load"), F.col("_corrupt_record").alias("unparsed"))
+
+
 @query
 def stream_orders_to_silver(spark, sf_dir):
     stage = Stage(spark)

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from orderlake.schemas import FEEDS, Feed
-from orderlake.sources.csv import csv_stream, lines_by_header, union_layouts, with_lineage
+from orderlake.sources.csv import csv_stream, rows_by_header, with_lineage
 from orderlake.streaming.sinks import append_batch
 
 USE_FEED_SCHEMA = object()
@@ -56,8 +57,9 @@ def run_bronze_by_header(
 ) -> StreamingQuery:
     """Ingest files whose columns may come in another order or number.
 
-    Each file is read by its own header; columns outside the feed are left out,
-    missing ones are NULL, and all columns are text.
+    Each file is read by its own header and all columns are text; missing ones are NULL,
+    columns outside the feed and rows that do not fit their header are kept beside the
+    feed's columns, see ``rows_by_header``.
     """
     feed = FEEDS[feed] if isinstance(feed, str) else feed
     lines = spark.readStream.text(source).selectExpr(
@@ -65,19 +67,8 @@ def run_bronze_by_header(
     )
 
     def ingest(batch, batch_id: int) -> None:
-        frames = lines_by_header(batch)
-        if not frames:
-            return
-        wide = union_layouts(frames)
-        for name in feed.schema.names:
-            if name not in wide.columns:
-                wide = wide.selectExpr("*", f"CAST(NULL AS STRING) AS `{name}`")
-        stamped = wide.selectExpr(
-            *[f"`{c}`" for c in feed.schema.names],
-            f"current_timestamp() AS `{feed.ingest_column}`",
-            "_source_file",
-        )
-        append_batch(stamped, table, batch_id)
+        rows = rows_by_header(batch, feed.schema.names)
+        append_batch(rows.withColumn(feed.ingest_column, F.current_timestamp()), table, batch_id)
 
     return (
         lines.writeStream.foreachBatch(ingest)
