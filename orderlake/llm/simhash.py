@@ -6,10 +6,12 @@ thresholds plus one each sum to ``bits + 1``; they are allotted by dynamic progr
 on candidate counts estimated from all fingerprints. Probing enumerates the values
 within a partition's threshold, joins them and verifies the distance.
 
-A crowded bucket is not paired up. Its fingerprints differ only in the bits that vary
-within the bucket. Two of them within ``bits`` have a middle value, ``bits // 2`` flips or
-fewer from one and the rest from the other, and whoever is that close to a middle value is
-within ``bits`` of all others there: one star per middle value carries all their links.
+A crowded bucket is not paired up. Its fingerprints are split again: the bits in which they vary
+are dealt into 2 * bits + 2 parts, and each fingerprint goes to one bucket per choice of ``bits`` parts
+left open, 56 for three bits; a pair within ``bits`` meets where the parts in which it differs are
+open. In a bucket those near a member at its centre are linked to it, and linked fingerprints are
+one from then on. What is not one with the bucket's largest linked set is compared with all in it,
+or, where both are many, the bucket is split again by the bits that are left.
 
 Null texts count as empty. Without any word the fingerprint is zero. Repeated rows
 share a fingerprint; rows of equal id and different text keep their own. Ids may be
@@ -33,7 +35,8 @@ from orderlake.llm.components import components
 BITS = 3
 SHINGLE = 3
 SEED = 42
-CROWDED = 48  # home entries of a bucket beyond which stars replace pairs; both are exact
+CROWDED = 48  # home entries of a bucket beyond which it is split instead of paired; both are exact
+COMPARED = 1 << 24  # comparisons in a bucket beyond which it is split again; both are exact
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 KEY = ["doc_id", "_h1", "_h2"]
 
@@ -226,57 +229,105 @@ def links(prints: DataFrame, bits: int = BITS) -> DataFrame:
     near = paired.withColumnRenamed("fp", "a").join(right, ["part", "key"]).filter(
         (F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= bits)
     )
-    return near.select("a", "b").union(_stars(probes.join(crowded, ["part", "key"]), bits))
+    return near.select("a", "b").union(_dense(probes.join(crowded, ["part", "key"]), bits))
 
 
-def _middles(members: DataFrame, radius: int, close: int) -> DataFrame:
-    """Columns middle, root, close: each member (fp, mask, root) under every value up to ``radius`` flips of its mask away."""
+def _open_masks(free: int, bits: int) -> list[int]:
+    """The bits of ``free`` dealt into parts; for every choice of ``bits`` parts their bits."""
+    places = [b for b in range(64) if free >> b & 1]
+    parts = [sum(1 << b for b in places[k :: 2 * bits + 2]) for k in range(2 * bits + 2)]
+    return [sum(choice) for choice in itertools.combinations(parts, bits)]
 
-    def run(batches):
-        for batch in batches:
-            for fp, mask, root in zip(*(batch.column(c).to_pylist() for c in ("fp", "mask", "root"))):
-                places = np.flatnonzero(np.unpackbits(np.array([mask], np.int64).view(np.uint8), bitorder="little"))
-                ones = (np.uint64(1) << places.astype(np.uint64)).tolist()
-                value = fp & 0xFFFFFFFFFFFFFFFF
-                flips = [(sum(c), r) for r in range(radius + 1) for c in itertools.combinations(ones, r)]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.array([value ^ f for f, _ in flips], np.uint64).view(np.int64)),
-                        pa.array(np.full(len(flips), root, np.int64)),
-                        pa.array(np.array([r <= close for _, r in flips])),
-                    ],
-                    names=["middle", "root", "close"],
-                )
-
-    # spread by fingerprint: the staged files are few and small, what is made from them is not
-    return members.repartition(F.col("fp")).mapInArrow(run, "middle long, root long, close boolean")
 
+def _split(members: DataFrame, bits: int) -> DataFrame:
+    """Members (id, fp, root, free) under every choice of parts left open; a bucket agrees on all other bits."""
 
-def _star(middles: DataFrame) -> DataFrame:
-    """One star per middle value: its close member of least root, linked to every other root there.
-
-    Geometry bounds a group: only so many fingerprints lie within a few bits of one value.
-    """
-    star = middles.groupBy("middle").agg(
-        F.min(F.when(F.col("close"), F.col("root"))).alias("a"), F.collect_set("root").alias("all")
-    ).filter(F.col("a").isNotNull() & (F.size("all") > 1))
-    return star.select("a", F.explode("all").alias("b")).filter("a <> b").distinct()
-
-
-def _stars(members: DataFrame, bits: int) -> DataFrame:
-    """Links among members (fp, mask of the bits in which their bucket varies).
+    def run(batches):
+        for batch in batches:
+            values, free = (batch.column(c).to_numpy().view(np.uint64) for c in ("fp", "free"))
+            for mask in np.unique(free):
+                rows = np.flatnonzero(free == mask)
+                for choice, left in enumerate(_open_masks(int(mask), bits)):
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            batch.column("id").take(pa.array(rows)),
+                            pa.array(np.full(len(rows), choice, np.int32)),
+                            pa.array((values[rows] & ~np.uint64(left)).view(np.int64)),
+                            pa.array(values[rows].view(np.int64)),
+                            batch.column("root").take(pa.array(rows)),
+                        ],
+                        names=["id", "choice", "value", "fp", "root"],
+                    )
 
-    Stars of half the distance come first; their components shrink to one root each, so
-    the stars of the full distance carry the few links between components that are left.
+    found = members.mapInArrow(run, "id long, choice int, value long, fp long, root long")
+    return found.select(F.xxhash64("id", "choice", "value").alias("id"), "fp", "root")
+
+
+def _dense(members: DataFrame, bits: int) -> DataFrame:
+    """Links among the members (fp, mask) of crowded buckets, as edges between fingerprints already linked."""
+    empty = members.select(F.col("fp").alias("a"), F.col("fp").alias("b")).limit(0)
+    if not bits:
+        return empty
+    known = stage(members.groupBy("fp").agg(F.bit_or("mask").alias("mask")), "crowded")
+    free = known.agg(F.bit_or("mask")).first()[0]
+    if free is None:
+        return empty
+    roots = known.select("fp", F.col("fp").alias("root"))
+    work = roots.withColumns({"id": F.lit(0).cast("long"), "free": F.lit(free).cast("long")})
+    found = empty
+    paired = empty
+    while True:  # the bits that vary in a bucket halve every time
+        entries = stage(_split(work.select("id", "fp", "root", "free"), bits), "split")
+        several = F.min("root") != F.max("root")
+        stats = stage(
+            entries.groupBy("id").agg(
+                F.count("*").alias("n"), several.alias("several"), F.bit_or("fp").alias("any"), F.bit_and("fp").alias("all"),
+                *[F.min_by("fp", F.xxhash64("fp", F.lit(k))).alias(f"some{k}") for k in range(3)],
+            ).filter("several"),
+            "split-buckets",
+        )
+        centred = stage(_centred(entries, stats, bits), "edges")
+        # what is linked now is one, with what was paired before
+        merged = components(centred.union(paired)).withColumnsRenamed({"node": "old", "root": "new"})
+        roots = stage(
+            roots.join(merged, F.col("root") == F.col("old"), "left").select("fp", F.coalesce("new", "root").alias("root")), "roots"
+        )
+        now = entries.select("id", "fp").join(stats.select("id"), "id").join(roots, "fp")
+        sizes = now.groupBy("id").agg(F.mode("root", deterministic=True).alias("main"), F.count("*").alias("n"), several.alias("several"))
+        sizes = sizes.filter("several").drop("several")
+        now = stage(now.join(sizes, "id"), "apart")
+        others = now.filter(F.col("root") != F.col("main")).groupBy("id").agg((F.count("*") * F.any_value("n")).alias("work"))
+        heavy = others.filter(F.col("work") > COMPARED).join(stats.select("id", F.expr("any & ~all").alias("free")), "id")
+        paired = stage(_paired(now.join(heavy.select("id"), "id", "left_anti"), bits), "edges")
+        found = found.union(centred).union(paired)
+        work = stage(now.join(heavy.select("id", "free"), "id"), "split-again")
+        if work.isEmpty():
+            return found
+
+
+def _centred(entries: DataFrame, stats: DataFrame, bits: int) -> DataFrame:
+    """Edges from the member nearest the centre of a bucket to the others within ``bits`` of it.
+
+    The centre is the majority of three members picked by hash; which one it is decides how
+    many are linked now, not whether they are in the end.
     """
-    masks = stage(members.groupBy("fp").agg(F.bit_or("mask").alias("mask")), "crowded")
-    if masks.isEmpty():
-        return masks.select(F.col("fp").alias("a"), F.col("fp").alias("b"))
-    half = bits // 2
-    near = stage(_star(_middles(masks.withColumn("root", F.col("fp")), half, half)), "near-links")
-    roots = components(near)
-    labelled = masks.join(roots, masks["fp"] == roots["node"], "left").select("fp", "mask", F.coalesce("root", "fp").alias("root"))
-    return near.union(_star(_middles(labelled, bits - half, half)))
+    centre = F.expr("(some0 & some1) | (some0 & some2) | (some1 & some2)")
+    members = entries.join(stats.select("id", centre.alias("centre")), "id")
+    off = F.bit_count(F.col("fp").bitwiseXOR(F.col("centre")))
+    pivots = members.groupBy("id").agg(F.min(F.struct(off.alias("off"), "fp", "root")).alias("pivot"))
+    near = members.join(pivots, "id").filter(F.bit_count(F.col("fp").bitwiseXOR(F.col("pivot.fp"))) <= bits)
+    edges = near.select(F.least("root", "pivot.root").alias("a"), F.greatest("root", "pivot.root").alias("b"))
+    return edges.filter("a <> b").distinct()
+
+
+def _paired(now: DataFrame, bits: int) -> DataFrame:
+    """Edges between roots within ``bits`` in a bucket (id, fp, root, main): all that are not of
+    its main root against all that are, and against one another."""
+    other = now.filter(F.col("root") != F.col("main")).select("id", F.col("fp").alias("fp2"), F.col("root").alias("root2"))
+    near = now.join(other, "id").filter(
+        (F.col("root") != F.col("root2")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("fp2"))) <= bits)
+    )
+    return near.select(F.least("root", "root2").alias("a"), F.greatest("root", "root2").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, bits: int = BITS, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
@@ -299,15 +350,19 @@ def near_duplicates(docs: DataFrame, bits: int = BITS, shingle: int = SHINGLE, s
 
 
 def deduplicate(docs: DataFrame, bits: int = BITS, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """The rows of ``docs`` with one document left of each component, columns as they were."""
-    kept = near_duplicates(docs, bits, shingle, seed).filter("keep").select(*KEY).distinct()
+    """The rows of ``docs`` with one document left of each component, columns as they were.
+
+    Rows that go are named by their key, and rows of a repeated key are thinned out apart, so
+    texts are shuffled only where those keys are too many to broadcast.
+    """
+    found = near_duplicates(docs, bits, shingle, seed)
+    keys = found.groupBy(*KEY).agg(F.any_value("keep").alias("keep"), F.count("*").alias("n"))
+    odd = stage(keys.filter(~F.col("keep") | (F.col("n") > 1)), "not-kept-once").toDF("_id", "_1", "_2", "_keep", "_n")
     h1, h2, rank = unused(docs, "_h1", "_h2", "_rank")
     keyed = docs.withColumns(dict(zip((h1, h2), text_key())))
-    kept = kept.toDF("_kept_id", "_kept_1", "_kept_2")
-    on = (
-        keyed["doc_id"].cast("long").eqNullSafe(kept["_kept_id"])
-        & (keyed[h1] == kept["_kept_1"]) & (keyed[h2] == kept["_kept_2"])
-    )
-    left = keyed.join(kept, on, "left_semi")
+    on = keyed["doc_id"].cast("long").eqNullSafe(odd["_id"]) & (keyed[h1] == odd["_1"]) & (keyed[h2] == odd["_2"])
+    once = keyed.join(odd, on, "left_anti").select(*docs.columns)
+    repeated = keyed.join(odd.filter("_keep"), on, "left_semi")
     window = Window.partitionBy("doc_id", h1, h2).orderBy(h1)
-    return left.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) == 1).select(*[left[c] for c in docs.columns])
+    first = repeated.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) == 1)
+    return once.union(first.select(*docs.columns))

@@ -75,6 +75,17 @@ def test_links_connect_what_brute_force_connects(spark):
         assert {v: found.get(v, v) for v in expected} == expected
 
 
+def scattered_group(rng, n, flips, places=64):
+    """Around one value, each some flips away in any of the places."""
+    base, group = rng.getrandbits(64), set()
+    while len(group) < n:
+        value = base
+        for b in rng.sample(range(places), rng.randint(0, flips)):
+            value ^= 1 << b
+        group.add(value)
+    return group
+
+
 def test_crowded_buckets_list_no_pairs(spark):
     rng = random.Random(3)
     group = near_group(rng, 1400)
@@ -84,6 +95,38 @@ def test_crowded_buckets_list_no_pairs(spark):
     assert links < 20 * len(group) < pairs / 3
 
 
+def test_dense_groups_equal_brute_force(spark, monkeypatch):
+    rng = random.Random(11)
+    for bits, compared in ((1, 100), (2, 1 << 24), (3, 1 << 24), (3, 2000)):
+        monkeypatch.setattr(simhash, "COMPARED", compared)
+        values = scattered_group(rng, 300, 8) | scattered_group(rng, 200, 5, 20) | scattered_group(rng, 80, 3, 8)
+        whole = spark.createDataFrame([(signed(v), -1) for v in sorted(values)], "fp long, mask long")
+        expected = reachable({signed(v) for v in values}, lambda a, b: ((a ^ b) & (1 << 64) - 1).bit_count() <= bits)
+        found = {r.node: r.root for r in components(simhash._dense(whole, bits)).collect()}
+        assert {v: found.get(v, v) for v in expected} == expected
+
+
+def test_splitting_makes_rows_in_proportion(spark):
+    """Rows out of the Python stage: a bounded number for each crowded fingerprint."""
+    rng = random.Random(5)
+    for n in (200, 1000):
+        group = scattered_group(rng, n, 9, 50)
+        made = 0
+        split = simhash._split
+
+        def counted(members, bits):
+            nonlocal made
+            made += members.count() * 56
+            return split(members, bits)
+
+        simhash._split = counted
+        try:
+            simhash._dense(spark.createDataFrame([(signed(v), -1) for v in sorted(group)], "fp long, mask long"), 3).count()
+        finally:
+            simhash._split = split
+        assert made <= 80 * n
+
+
 def test_components_of_a_chain(spark):
     chain = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(7, 7), (60, 61), (61, 60)], "a long, b long")
     found = {r.node: r.root for r in components(chain).collect()}
