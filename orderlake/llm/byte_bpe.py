@@ -19,21 +19,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType, StructType
 from tokenizers import Regex, Tokenizer, models, pre_tokenizers
 
-from orderlake.llm.chunks import PieceEncoder, binaries, expand
+from orderlake.llm.chunks import PieceEncoder, binaries, byte_characters, expand
 from orderlake.llm.common import blocks, ready, unused
 
 
-def byte_characters() -> list[str]:
-    """The printable character that stands for each byte."""
-    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    table, extra = {b: chr(b) for b in shown}, 256
-    for b in range(256):
-        if b not in table:
-            table[b] = chr(extra)
-            extra += 1
-    return [table[b] for b in range(256)]
-
-
 def read_ranks(content: bytes) -> dict[bytes, int]:
     return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in content.splitlines() if line)}
 

@@ -16,13 +16,31 @@ import pyarrow.compute as pc
 import regex
 from tokenizers import Tokenizer
 
-CACHED = 400_000  # pieces remembered by a process; the memory is emptied beyond
+CACHED = 500_000  # pieces remembered by a process; the memory is emptied beyond
 # Letters, perhaps behind a space, and signs after them are always split from each other.
 _TAILED = regex.compile(r"( ?[A-Za-z]+)([.,;:!?]+)")
+_ENDS = r"([a-z])([.,;:!?]+(?:[\x09-\x0d ]|$))"
 _LETTERS = regex.compile(r" ?[A-Za-z]+")
+# Small letters of Latin-1 are one composed character each, which lower-casing leaves as it is.
+_SMALL = regex.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
 _SPACE_FIRST, _SPACE_LAST = regex.compile(r"^\s"), regex.compile(r"\s$")
 
 
+def byte_characters() -> list[str]:
+    """The printable character that stands for each byte in byte-level BPE."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    table, extra = {b: chr(b) for b in shown}, 256
+    for b in range(256):
+        if b not in table:
+            table[b] = chr(extra)
+            extra += 1
+    return [table[b] for b in range(256)]
+
+
+_CHARACTERS = byte_characters()
+_SHOWN = {c: "".join(_CHARACTERS[b] for b in chr(c).encode()) for c in range(0xDF, 0x100)}
+
+
 def expand(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Indices start, start + 1, ... of each stretch, one after another."""
     ends = np.cumsum(lengths)
@@ -39,10 +57,10 @@ def binaries(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
 class PieceEncoder:
     """``keep_space``: cut before a single space between two non-spaces, which then leads
     its piece (byte-level splitting); else the tokenizer lower-cases and pieces are cut at
-    ASCII white space, which is dropped.
+    ASCII white space, which is dropped, and between letters and signs at a word's end.
 
-    ASCII letters pass the tokenizer's normalizing and splitting unchanged, so they go to
-    its model at once.
+    Letters that the tokenizer's normalizing and splitting leave unchanged go to its model
+    at once: ASCII ones, and in small letters those of Latin-1 in the model's byte characters.
     """
 
     def __init__(self, tokenizer: Tokenizer, keep_space: bool):
@@ -56,18 +74,36 @@ class PieceEncoder:
         if len(self.known) + len(missing) > CACHED:
             self.known.clear()
             missing = pieces
+        if self.keep_space:
+            self._learn_led(missing)
+        else:
+            self._learn_words(missing)
+        return [self.known[p] for p in pieces]
+
+    def _learn_words(self, missing: list[str]) -> None:
+        """Words in ASCII small letters and whatever else."""
+        plain, shown, others = [], [], []
+        for word in missing:
+            if _SMALL.fullmatch(word):
+                plain.append(word)
+                shown.append(word if word.isascii() else word.translate(_SHOWN))
+            else:
+                others.append(word)
+        self._encode(self.model, plain, shown)
+        self._encode(self.tokenizer, others, others)
+
+    def _learn_led(self, missing: list[str]) -> None:
+        """Pieces that may be led by a space."""
         tailed = {p: m.groups() for p in missing if (m := _TAILED.fullmatch(p))}
         parts = [a for p in missing for a in tailed.get(p, (p,))]
         new = [a for a in dict.fromkeys(parts) if a not in self.known]
         letters = [a for a in new if _LETTERS.fullmatch(a)]
         plain = set(letters)
-        shown = [a.replace(" ", "\u0120") for a in letters] if self.keep_space else [a.lower() for a in letters]
-        self._encode(self.model, letters, shown)
+        self._encode(self.model, letters, [a.replace(" ", "\u0120") for a in letters])
         others = [a for a in new if a not in plain]
         self._encode(self.tokenizer, others, others)
         for piece, (core, tail) in tailed.items():
             self.known[piece] = self.known[core] + self.known[tail]
-        return [self.known[p] for p in pieces]
 
     def _encode(self, tokenizer: Tokenizer, pieces: list[str], shown: list[str]) -> None:
         for start in range(0, len(pieces), 20_000):
@@ -78,7 +114,11 @@ class PieceEncoder:
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and the place where each text starts, plus the end. Null is empty."""
         texts = pc.fill_null(texts.cast(pa.string()), "")
-        lists = pc.split_pattern(texts, " ") if self.keep_space else pc.ascii_split_whitespace(texts)
+        if self.keep_space:
+            lists = pc.split_pattern(texts, " ")
+        else:
+            # fewer distinct pieces: no capitals, no signs behind letters
+            lists = pc.ascii_split_whitespace(pc.replace_substring_regex(pc.ascii_lower(texts), _ENDS, r"\1 \2"))
         bounds = lists.offsets.to_numpy().astype(np.int64)
         coded = lists.flatten().dictionary_encode()
         codes, words = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()

@@ -5,7 +5,7 @@ of those eight bytes, the payload, the masked checksum of the payload; all integ
 little-endian, checksums CRC-32C, rotated right by 15 bits plus a constant as usual for
 such files. The payload is one document's ids as unsigned 16-bit integers where the
 vocabulary allows, else 32-bit. Shards follow each other in ascending doc_id order, rows
-without id first, ties by text. Beside them lies an index table with shard, offset, bytes
+without id first, ties by the text's hash, then the text. Beside them lies an index table with shard, offset, bytes
 and the number of ids before each record.
 
 Each task writes its shard under a name of its own attempt and renames it, so a repeated
@@ -14,6 +14,7 @@ task replaces the file by an equal one. Null texts count as empty.
 
 from __future__ import annotations
 
+import math
 import os
 import struct
 import uuid
@@ -32,6 +33,7 @@ from orderlake.llm.common import blocks, new_folder, ready
 
 MASK = 0xA282EAD8
 HEADER = struct.Struct("<QI")
+SHARD_BYTES = 12 << 20  # of text in a shard, about
 _LANE = 512
 _ROOM = 64 << 20  # bytes of payload checked at a time, about
 
@@ -158,7 +160,11 @@ def write(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int, shards
         content = file.read()
     wide = max(end_id + 1, Tokenizer.from_buffer(content).get_vocab_size()) > 1 << 16
     shared = spark.sparkContext.broadcast(content)  # a vocabulary, of fixed size
-    count = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    count = shards
+    if not count:
+        size = rows.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
+        count = max(1, math.ceil(size / SHARD_BYTES))
     base, path = _opened(folder)
     base.create_dir(path)
 
@@ -188,8 +194,9 @@ def write(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int, shards
                 at, position = at + int(sizes.sum()), position + len(made)
         system.move(temporary, f"{root}/{shard:06d}.records")
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    ordered = rows.repartitionByRange(count, "doc_id").sortWithinPartitions("doc_id", "text")
+    # rows of one id, or without one, are told apart by their text, so they spread over shards too
+    ordered = rows.withColumn("h", F.xxhash64("text")).repartitionByRange(count, "doc_id", "h")
+    ordered = ordered.sortWithinPartitions("doc_id", "h", "text").select("doc_id", "text")
     listed = ordered.mapInArrow(run, "doc_id long, shard int, position long, offset long, bytes long, n_tokens long")
     listed.write.parquet(f"{folder}/written")
     listed = spark.read.parquet(f"{folder}/written")
