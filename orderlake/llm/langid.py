@@ -26,7 +26,8 @@ from pyspark.sql.types import StructType
 from orderlake.llm.common import blocks, ready, unused
 
 SAMPLES = 256  # labelled texts sampled per language
-SAMPLE_CHARS = 500  # and characters taken of each: the documented bound of the training sample
+SAMPLE_CHARS = 500  # and characters of letters and spaces taken of each, at a place by its hash
+LANGUAGES = 1000  # languages learned, those of most rows: with the two above the bound of the training sample
 PIECE = 1024  # bytes
 SHORT = 200  # bytes: a shorter text is compressed behind a stretch of the dictionary, see Classifier
 LEVEL = 3
@@ -50,15 +51,23 @@ def held_out(doc_id: str = "doc_id", folds: int = 4, fold: int = 2) -> Column:
 def learn(docs: DataFrame) -> dict[str, bytes]:
     """Dictionary content by language from rows with text and lang.
 
-    Every language gives ``SAMPLES`` texts, each the least by hash of its share of the
-    rows, so map tasks pre-aggregate and the sample does not depend on row order.
+    Every language gives ``SAMPLES`` texts, each the least by hash of its share of the rows
+    with a letter anywhere, so map tasks pre-aggregate and the sample does not depend on row
+    order. Whole texts are sampled; a stretch is taken of what is left of each when everything
+    but letters is a space, so numbers and signs in front leave nothing out.
     """
     h = F.xxhash64(F.lit(11), "text")
-    rows = docs.select("lang", F.pmod(h, F.lit(SAMPLES)).alias("share"), h.alias("h"), F.substring("text", 1, SAMPLE_CHARS).alias("t"))
+    rows = docs.select("lang", "text", F.pmod(h, F.lit(SAMPLES)).alias("share"), h.alias("h")).filter(
+        "lang is not null and text rlike '\\\\p{L}'"
+    )
+    sampled = rows.groupBy("lang", "share").agg(F.min(F.struct("h", "text")).alias("one"), F.count("*").alias("n"))
+    most = sampled.groupBy("lang").agg(F.sum("n").alias("rows")).orderBy(F.desc("rows"), "lang").limit(LANGUAGES)
+    spaced = F.trim(F.regexp_replace("one.text", "[^\\p{L}\\p{M}]+", " "))
+    places = F.greatest(F.length("spaced") - SAMPLE_CHARS, F.lit(0)) + 1
+    stretch = F.substring(F.col("spaced"), (F.pmod("one.h", places) + 1).cast("int"), F.lit(SAMPLE_CHARS))
     picked = (
-        rows.filter("lang is not null and t rlike '\\\\p{L}'")
-        .groupBy("lang", "share").agg(F.min(F.struct("h", "t")).alias("one"))
-        .select("lang", "share", "one.t").collect()  # bounded per language by the sample
+        sampled.join(most, "lang", "left_semi").withColumn("spaced", spaced)
+        .select("lang", "share", stretch.alias("t")).collect()  # bounded by the sample
     )
     content: dict[str, list[str]] = {}
     for row in sorted(picked):
