@@ -5,7 +5,7 @@ of those eight bytes, the payload, the masked checksum of the payload; all integ
 little-endian, checksums CRC-32C, rotated right by 15 bits plus a constant as usual for
 such files. The payload is one document's ids as unsigned 16-bit integers where the
 vocabulary allows, else 32-bit. Shards follow each other in ascending doc_id order, rows
-without id first, ties by the text's hash, then the text. Beside them lies an index table with shard, offset, bytes
+without id first, ties by text. Beside them lies an index table with shard, offset, bytes
 and the number of ids before each record.
 
 Each task writes its shard under a name of its own attempt and renames it, so a repeated
@@ -194,9 +194,9 @@ def write(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int, shards
                 at, position = at + int(sizes.sum()), position + len(made)
         system.move(temporary, f"{root}/{shard:06d}.records")
 
-    # rows of one id, or without one, are told apart by their text, so they spread over shards too
-    ordered = rows.withColumn("h", F.xxhash64("text")).repartitionByRange(count, "doc_id", "h")
-    ordered = ordered.sortWithinPartitions("doc_id", "h", "text").select("doc_id", "text")
+    # rows of one id, or without one, spread over shards by the beginning of their text, in its order
+    ordered = rows.withColumn("head", F.substring("text", 1, 100)).repartitionByRange(count, "doc_id", "head")
+    ordered = ordered.drop("head").sortWithinPartitions("doc_id", "text")
     listed = ordered.mapInArrow(run, "doc_id long, shard int, position long, offset long, bytes long, n_tokens long")
     listed.write.parquet(f"{folder}/written")
     listed = spark.read.parquet(f"{folder}/written")
