@@ -272,10 +272,8 @@ def _dense(members: DataFrame, bits: int) -> DataFrame:
     free = known.agg(F.bit_or("mask")).first()[0]
     if free is None:
         return empty
-    roots = known.select("fp", F.col("fp").alias("root"))
-    work = roots.withColumns({"id": F.lit(0).cast("long"), "free": F.lit(free).cast("long")})
+    work = known.select(F.lit(0).cast("long").alias("id"), "fp", F.col("fp").alias("root"), F.lit(free).cast("long").alias("free"))
     found = empty
-    paired = empty
     while True:  # the bits that vary in a bucket halve every time
         entries = stage(_split(work.select("id", "fp", "root", "free"), bits), "split")
         several = F.min("root") != F.max("root")
@@ -287,26 +285,24 @@ def _dense(members: DataFrame, bits: int) -> DataFrame:
             "split-buckets",
         )
         centred = stage(_centred(entries, stats, bits), "edges")
-        # what is linked now is one, with what was paired before
-        merged = components(centred.union(paired)).withColumnsRenamed({"node": "old", "root": "new"})
-        roots = stage(
-            roots.join(merged, F.col("root") == F.col("old"), "left").select("fp", F.coalesce("new", "root").alias("root")), "roots"
-        )
-        now = entries.select("id", "fp").join(stats.select("id"), "id").join(roots, "fp")
+        # two steps toward the least centre; what is linked and not named alike yet is only compared more
+        hub = centred.groupBy(F.col("a").alias("root")).agg(F.min("b").alias("hub"))
+        hubs = hub.join(hub.toDF("hub", "next"), "hub", "left").select("root", F.coalesce("next", "hub").alias("hub"))
+        now = entries.join(stats.select("id"), "id").join(hubs, "root", "left").select("id", "fp", F.coalesce("hub", "root").alias("root"))
+        now = stage(now, "members")
         sizes = now.groupBy("id").agg(F.mode("root", deterministic=True).alias("main"), F.count("*").alias("n"), several.alias("several"))
-        sizes = sizes.filter("several").drop("several")
-        now = stage(now.join(sizes, "id"), "apart")
+        now = now.join(sizes.filter("several").drop("several"), "id")
         others = now.filter(F.col("root") != F.col("main")).groupBy("id").agg((F.count("*") * F.any_value("n")).alias("work"))
         heavy = others.filter(F.col("work") > COMPARED).join(stats.select("id", F.expr("any & ~all").alias("free")), "id")
         paired = stage(_paired(now.join(heavy.select("id"), "id", "left_anti"), bits), "edges")
-        found = found.union(centred).union(paired)
+        found = found.union(centred.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).union(paired)
         work = stage(now.join(heavy.select("id", "free"), "id"), "split-again")
         if work.isEmpty():
             return found
 
 
 def _centred(entries: DataFrame, stats: DataFrame, bits: int) -> DataFrame:
-    """Edges from the member nearest the centre of a bucket to the others within ``bits`` of it.
+    """Edges to the member nearest the centre of a bucket from all within ``bits`` of it, itself included.
 
     The centre is the majority of three members picked by hash; which one it is decides how
     many are linked now, not whether they are in the end.
@@ -316,8 +312,7 @@ def _centred(entries: DataFrame, stats: DataFrame, bits: int) -> DataFrame:
     off = F.bit_count(F.col("fp").bitwiseXOR(F.col("centre")))
     pivots = members.groupBy("id").agg(F.min(F.struct(off.alias("off"), "fp", "root")).alias("pivot"))
     near = members.join(pivots, "id").filter(F.bit_count(F.col("fp").bitwiseXOR(F.col("pivot.fp"))) <= bits)
-    edges = near.select(F.least("root", "pivot.root").alias("a"), F.greatest("root", "pivot.root").alias("b"))
-    return edges.filter("a <> b").distinct()
+    return near.select(F.col("root").alias("a"), F.col("pivot.root").alias("b")).distinct()
 
 
 def _paired(now: DataFrame, bits: int) -> DataFrame:
