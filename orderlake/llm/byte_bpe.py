@@ -23,6 +23,9 @@ from orderlake.llm.chunks import PieceEncoder, binaries, byte_characters, expand
 from orderlake.llm.common import blocks, ready, unused
 
 
+BLOCK_BYTES = 4 << 20
+
+
 def read_ranks(content: bytes) -> dict[bytes, int]:
     return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in content.splitlines() if line)}
 
@@ -100,7 +103,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, keep: list[str] | Non
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         use = codec(shared.value, pattern)
-        for block in blocks(batches, text):
+        for block in blocks(batches, text, BLOCK_BYTES):
             ids, bounds = use.encode(block.column(text))
             n_bytes = np.concatenate(([0], np.cumsum(use.lengths[ids])))
             made = [
@@ -114,5 +117,6 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, keep: list[str] | Non
             yield pa.RecordBatch.from_arrays(
                 [block.column(c) for c in block.schema.names if c != text] + made, names=schema.names
             )
+        use.encoder.known.clear()  # the process goes on and other stages need the memory
 
     return rows.mapInArrow(run, schema)

@@ -16,7 +16,8 @@ import pyarrow.compute as pc
 import regex
 from tokenizers import Tokenizer
 
-CACHED = 500_000  # pieces remembered by a process; the memory is emptied beyond
+CACHED = 500_000  # words remembered by a process; the memory is emptied beyond
+CACHED_LED = 150_000  # and pieces that may be led by a space, which are longer
 # Letters, perhaps behind a space, and signs after them are always split from each other.
 _TAILED = regex.compile(r"( ?[A-Za-z]+)([.,;:!?]+)")
 _ENDS = r"([a-z])([.,;:!?]+(?:[\x09-\x0d ]|$))"
@@ -71,7 +72,7 @@ class PieceEncoder:
 
     def _ids(self, pieces: list[str]) -> list[bytes]:
         missing = [p for p in pieces if p not in self.known]
-        if len(self.known) + len(missing) > CACHED:
+        if len(self.known) + len(missing) > (CACHED_LED if self.keep_space else CACHED):
             self.known.clear()
             missing = pieces
         if self.keep_space:

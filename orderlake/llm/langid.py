@@ -60,15 +60,16 @@ def learn(docs: DataFrame) -> dict[str, bytes]:
     rows = docs.select("lang", "text", F.pmod(h, F.lit(SAMPLES)).alias("share"), h.alias("h")).filter(
         "lang is not null and text rlike '\\\\p{L}'"
     )
-    sampled = rows.groupBy("lang", "share").agg(F.min(F.struct("h", "text")).alias("one"), F.count("*").alias("n"))
+    # hashes alone are aggregated; the few texts they name are read again
+    sampled = rows.groupBy("lang", "share").agg(F.min("h").alias("h"), F.count("*").alias("n"))
     most = sampled.groupBy("lang").agg(F.sum("n").alias("rows")).orderBy(F.desc("rows"), "lang").limit(LANGUAGES)
-    spaced = F.trim(F.regexp_replace("one.text", "[^\\p{L}\\p{M}]+", " "))
+    chosen = sampled.join(most, "lang", "left_semi").select("lang", "h")
+    named = rows.select("lang", "share", "text", "h").join(F.broadcast(chosen), ["lang", "h"])  # SAMPLES * LANGUAGES rows at most
+    spaced = F.trim(F.regexp_replace("text", "[^\\p{L}\\p{M}]+", " "))
     places = F.greatest(F.length("spaced") - SAMPLE_CHARS, F.lit(0)) + 1
-    stretch = F.substring(F.col("spaced"), (F.pmod("one.h", places) + 1).cast("int"), F.lit(SAMPLE_CHARS))
-    picked = (
-        sampled.join(most, "lang", "left_semi").withColumn("spaced", spaced)
-        .select("lang", "share", stretch.alias("t")).collect()  # bounded by the sample
-    )
+    stretch = F.substring(F.col("spaced"), (F.pmod("h", places) + 1).cast("int"), F.lit(SAMPLE_CHARS))
+    one = named.groupBy("lang", "share").agg(F.min(F.struct("h", "text")).alias("one")).select("lang", "share", "one.*")
+    picked = one.withColumn("spaced", spaced).select("lang", "share", stretch.alias("t")).collect()  # bounded by the sample
     content: dict[str, list[str]] = {}
     for row in sorted(picked):
         content.setdefault(row.lang, []).append(row.t)
