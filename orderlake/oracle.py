@@ -281,8 +281,13 @@ def _names(*checks: tuple[str, str]) -> str:
 # A sum in units of 2^-64, in which a double of 2^-11 or more is a whole number: plain sums of
 # whole numbers, rounded once at the end.
 _TWO_64 = "18446744073709551616"
-_MONEY = f"""(cast(sum(cast(trunc({{0}}) as hugeint)) * {_TWO_64}
-         + sum(cast(({{0}} - trunc({{0}})) * {_TWO_64}::double as hugeint)) as double) / {_TWO_64}::double)"""
+_UNITS = f"""(sum(cast(trunc({{0}}) as hugeint)) * {_TWO_64}
+         + sum(cast(({{0}} - trunc({{0}})) * {_TWO_64}::double as hugeint)))"""
+# Whole part, 32 bits and 32 more bits, each exact as a double, added so that one rounding is left.
+_WHOLE = f"cast({_UNITS} // {_TWO_64} as double)"
+_UPPER = f"(cast({_UNITS} % {_TWO_64} // 4294967296 as double) / 4294967296::double)"
+_LOWER = f"(cast({_UNITS} % 4294967296 as double) / {_TWO_64}::double)"
+_MONEY = f"(({_WHOLE} + {_UPPER}) + (({_UPPER} - (({_WHOLE} + {_UPPER}) - {_WHOLE})) + {_LOWER}))"
 _ROUNDED = f"cast(round(cast({_MONEY} as decimal(38,6)), 2) as double)"
 _ITEM_ERRORS = _names(("CustomerKey_is_unique", "copies > 1"), ("price_must_be_positive", "not price > 0"))
 _FACT_ITEMS = """
