@@ -96,8 +96,8 @@ def test_every_pair_of_capitalised_words_is_offered(spark):
 
 
 def test_names_behind_a_capitalised_word_are_found(spark):
-    by_flag = {"person": -1.0, "given": 2.0, "named": 0.5}
-    model = pii.Model(tuple(by_flag.get(f, 0.0) for f in (*pii.EXTRA, "hex", "given", "assigned", "quoted", "named", "intercept")))
+    weights = {"intercept": -1.0, "listed+": 2.0, "words+": 0.5}
+    model = pii.Model({"person": tuple(weights.get(f, 0.0) for f in pii.FEATURES)})
     texts = [*NAMED, "the Big House of Red Brick Street"]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     found = pii.located(df).select("doc_id", pii.accepted(F.col("base"), F.col("extra"), model).alias("spans"))
@@ -120,7 +120,55 @@ def test_reliabilities_prefer_labelers_that_agree():
     assert post[0] > 0.5 > post[1]
     assert accuracy[0] > accuracy[2]
     assert pii.reliabilities([]) == ([], [])
-    assert pii.classifier([]) == []
+    assert pii.classifier([], [1.0, -2.0]) == [1.0, -2.0]
+
+
+def iban(country, digits):
+    check = 98 - int("".join(str(int(c, 36)) for c in f"{digits}{country}00")) % 97
+    return f"{country}{check:02d}{digits}"
+
+
+def mixed(rng):
+    return "".join(rng.choice("abcdefghijkm") + rng.choice("0123456789") for _ in range(20))
+
+
+REAL = [
+    ("national_id", "his ssn is 123-45-6789 now"), ("account", f"iban: {iban('DE', '370400440532013000')} and"), ("person", "met Mr John Smith there"),
+    ("secret", "password = zQ81kfHs02LmXw7Ptr5"), ("number", "member number: 4839201745 is"),
+]
+
+
+def test_each_kind_is_fitted_and_found(spark):
+    """True ones among as many and more that only look alike."""
+    rng = random.Random(3)
+    texts, kinds = [], []
+    for i in range(400):
+        n, d = rng.randint(1000, 9999), "".join(rng.choice("0123456789") for _ in range(18))
+        name = f"{rng.choice(pii.GIVEN_NAMES)} {rng.choice(['Miller', 'Ortega', 'Durand'])}"
+        real = [
+            ("national_id", f"with ssn {rng.randint(100, 600)}-{rng.randint(10, 99)}-{n} there"), ("account", f"to iban {iban('FR', d)} soon"),
+            ("person", f"we met Mrs {name} again"), ("secret", f'secret key = "{mixed(rng)}" end'), ("number", f"tax member: {n}{d[:5]} end"),
+        ]
+        other = [
+            f"part 000-{rng.randint(10, 99)}-{n} of", f"code QQ00{d} of", "so it is. The House of", f"aaaa11{n % 2}1aaaa11aaaa in",
+            f"counted {n}{d[:8]} of",
+        ]
+        texts += [t for _, t in real] * (i % 2) + other
+        kinds += [k for k, _ in real] * (i % 2) + [None] * len(other)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: [s.kind for s in r.spans if s.kind not in PATTERNS] for r in pii.detect(df).collect()}
+    assert [found[i] for i in range(len(texts))] == [[k] if k else [] for k in kinds]
+    # the model of this corpus, and that of one without any candidate
+    seen = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(REAL)], "doc_id long, text string")
+    for model in (pii.fit(pii.located(df)), pii.fitted({})):
+        spans = pii.located(seen).select("doc_id", pii.accepted(F.col("base"), F.col("extra"), model).alias("spans")).collect()
+        assert {r.doc_id: [s.kind for s in r.spans if s.kind not in PATTERNS] for r in spans} == {i: [k] for i, (k, _) in enumerate(REAL)}
+
+
+def test_account_check_digits(spark):
+    values = [iban("DE", "370400440532013000"), "GB82WEST12345698765432", "GB82WEST12345698765423", "DE00370400440532013000"]
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    assert [r[0] for r in df.select(pii._iban(F.col("v"))).collect()] == [True, True, False, False]
 
 
 def masked(text, spans):
