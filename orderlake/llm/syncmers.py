@@ -14,21 +14,24 @@ fingerprints.
 
 "Next" is the next row in descending doc_id, after the last the first; rows of equal id
 follow each other by text, rows without id come last. Rows are routed by ranges of ids
-from quantiles over all rows, and the first row that follows a range is routed to it too,
-so no task sees more than its ranges.
+from quantiles over all rows, an id that fills several ranges by the beginnings of its
+texts, and the first row that follows a range is routed to it too (of each batch the first
+one that may be it), so no task sees more than its ranges. Rows of one id that begin alike
+share a range, which is sorted with spilling and read in blocks.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlake.llm.common import blocks, ready
@@ -37,6 +40,10 @@ K = 16
 S = 6
 ANCHORS = 32  # shown of a fingerprint, beside the digest of all
 RANGE_BYTES = 8 << 20  # text routed to one range, about
+MAX_RANGES = 20_000  # beyond it ranges grow: bounds of all ranges go through the driver
+TASK_BYTES = 64 << 20  # text of a task, about
+HEAD = 100  # characters of a text that tell the ranges of one id apart
+_SAMPLED = 20  # beginnings looked at per range, to place the bounds within an id
 Print = np.ndarray | list  # rows (hash, place) ascending by hash; of an empty text []
 
 
@@ -133,26 +140,63 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
-def _ranges(rows: DataFrame) -> tuple[np.ndarray, dict[int, list[int]]]:
-    """Lower bounds of the id ranges, and for each id that ends the order's way into a range, those ranges."""
-    n_bytes = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(1, math.ceil(n_bytes / RANGE_BYTES))
+class Ranges:
+    """Bounds (id, beginning of text) of ranges in the order of rows: ids descending, then texts.
+
+    A range starts at its bound; what precedes all bounds is range 0.
+    """
+
+    def __init__(self, ids: list[int], heads: dict[int, list[str]]):
+        """``ids``: ranges start at the first row of each; ``heads``: and within these ids."""
+        self.heads = {i: [b"", *sorted({h.encode() for h in found if h})] for i, found in heads.items()}
+        self.ids = np.sort(np.array([i for i in set(ids) for _ in self.heads.get(i, [b""])], np.int64))
+        self.split = np.array(sorted(self.heads), np.int64)
+
+    def place(self, ids: np.ndarray, heads: pa.Array) -> np.ndarray:
+        part = len(self.ids) - np.searchsorted(self.ids, ids, side="left")
+        for i in np.flatnonzero(np.isin(ids, self.split)).tolist():
+            listed = self.heads[int(ids[i])]
+            part[i] += bisect_right(listed, heads[i].as_py().encode()) - len(listed)
+        return part
+
+
+def _ranges(rows: DataFrame, parts: int) -> Ranges:
     shares = [k / parts for k in range(1, parts)]
-    bounds = rows.agg(F.percentile_approx("id", shares, 10 * parts)).first()[0] if shares else []
-    bounds = np.unique(np.array(bounds or [], np.int64))
+    found = (rows.agg(F.percentile_approx("id", shares, 10 * parts)).first()[0] if shares else None) or []
+    often = {i: n for i, n in Counter(found).items() if n > 1}
+    heads: dict[int, list[str]] = {i: [] for i in often}
+    if often:
+        share = min(1.0, _SAMPLED * parts / rows.count())
+        within = rows.filter(F.col("id").isin(list(often))).sample(share, seed=1).select("id", F.substring("text", 1, HEAD).alias("head"))
+        sampled = defaultdict(list)
+        for r in within.collect():  # some 20 beginnings per range
+            sampled[r.id].append(r.head)
+        for i, listed in sampled.items():
+            listed.sort(key=str.encode)
+            heads[i] = [listed[len(listed) * k // often[i]] for k in range(1, often[i])]
+    return Ranges(found, heads)
+
+
+def _followers(rows: DataFrame, ranges: Ranges) -> dict[tuple[int, str], list[int]]:
+    """(id, beginning) of the first row of each range, with the ranges that it follows."""
 
     def place(batches):
         for batch in batches:
-            ids = batch.column(0)
-            part = np.searchsorted(bounds, ids.to_numpy(), side="right")
-            yield pa.RecordBatch.from_arrays([pa.array(part), ids], names=["part", "id"])
+            part = ranges.place(batch.column("id").to_numpy(), batch.column("head"))
+            yield pa.RecordBatch.from_arrays([pa.array(part), *batch.columns], names=["part", "id", "head"])
+
+    placed = rows.select("id", _head(ranges)).mapInArrow(place, "part long, id long, head string")
+    first = placed.groupBy("part").agg(F.min(F.struct(F.bitwise_not("id").alias("id"), "head")).alias("first"))
+    listed = sorted((r.part, ~r.first.id, r.first.head) for r in first.collect())  # one row per range
+    found: dict[tuple[int, str], list[int]] = {}
+    for (part, *_), (_, *key) in zip(listed, [*listed[1:], *listed[:1]]):
+        found.setdefault(tuple(key), []).append(part)
+    return found
 
-    tops = rows.select("id").mapInArrow(place, "part long, id long").groupBy("part").agg(F.max("id").alias("id"))
-    listed = sorted((r.part, r.id) for r in tops.collect())  # one row per range
-    guests: dict[int, list[int]] = {}
-    for (part, _), (_, top) in zip(listed, [listed[-1], *listed[:-1]] if listed else []):
-        guests.setdefault(top, []).append(part)
-    return bounds, guests
+
+def _head(ranges: Ranges) -> Column:
+    """Texts are read for their beginnings only where an id is split."""
+    return (F.substring("text", 1, HEAD) if len(ranges.split) else F.lit("")).alias("head")
 
 
 def compare(docs: DataFrame, k: int = K, s: int = S, size: int = ANCHORS) -> DataFrame:
@@ -166,16 +210,22 @@ def compare(docs: DataFrame, k: int = K, s: int = S, size: int = ANCHORS) -> Dat
     rows = docs.select(
         doc_id.alias("doc_id"), F.coalesce(doc_id, F.lit(-(1 << 63))).alias("id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     )
-    bounds, guests = _ranges(rows)
-    tops = np.array(sorted(guests), np.int64)
+    n_bytes = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    ranges = _ranges(rows, min(MAX_RANGES, max(1, math.ceil(n_bytes / RANGE_BYTES))))
+    followers = _followers(rows, ranges)
+    tops = np.array(sorted({i for i, _ in followers}), np.int64)
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column("id").to_numpy()
-            yield _routed(batch, np.searchsorted(bounds, ids, side="right"), 0)
-            twice = np.flatnonzero(np.isin(ids, tops))
-            if len(twice):
-                pairs = [(i, part) for i in twice.tolist() for part in guests[int(ids[i])]]
+            ids, heads, batch = batch.column("id").to_numpy(), batch.column("head"), batch.drop_columns(["head"])
+            yield _routed(batch, ranges.place(ids, heads), 0)
+            least: dict[tuple[int, str], tuple[bytes, int]] = {}
+            for i in np.flatnonzero(np.isin(ids, tops)).tolist():
+                key = (int(ids[i]), heads[i].as_py())
+                if key in followers:
+                    least[key] = min(least.get(key, (b"\xff", i)), (batch.column("text")[i].as_py().encode(), i))
+            pairs = [(i, part) for key, (_, i) in least.items() for part in followers[key]]
+            if pairs:
                 chosen = batch.take(pa.array([i for i, _ in pairs]))
                 yield _routed(chosen, np.array([part for _, part in pairs]), 1)
 
@@ -188,8 +238,9 @@ def compare(docs: DataFrame, k: int = K, s: int = S, size: int = ANCHORS) -> Dat
             held = block.slice(block.num_rows - 1)
             yield from _compared(block, k, s, size)
 
-    routed = rows.mapInArrow(route, "part long, guest int, doc_id long, id long, text string")
-    ordered = routed.repartition(F.col("part")).sortWithinPartitions("part", "guest", F.desc("id"), "text")
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(n_bytes / TASK_BYTES))
+    routed = rows.select("*", _head(ranges)).mapInArrow(route, "part long, guest int, doc_id long, id long, text string")
+    ordered = routed.repartition(tasks, F.col("part")).sortWithinPartitions("part", "guest", F.desc("id"), "text")
     return ordered.mapInArrow(
         run,
         "doc_id long, n_chars long, edited string, fingerprint string, edited_fingerprint string, near_edited double, near_next double",

@@ -134,3 +134,19 @@ def test_one_row_and_none(spark):
     found = syncmers.compare(spark.createDataFrame(one, "doc_id long, text string")).collect()
     assert [(str(r[0]), *r[1:]) for r in found] == expected(one)
     assert syncmers.compare(empty(spark)).collect() == []
+
+
+def test_one_id_fills_many_ranges(spark, monkeypatch):
+    """A third of the rows without id, a third under one id; each range takes its share."""
+    monkeypatch.setattr(syncmers, "RANGE_BYTES", 2000)
+    rng = random.Random(8)
+    ids = [None] * 200 + [7] * 200 + list(range(200))
+    rows = [(i, "".join(rng.choice("aé🙂d ") for _ in range(rng.randint(0, 60)))) for i in ids]
+    rows += [(None, "same"), (None, "same"), (7, "z" * 150 + "b"), (7, "z" * 150 + "a"), (7, None), (7, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert sorted((str(r[0]), *r[1:]) for r in syncmers.compare(df).collect()) == expected(rows)
+    plain = df.selectExpr("coalesce(doc_id, -9223372036854775808) as id", "coalesce(text, '') as text")
+    ranges = syncmers._ranges(plain, 20)
+    table = plain.select("id", syncmers._head(ranges)).toArrow()
+    sizes = np.bincount(ranges.place(table["id"].to_numpy(), table["head"]))
+    assert len(sizes) > 12 and sizes.max() < len(rows) / 6
