@@ -37,6 +37,7 @@ SHINGLE = 3
 SEED = 42
 CROWDED = 48  # home entries of a bucket beyond which it is split instead of paired; both are exact
 COMPARED = 1 << 24  # comparisons in a bucket beyond which it is split again; both are exact
+BUCKETS = 1 << 20  # places by text hash that tell rows surely to be kept from others
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 KEY = ["doc_id", "_h1", "_h2"]
 
@@ -347,17 +348,21 @@ def near_duplicates(docs: DataFrame, bits: int = BITS, shingle: int = SHINGLE, s
 def deduplicate(docs: DataFrame, bits: int = BITS, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
     """The rows of ``docs`` with one document left of each component, columns as they were.
 
-    Rows that go are named by their key, and rows of a repeated key are thinned out apart, so
-    texts are shuffled only where those keys are too many to broadcast.
+    Rows that go are named by their key, and rows of a repeated key are thinned out apart. Only
+    rows whose hash shares one of ``BUCKETS`` places with such a key are looked at, so the texts
+    of others are not shuffled; the places taken are broadcast, ``BUCKETS`` integers at most.
     """
     found = near_duplicates(docs, bits, shingle, seed)
     keys = found.groupBy(*KEY).agg(F.any_value("keep").alias("keep"), F.count("*").alias("n"))
     odd = stage(keys.filter(~F.col("keep") | (F.col("n") > 1)), "not-kept-once").toDF("_id", "_1", "_2", "_keep", "_n")
-    h1, h2, rank = unused(docs, "_h1", "_h2", "_rank")
+    h1, h2, rank, at = unused(docs, "_h1", "_h2", "_rank", "_place")
+    taken = F.broadcast(odd.select(F.pmod("_1", F.lit(BUCKETS)).cast("int").alias(at)).distinct())
+    place = F.pmod(text_key()[0], F.lit(BUCKETS)).cast("int") == F.col(at)
+    clear, docs = docs.join(taken, place, "left_anti"), docs.join(taken, place, "left_semi")
     keyed = docs.withColumns(dict(zip((h1, h2), text_key())))
     on = keyed["doc_id"].cast("long").eqNullSafe(odd["_id"]) & (keyed[h1] == odd["_1"]) & (keyed[h2] == odd["_2"])
     once = keyed.join(odd, on, "left_anti").select(*docs.columns)
     repeated = keyed.join(odd.filter("_keep"), on, "left_semi")
     window = Window.partitionBy("doc_id", h1, h2).orderBy(h1)
     first = repeated.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) == 1)
-    return once.union(first.select(*docs.columns))
+    return clear.union(once).union(first.select(*docs.columns))

@@ -1,8 +1,10 @@
 import random
 
+import pytest
 import xxhash
+from pyspark.sql import functions as F
 
-from orderlake.llm import simhash
+from orderlake.llm import common, simhash
 from orderlake.llm.components import components
 from tests.llm.cases import HARD, empty, hard, reachable, white_words
 
@@ -137,3 +139,15 @@ def test_thresholds_follow_the_costs():
     costs = [[1, 5, 9, 20], [50, 90, 99, 200], [2, 6, 30, 70]]
     assert simhash.thresholds(costs, 3)[0] in ([1, -1, 1], [2, -1, 0])
     assert simhash.thresholds(costs, 3)[1] == 11
+
+
+@pytest.mark.parametrize("buckets", [1, 7, simhash.BUCKETS])
+def test_what_stays_does_not_depend_on_the_places(spark, monkeypatch, buckets):
+    monkeypatch.setattr(simhash, "BUCKETS", buckets)
+    rows = [(i, f"plain words of text number {i % 40} and no other") for i in range(120)] * 2 + [(None, None), (None, None), (3, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("_place", F.lit("own"))
+    found = simhash.deduplicate(df)
+    kept = simhash.near_duplicates(df).filter("keep").select("doc_id", "_h1", "_h2").distinct()
+    assert found.columns == df.columns
+    left = found.select("doc_id", *common.text_key()).collect()
+    assert sorted(map(str, left)) == sorted(map(str, kept.collect()))
