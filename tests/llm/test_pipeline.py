@@ -104,6 +104,6 @@ def test_query_equals_its_sql(spark, sf_dir, name):
 
 def test_all_are_registered(spark, sf_dir):
     names = entry_points.queries()
-    assert "pipeline" in names and {n.split("_")[0] for n in queries.QUERIES} == {f"op{k}" for k in range(1, 11)}
+    assert "pipeline" in names and {n.split("_")[0] for n in queries.QUERIES} == {f"op{k}" for k in range(1, 14)}
     held = queries.op9_language_id(spark, sf_dir).filter("held_out").collect()
     assert all(zlib.crc32(str(r.doc_id).encode()) % 4 == 2 for r in held)
