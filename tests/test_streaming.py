@@ -389,6 +389,20 @@ def test_bucketed_orders_are_not_shuffled_for_their_child_facts(spark, stage, sf
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
 
 
+def test_buckets_of_derived_tables_follow_the_rows(spark, stage, sf_dir, monkeypatch):
+    from orderlake import registry
+
+    assert sinks.bucket_count(spark.range(10), spark.range(2_000_001)) == 9
+    monkeypatch.setattr(sinks, "ROWS_PER_BUCKET", 500)
+    made = registry.Stage(spark)
+    buckets = registry._silver_tables(spark, sf_dir, made)
+    lines = feeds.Tables(spark, sf_dir)["lineitem"].count()
+    assert buckets == -(-lines // 500) > 8
+    for name in ("orders", "order_items", "order_payments", "order_reviews"):
+        stored = spark.sql(f"DESCRIBE TABLE EXTENDED {made.table(name)}_p0").where("col_name = 'Num Buckets'").collect()
+        assert [row.data_type for row in stored] == [str(buckets)]
+
+
 def test_a_line_that_does_not_fit_is_quarantined_whole(spark, stage):
     header = "order_id,payment_sequential,payment_type,payment_installments,payment_value\n"
     stage.drop_file("in", "a.csv", header + "1,1,voucher,1,5.5\n2,1,voucher,1,a lot\n3,1,voucher,1,\n")
