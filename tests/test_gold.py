@@ -98,3 +98,23 @@ def test_payment_and_review_facts(spark):
     reviews = spark.createDataFrame([("r", "o1", 5, "t", "m", T1, None)], "review_id string, order_id string, review_score int, review_comment_title string, review_comment_message string, review_creation_ts timestamp, review_answer_ts timestamp")
     got = gold.fact_reviews(reviews, fact)
     assert rows(got, "purchase_date_key", "review_creation_date_key", "review_answer_date_key") == [(20240227, 20240227, None)]
+
+
+def test_shown_keys_are_looked_up_without_passes_over_the_lines(spark, sf_dir):
+    """Three lookups lie over the item table, by order, product and seller; the natural keys
+    behind the surrogates are found on the dimensions."""
+    from orderlake import registry
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in ("fact_order_items", "fact_order_items_one_per_place"):
+            plan = registry.QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString().splitlines()
+            depth = [next((i for i, c in enumerate(line) if c.isalpha()), 0) for line in plan]
+            at = next(n for n, line in enumerate(plan) if "Scan parquet" in line and "l_extendedprice" in line)
+            above, joins = depth[at], 0
+            for n in range(at, -1, -1):
+                if depth[n] < above:
+                    above, joins = depth[n], joins + ("Join" in plan[n])
+            assert joins == 3
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
