@@ -23,7 +23,7 @@ from orderlake.llm.chunks import PieceEncoder, binaries, byte_characters, expand
 from orderlake.llm.common import blocks, ready, unused
 
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 
 
 def read_ranks(content: bytes) -> dict[bytes, int]:

@@ -7,6 +7,7 @@ import pytest
 import tiktoken
 
 from orderlake.llm import byte_bpe, chunks
+from orderlake.llm.common import blocks
 from tests.llm.cases import HARD, empty, hard
 
 PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -60,3 +61,10 @@ def test_hard_rows(spark, reference):
         assert r.doc_id == doc_id and ids == reference.encode_ordinary(text or "") and r.n_tokens == len(ids)
         assert bytes(r.decoded) == (text or "").encode() and len(r.char_start) == len(ids)
     assert byte_bpe.encode(empty(spark), PATH, public_tokenizers.PATTERN).collect() == []
+
+
+def test_blocks_in_which_texts_are_encoded_stay_small():
+    """A worker takes some 50 bytes for each byte of text in a block (434 MB with blocks of 4 MB, 271 MB with 1 MB)."""
+    batch = pa.record_batch({"text": ["some words " * 2_000] * 300})
+    made = [block.column("text").nbytes for block in blocks([batch], "text", byte_bpe.BLOCK_BYTES)]
+    assert len(made) > 5 and max(made) < 1_200_000
