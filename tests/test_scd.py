@@ -255,3 +255,18 @@ def test_event_feed_as_two_batches(spark):
     merged = scd.apply(first, second, "k")
     assert merged.count() == 8202
     assert scd.active(merged).count() == scd.active(merged).select("k").distinct().count() == 150
+
+
+def test_merged_rows_come_from_one_join_and_split_into_both_parts(spark):
+    columns = "k string, v string, EffectiveFrom timestamp, EffectiveTo timestamp, IsActive boolean"
+    old, new = ts("2024-01-01"), ts("2024-02-01")
+    current = spark.createDataFrame(
+        [("a", "1", old, None, True), ("b", "1", old, None, True), (None, "1", old, None, True)], columns
+    )
+    incoming = spark.createDataFrame([("a", "2", new, None, True), ("c", "0", old, new, False)], columns)
+    merged = scd.merge_rows(current, incoming, "k")
+    assert merged._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1
+    closed, live = scd.merge_parts(current, incoming, "k")
+    assert rows(closed) == [("a", "1", old, new, False), ("c", "0", old, new, False)]
+    assert rows(live) == [(None, "1", old, None, True), ("a", "2", new, None, True), ("b", "1", old, None, True)]
+    assert rows(merged) == rows(closed.unionByName(live))
