@@ -315,6 +315,25 @@ def test_item_facts_from_bucketed_tables_shuffle_nothing_for_the_order_join(spar
     assert "Exchange hashpartitioning(product_id" in plan and "Exchange hashpartitioning(order_id" not in plan
 
 
+def test_tasks_hold_one_bucket_where_no_join_asks_for_it(spark, stage):
+    rows_of = spark.range(4000).selectExpr("cast(id as string) order_id", "id % 3 k")
+    sinks.write_table(rows_of, stage.table("items"), 16, "order_id")
+    names = spark.createDataFrame([(0, "a"), (1, "b")], "k long, name string")
+    keyed = spark.table(stage.table("items")).join(F.broadcast(names), "k", "left")
+    assert keyed.rdd.getNumPartitions() == 16
+    sinks.write_table(keyed, stage.table("fact"), 16, "order_id")
+    assert spark.table(stage.table("fact")).count() == 4000
+
+
+def test_short_rows_are_spread_over_tasks_by_number(spark, tmp_path, monkeypatch):
+    parts = spark.range(1000).selectExpr("id p_partkey", "'n' p_name", "'t' p_type", "cast(id % 50 as int) p_size")
+    parts.coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    monkeypatch.setattr(feeds, "ROWS_PER_TASK", 100)
+    raw = feeds.products_raw(feeds.Tables(spark, str(tmp_path)))
+    sizes = raw.where("_source_file = 'load_1'").groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in sizes) == 1000 and len(sizes) == 10 and max(r["count"] for r in sizes) < 200
+
+
 def test_views_of_the_catalog_equal_the_functions(spark, stage, sf_dir):
     from orderlake.registry import Lake
 
