@@ -90,6 +90,21 @@ def test_orders_count_with_two_sellers_in_one_order(spark):
     assert (row.units_sold, row.orders_count, row.sellers_count) == (5, 2, 2)
 
 
+def test_lines_are_shuffled_once_by_product(spark):
+    reviews = spark.createDataFrame([], "order_id string, review_score int")
+    products = spark.createDataFrame([], "product_id string, product_category_name string, IsActive boolean")
+    names = spark.createDataFrame([], "product_category_name string, product_category_name_english string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        made = business.product_performance(orders(spark), items(spark), payments(spark), reviews, products, names)
+        plan = made._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
+    by_product = [line for line in plan.splitlines() if "Exchange hashpartitioning(product_id" in line]
+    assert len(by_product) == 2  # lines, names
+    assert "Exchange hashpartitioning(_product" not in plan and "seller_id" not in "".join(x.split("ENSURE")[0] for x in by_product)
+
+
 def test_dashboards(spark):
     people = spark.createDataFrame([("c", "u1", True), ("d", "u2", True), ("c", "u0", False)], "customer_id string, customer_unique_id string, IsActive boolean")
     assert [tuple(r) for r in dashboards.active_customers_by_day(orders(spark), people).collect()] == [(D1.date(), 1), (D2.date(), 2)]
