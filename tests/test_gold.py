@@ -1,6 +1,9 @@
+import pytest
 from pyspark.sql import functions as F
 
+from orderlake import session
 from orderlake.functions import surrogate_key
+from orderlake.operators import joins
 from orderlake.plans import gold
 from tests.helpers import rows, ts
 
@@ -118,3 +121,24 @@ def test_shown_keys_are_looked_up_without_passes_over_the_lines(spark, sf_dir):
             assert joins == 3
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
+
+
+@pytest.mark.parametrize("most", [0, 500_000])
+def test_keys_resolved_in_place_equal_those_of_a_plain_join(spark, monkeypatch, most):
+    """Keys that are missing, unknown, repeated, known by another value or by none, rows that
+    repeat, and rows without a place."""
+    monkeypatch.setattr(joins, "LOOKUP_ROWS", most)
+    data = [(o, k, n) for n, (o, k) in enumerate([("o1", "a"), ("o1", "a"), ("o1", "b"), ("o2", "a"), ("o2", "two"), ("o2", "gone"), ("o3", "odd"), ("o3", "void"), ("o3", None), (None, "a"), (None, "two"), (None, None), (None, "gone")])]
+    lines = spark.createDataFrame(data, "order_id string, product_id string, n int")
+    hashed = spark.createDataFrame([("a",), ("b",), ("two",), ("two",), ("unused",)], "product_id string")
+    odd = spark.createDataFrame([("odd", 7), ("void", None), ("two", 9), (None, 8)], "product_id string, product_key long")
+    known = hashed.select("product_id", surrogate_key("product_id").alias("product_key")).unionByName(odd)
+    columns = ["order_id", "product_id", "n", "product_key"]
+    expected = rows(joins.resolve_keys(lines, [(known, "product_id")]), *columns)
+    assert len(expected) == 13 + 2 * 2
+    with session.using(spark, session.IN_PLACE):
+        for usual in (surrogate_key("product_id"), None):
+            got = joins.resolve_keys_in_place(lines, [(known, "product_id", usual)], "order_id", 3)
+            assert rows(got, *columns) == expected
+        two = joins.resolve_keys_in_place(lines, [(known, "product_id", None), (spark.createDataFrame([(3, "x"), (3, "y")], "n int, name string"), "n", None)], "order_id", 3)
+        assert two.where("n = 3").count() == 2 and two.count() == len(expected) + 1

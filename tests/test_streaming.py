@@ -1,3 +1,4 @@
+import time
 import uuid
 from dataclasses import replace
 
@@ -6,6 +7,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from orderlake import feeds, schemas, session
+from orderlake.operators import joins
 from orderlake.plans import business, gold, warehouse
 from orderlake.sources.csv import csv_stream, resolve_schema
 from orderlake.streaming import bronze, silver, sinks
@@ -315,6 +317,60 @@ def test_item_facts_from_bucketed_tables_shuffle_nothing_for_the_order_join(spar
     assert "Exchange hashpartitioning(product_id" in plan and "Exchange hashpartitioning(order_id" not in plan
 
 
+def test_lines_of_bucketed_tables_stay_in_place_for_all_their_keys(spark, stage, sf_dir, monkeypatch):
+    """No exchange carries whole lines, neither for the keys of the facts, nor for their write,
+    nor for the natural keys shown again."""
+    from orderlake import registry
+
+    def carried(df):
+        """Exchanges above a scan of prices."""
+        plan = df._jdf.queryExecution().executedPlan().toString().splitlines()
+        depth = [next((i for i, c in enumerate(line) if c.isalpha()), 0) for line in plan]
+        found = []
+        for at in (n for n, line in enumerate(plan) if "Scan parquet" in line and "price" in line):
+            above = depth[at]
+            for n in range(at, -1, -1):
+                if depth[n] < above:
+                    above = depth[n]
+                    found += [plan[n]] if "Exchange" in plan[n] else []
+        return found
+
+    monkeypatch.setattr(joins, "LOOKUP_ROWS", 0)
+    lake = registry.Lake(spark, sf_dir)
+    for name, key in (("items", "order_id"), ("dim_product", "product_id")):
+        sinks.write_table(getattr(lake, name), stage.table(name), 4, key)
+    sinks.write_table(lake.dim_seller(), stage.table("dim_seller"), 4, "seller_id")
+    sinks.write_table(lake.fact_orders(), stage.table("fact_orders"), 4, "order_id")
+    items, orders, products, sellers = (spark.table(stage.table(n)) for n in ("items", "fact_orders", "dim_product", "dim_seller"))
+    off = {"spark.sql.autoBroadcastJoinThreshold": "-1"}
+    with session.using(spark, off | session.IN_PLACE):
+        fact = gold.fact_order_items(items, orders, products, sellers, 4)
+        assert not carried(fact) and not carried(fact.repartition(4, "order_id"))
+        sinks.write_table(fact, stage.table("fact"), 4, "order_id")
+        stored = spark.table(stage.table("fact"))
+        assert not carried(registry._naturals(stored, {"product": products, "seller": sellers}, 4))
+    with session.using(spark, off):
+        plain = gold.fact_order_items(items, orders, products, sellers)
+        assert carried(plain)
+        assert rows(stored) == rows(plain)
+
+
+def test_a_table_is_written_small_and_leaves_no_shuffle_files(spark, stage):
+    def files():
+        held = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        names = [held.apply(n).getName() for n in range(held.size())]
+        return {name for name in names if name.startswith("shuffle_")}
+
+    before = files()
+    sinks.write_table(spark.range(5000).selectExpr("id", "id % 9 k"), stage.table("tidy"), 4, "k")
+    until = time.monotonic() + 20
+    while files() - before and time.monotonic() < until:
+        time.sleep(0.2)
+    assert not files() - before
+    assert spark.conf.get(next(iter(sinks.TIDY)), "false") == "false"
+    assert all(name.endswith(".zstd.parquet") for name in spark.table(stage.table("tidy")).inputFiles())
+
+
 def test_tasks_hold_one_bucket_where_no_join_asks_for_it(spark, stage):
     rows_of = spark.range(4000).selectExpr("cast(id as string) order_id", "id % 3 k")
     sinks.write_table(rows_of, stage.table("items"), 16, "order_id")
