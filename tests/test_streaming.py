@@ -302,6 +302,22 @@ def test_a_failed_replacement_leaves_the_table(spark, stage):
     assert spark.table(target).count() == 7
 
 
+def test_files_left_by_a_failed_write_are_passed_over(spark, stage, tmp_path):
+    target = stage.table("late")
+    sinks.write_table(spark.range(5), target)
+    opened = spark.table(target)
+    left = tmp_path / "tables" / "late_p1" / "_temporary"
+    left.mkdir(parents=True)
+    (left / "part-0").write_text("late")
+    sinks.write_table(spark.range(7), target)
+    assert spark.table(target).count() == 7 and opened.count() == 5
+    for n in (8, 9):
+        sinks.write_table(spark.range(n), target)
+        assert spark.table(target).count() == n
+    assert [n for n in range(5) if spark.catalog.tableExists(f"{target}_p{n}")] == [3, 4]
+    assert (left / "part-0").read_text() == "late"
+
+
 def test_item_facts_from_bucketed_tables_shuffle_nothing_for_the_order_join(spark, stage, sf_dir):
     tables = feeds.Tables(spark, sf_dir)
     sinks.write_table(feeds.order_items(tables), stage.table("items"), 4, "order_id")
